@@ -1,0 +1,17 @@
+"""Broadcast only behind a size check.
+
+``join_small`` counts the small side first (a cheap job over an already small,
+derived frame) and broadcasts it only when the count is within ``max_rows``;
+beyond that it falls back to a regular shuffle join that AQE may still
+re-plan.  Nothing unbounded is broadcast on faith."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = 1_000_000) -> DataFrame:
+    n = small.count()
+    side = F.broadcast(small) if n <= max_rows else small
+    return big.join(side, on, how)
