@@ -14,38 +14,37 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from .text import py_strip
 
-# Shape guard per format family (a parse can only succeed when it matches).
+# Exact text shape of each format: a parse is only attempted when the value
+# has that shape, so failing attempts (which cost an exception each inside the
+# parser) are rare.  Each shape is a necessary condition for its format.
+_M = r"(0?[1-9]|1[0-2])"
+_D = r"(0?[1-9]|[12][0-9]|3[01])"
 _SHAPES = {
-    "yyyy-": r"^\d{4}-",
-    "yyyy/": r"^\d{4}/",
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+    "yyyy-MM-dd HH:mm": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$",
+    "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$",
+    "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$",
     "yyyyMMdd": r"^\d{8}$",
-    "d-MMM": r"^\d{1,2}-\p{L}",
-    "M-d-": r"^\d{1,2}-\d",
-    "slash": r"^\d{1,2}/\d{1,2}/\d",
-    "dot": r"^\d{1,2}\.\d",
-    "word": r"^\p{L}",
-    "dword": r"^\d{1,2} \p{L}",
+    "d-MMM-yy": r"^\d{1,2}-\p{L}{3}-\d{2}$",
+    "d-MMM-yyyy": r"^\d{1,2}-\p{L}{3}-\d{4}$",
+    "M-d-yy": rf"^{_M}-{_D}-\d{{2}}$",
+    "M/d/yyyy": rf"^{_M}/{_D}/\d{{4}}$",
+    "d/M/yyyy": rf"^{_D}/{_M}/\d{{4}}$",
+    "M/d/yy": rf"^{_M}/{_D}/\d{{2}}$",
+    "d/M/yy": rf"^{_D}/{_M}/\d{{2}}$",
+    "M/d/yyyy h:mm a": rf"^{_M}/{_D}/\d{{4}} \d{{1,2}}:\d{{2}} \p{{L}}{{2}}$",
+    "d.M.yyyy": rf"^{_D}\.{_M}\.\d{{4}}$",
+    "MMMM d, yyyy": r"^\p{L}{3,} \d{1,2}, \d{4}$",
+    "MMM d, yyyy": r"^\p{L}{3} \d{1,2}, \d{4}$",
+    "MMM d yyyy": r"^\p{L}{3} \d{1,2} \d{4}$",
+    "d MMMM yyyy": r"^\d{1,2} \p{L}{3,} \d{4}$",
+    "d MMM yyyy": r"^\d{1,2} \p{L}{3} \d{4}$",
 }
+_OFFSET_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}([+-]\d{2}:\d{2}|Z)$"
 
 
 def _shape(fmt: str) -> str:
-    if fmt.startswith("yyyy-"):
-        return _SHAPES["yyyy-"]
-    if fmt.startswith("yyyy/"):
-        return _SHAPES["yyyy/"]
-    if fmt == "yyyyMMdd":
-        return _SHAPES["yyyyMMdd"]
-    if fmt.startswith("d-MMM"):
-        return _SHAPES["d-MMM"]
-    if fmt.startswith("M-d"):
-        return _SHAPES["M-d-"]
-    if "/" in fmt:
-        return _SHAPES["slash"]
-    if "." in fmt:
-        return _SHAPES["dot"]
-    if fmt.startswith("M"):
-        return _SHAPES["word"]
-    return _SHAPES["dword"]
+    return _SHAPES[fmt]
 
 
 def unwrap(c: Column) -> Column:
@@ -68,10 +67,34 @@ def parse_date(c: Column, two_digit_pivot: int | None = None) -> Column:
     return parse_unwrapped(unwrap(c), two_digit_pivot)
 
 
-def parse_unwrapped(v: Column, two_digit_pivot: int | None = None) -> Column:
-    """``parse_date`` for a value that is already stripped of white space and quotes."""
+def _parse_sql(name: str) -> str:
+    """SQL text of the candidate chain for a named, already unwrapped column."""
+    from .keywords import sql_ref, sql_string
+    v = sql_ref(name)
+    nd = f"regexp_replace({v}, {sql_string(K.WEEKDAY_PREFIX)}, '')"
+
+    def attempt(x: str, fmt: str) -> str:
+        return (f"CASE WHEN {x} RLIKE {sql_string(_shape(fmt))} THEN "
+                f"to_date(try_to_timestamp({x}, {sql_string(fmt)})) END")
+    cands = [f"CASE WHEN {v} RLIKE {sql_string(_OFFSET_SHAPE)} AND "
+             f"try_to_timestamp({v}, {sql_string(K.DATE_FORMAT_WITH_OFFSET)}) IS NOT NULL "
+             f"THEN to_date(try_to_timestamp(substring({v}, 1, 10), 'yyyy-MM-dd')) END"]
+    cands += [attempt(v, f) for f in K.DATE_FORMATS]
+    cands += [f"CASE WHEN {nd} != {v} THEN {attempt(nd, f)} END"
+              for f in K.DATE_FORMATS if f[0] in "dM" and "MMM" in f]
+    return f"CASE WHEN {v} != '' THEN coalesce({', '.join(cands)}) END"
+
+
+def parse_unwrapped(v: Column | str, two_digit_pivot: int | None = None) -> Column:
+    """``parse_date`` for a value that is already stripped of white space and
+    quotes.  Given a column name the chain is written as SQL text (one call
+    into the JVM instead of one per node)."""
+    if isinstance(v, str) and two_digit_pivot is None:
+        return F.expr(_parse_sql(v))
+    if isinstance(v, str):
+        v = F.col(v)
     no_day = F.regexp_replace(v, K.WEEKDAY_PREFIX, "")
-    offset = F.when(v.rlike(r"^\d{4}-\d{2}-\d{2}T"),
+    offset = F.when(v.rlike(_OFFSET_SHAPE),
                     F.when(F.try_to_timestamp(v, F.lit(K.DATE_FORMAT_WITH_OFFSET)).isNotNull(),
                            F.to_date(F.try_to_timestamp(F.substring(v, 1, 10), F.lit("yyyy-MM-dd")))))
     cands = [offset] + [_try(v, f) for f in K.DATE_FORMATS]
@@ -83,7 +106,7 @@ def parse_unwrapped(v: Column, two_digit_pivot: int | None = None) -> Column:
     return F.when(v != "", d)
 
 
-def iso_date(c: Column, two_digit_pivot: int | None = None, unwrapped: bool = False) -> Column:
+def iso_date(c: Column | str, two_digit_pivot: int | None = None, unwrapped: bool = False) -> Column:
     """``parse_date`` written as ``yyyy-MM-dd`` text."""
     d = parse_unwrapped(c, two_digit_pivot) if unwrapped else parse_date(c, two_digit_pivot)
     return F.date_format(d, "yyyy-MM-dd")
@@ -94,7 +117,7 @@ def is_missing_timestamp(c: Column) -> Column:
     return c.isNull() | (py_strip(c) == "")
 
 
-def is_invalid_timestamp(c: Column, unwrapped: Column | None = None) -> Column:
+def is_invalid_timestamp(c: Column, unwrapped: Column | str | None = None) -> Column:
     """Present and not blank, but no format parses it (``unwrapped``: staged ``unwrap(c)``)."""
     d = parse_date(c) if unwrapped is None else parse_unwrapped(unwrapped)
     return ~is_missing_timestamp(c) & d.isNull()

@@ -18,20 +18,20 @@ def parse_rating(c: Column) -> Column:
     return F.when(s.rlike(_NUMBER), s.try_cast("double"))
 
 
-def impute_rating(rating: Column, text: Column, lowered: Column | None = None) -> Column:
+def impute_rating(rating: Column, text: Column, lowered: str | None = None) -> Column:
     """Parsed rating, else 1.0 for negative words, 5.0 for positive words, else 3.0.
-    ``lowered``: a staged ``lower(text)`` column (the keyword tests reference it often)."""
-    t = F.lower(F.coalesce(text, F.lit(""))) if lowered is None else F.coalesce(lowered, F.lit(""))
+    ``lowered``: name of a staged ``lower(text)`` column (faster to plan)."""
+    t = F.lower(F.coalesce(text, F.lit(""))) if lowered is None else lowered
     guess = (F.when(contains_any(t, K.IMPUTE_NEGATIVE), F.lit(K.IMPUTE_NEGATIVE_RATING))
              .when(contains_any(t, K.IMPUTE_POSITIVE), F.lit(K.IMPUTE_POSITIVE_RATING))
              .otherwise(F.lit(K.IMPUTE_NEUTRAL_RATING)))
     return F.coalesce(parse_rating(rating), guess)
 
 
-def contradicts(rating: Column, text: Column, lowered: Column | None = None,
+def contradicts(rating: Column, text: Column, lowered: str | None = None,
                 parsed: Column | None = None) -> Column:
     """High rating with only negative trigger words, or low rating with only positive ones.
-    ``lowered`` / ``parsed``: staged ``lower(text)`` / ``parse_rating(rating)`` columns."""
+    ``lowered``: name of a staged ``lower(text)`` column; ``parsed``: staged rating."""
     r = parse_rating(rating) if parsed is None else parsed
     t = F.lower(text) if lowered is None else lowered
     pos = contains_any(t, K.CONTRADICTION_POSITIVE)

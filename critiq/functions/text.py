@@ -15,11 +15,14 @@ from .keywords import contains_any
 
 WS_BODY = r"\t-\r\x1c-\x20\x85\p{Z}"
 WS = "[" + WS_BODY + "]"
+# The same set as characters (Python's definition of white space), for trim.
+WS_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def py_strip(c: Column) -> Column:
-    """``str.strip()``: remove leading and trailing white space."""
-    return F.regexp_replace(c, "^" + WS + "+|" + WS + "+$", "")
+    """``str.strip()``: remove leading and trailing white space (a character-set
+    trim, no regular expression)."""
+    return F.trim(c, F.lit(WS_CHARS))
 
 
 def clean_text(c: Column, stripped: Column | None = None) -> Column:
@@ -100,7 +103,7 @@ def mentions_order_number(c: Column) -> Column:
     return F.coalesce(c.rlike(_sub(r"order\s*#\s*\d+")), F.lit(False))
 
 
-def is_multilingual(c: Column, lowered: Column | None = None) -> Column:
+def is_multilingual(c: Column, lowered: str | None = None) -> Column:
     """Lower-cased text contains one of the foreign-language hint words."""
     t = F.lower(c) if lowered is None else lowered
     return F.coalesce(contains_any(t, K.FOREIGN_WORDS), F.lit(False))

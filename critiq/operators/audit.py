@@ -65,8 +65,8 @@ def audit(raw: DataFrame, text: str = "feedback_text", ts: str = "timestamp",
         F.sum(F.col("_n") - 1).alias("_dup_rows"),
         _weighted(is_missing_timestamp(F.col(ts)), "_n").alias("_missing_ts"),
         _weighted(F.col(rating).isNull(), "_n").alias("_missing_rating"),
-        _weighted(is_invalid_timestamp(F.col(ts), F.col("_tsv")), "_n").alias("_invalid_ts"),
-        _weighted(contradicts(F.col(rating), F.col(text), F.col("_low"), F.col("_r")), "_n"
+        _weighted(is_invalid_timestamp(F.col(ts), "_tsv"), "_n").alias("_invalid_ts"),
+        _weighted(contradicts(F.col(rating), F.col(text), "_low", F.col("_r")), "_n"
                   ).alias("_contra"),
     )
     per_text = (per_text.withColumn("_s", py_strip(F.col(text)))
@@ -83,7 +83,7 @@ def audit(raw: DataFrame, text: str = "feedback_text", ts: str = "timestamp",
         F.sum("_contra").alias("contradiction_count"),
         _weighted(mentions_agent(t), "_m").alias("agent_mentions_count"),
         _weighted(mentions_order_number(t), "_m").alias("order_number_count"),
-        _weighted(is_multilingual(t, F.col("_low")), "_m").alias("multilingual_count"),
+        _weighted(is_multilingual(t, "_low"), "_m").alias("multilingual_count"),
     )
     counts = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in AUDIT_COLUMNS
               if c != "health_score"}

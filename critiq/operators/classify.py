@@ -20,7 +20,7 @@ def lowered(text: Column) -> Column:
     return F.lower(py_strip(text))
 
 
-def category_scores(text: Column, low: Column | None = None) -> dict[str, Column]:
+def category_scores(text: Column, low: str | None = None) -> dict[str, Column]:
     """Keyword hits per category over lower(strip(text)); Other is always 0."""
     t = lowered(text) if low is None else low
     return {cat: keyword_count(t, kws) for cat, kws in K.CATEGORY_KEYWORDS.items()}
@@ -36,7 +36,7 @@ def best_category(scores: dict[str, Column]) -> Column:
     return expr
 
 
-def sentiment_scores(text: Column, low: Column | None = None) -> tuple[Column, Column]:
+def sentiment_scores(text: Column, low: str | None = None) -> tuple[Column, Column]:
     """(positive hits, negative hits)."""
     t = lowered(text) if low is None else low
     return (keyword_count(t, K.SENTIMENT_KEYWORDS["Positive"]),
@@ -67,12 +67,12 @@ def confidence(pos: Column, neg: Column, r: Column, sentiment: Column) -> Column
     return F.when((pos > 0) & (neg > 0), mixed).otherwise(base).cast("double")
 
 
-def classify(text: Column, rating: Column, low: Column | None = None,
+def classify(text: Column, rating: Column, low: str | None = None,
              rating_value: Column | None = None) -> Column:
     """Struct(sentiment, category, summary, confidence).
 
     The keyword tests reference ``lower(strip(text))`` ~165 times: on large
-    frames stage it as a column and pass it as ``low`` (``classify_frame`` does)."""
+    frames stage it as a column and pass its name as ``low`` (``classify_frame`` does)."""
     r = parse_rating(rating) if rating_value is None else rating_value
     pos, neg = sentiment_scores(text, low)
     sent = final_sentiment(pos, neg, r)
@@ -87,19 +87,20 @@ def classify(text: Column, rating: Column, low: Column | None = None,
 def classify_frame(df, text: str, rating: str, out: str = "_class"):
     """Add the classification struct as column ``out``.
 
-    The keyword scores are staged as columns first: the sentiment and
-    confidence rules reference them many times, and a staged column is computed
-    once per row instead of once per reference."""
+    The lowered text, the parsed rating and the keyword scores are staged as
+    columns: the rules reference each score several times, and a staged column
+    is computed once per row instead of once per reference."""
     t, r = F.col(text), F.col(rating)
-    x = (df.withColumn("_low", lowered(t))
-           .withColumn("_rv", parse_rating(r)))
-    pos, neg = sentiment_scores(t, F.col("_low"))
-    x = (x.withColumn("_pos", pos).withColumn("_neg", neg)
-          .withColumn("_cat", best_category(category_scores(t, F.col("_low")))))
+    x = df.withColumns({"_low": lowered(t), "_rv": parse_rating(r)})
+    pos, neg = sentiment_scores(t, "_low")
+    cats = category_scores(t, "_low")
+    names = {c: f"_c{i}" for i, c in enumerate(cats)}
+    x = x.withColumns({"_pos": pos, "_neg": neg, **{names[c]: v for c, v in cats.items()}})
     p, n, rv = F.col("_pos"), F.col("_neg"), F.col("_rv")
-    x = x.withColumn("_sent", final_sentiment(p, n, rv))
+    x = x.withColumns({"_sent": final_sentiment(p, n, rv),
+                       "_cat": best_category({c: F.col(names[c]) for c in cats})})
     return x.withColumn(out, F.struct(
         F.col("_sent").alias("sentiment"), F.col("_cat").alias("category"),
         summary_line(t).alias("summary"),
         confidence(p, n, rv, F.col("_sent")).alias("confidence"),
-    )).drop("_low", "_rv", "_pos", "_neg", "_cat", "_sent")
+    )).drop("_low", "_rv", "_pos", "_neg", "_cat", "_sent", *names.values())

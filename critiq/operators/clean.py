@@ -29,10 +29,15 @@ CLEANED_COLUMNS = ["id", "timestamp", "source", "rating", "feedback_text", "norm
 @dataclass
 class Cleaned:
     """``rows``: de-duplicated rows with ``normalized_text`` and ``seq``;
-    ``patterns``: one row per pattern (count, first row); ``log``: one-row counts."""
+    ``patterns``: one row per pattern (count, first row); ``log``: one-row counts
+    (planned on first access)."""
     rows: DataFrame
     patterns: DataFrame
-    log: DataFrame
+    raw: DataFrame
+
+    @property
+    def log(self) -> DataFrame:
+        return cleaning_log(self.raw, self.patterns)
 
     @property
     def table(self) -> DataFrame:
@@ -57,13 +62,13 @@ def stage_rows(raw: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     x = x.filter(~is_meaningless(text, F.col("_s")))
     x = (x.withColumn("feedback_text", clean_text(text, F.col("_s")))
           .withColumn("_tsv", unwrap(F.col("timestamp")))
-          .withColumn("timestamp", iso_date(F.col("_tsv"), unwrapped=True))
+          .withColumn("timestamp", iso_date("_tsv", unwrapped=True))
           .withColumn("_parsed", F.col("timestamp").isNotNull())
           .drop("_s", "_tsv"))
     x = fill_in_order(x, "timestamp", "seq", chunk)
     x = x.withColumn("_low", F.lower(F.col("feedback_text")))
     return x.withColumn("rating", impute_rating(F.col("rating"), F.col("feedback_text"),
-                                                F.col("_low"))).drop("_low")
+                                                "_low")).drop("_low")
 
 
 def drop_exact_duplicates(df: DataFrame, order: str = "seq") -> DataFrame:
@@ -97,7 +102,7 @@ def cleaning_log(raw: DataFrame, patterns: DataFrame) -> DataFrame:
     staged = (raw.withColumn("_s", py_strip(F.col("feedback_text")))
                  .withColumn("_tsv", unwrap(F.col("timestamp"))))
     keep = ~is_meaningless(F.col("feedback_text"), F.col("_s"))
-    parsed = iso_date(F.col("_tsv"), unwrapped=True).isNotNull()
+    parsed = iso_date("_tsv", unwrapped=True).isNotNull()
     counts = staged.agg(F.count(F.lit(1)).alias("total_raw"),
                         F.count_if(keep).alias("kept"),
                         F.count_if(keep & parsed).alias("parsed"))
@@ -119,4 +124,4 @@ def clean(raw: DataFrame, chunk: int = DEFAULT_CHUNK) -> Cleaned:
     rows = drop_exact_duplicates(staged.drop("_parsed"))
     rows = rows.withColumn("normalized_text", normalize_text(F.col("feedback_text")))
     patterns = pattern_table(rows)
-    return Cleaned(rows=rows, patterns=patterns, log=cleaning_log(raw, patterns))
+    return Cleaned(rows=rows, patterns=patterns, raw=raw)

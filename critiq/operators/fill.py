@@ -17,31 +17,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNK = 50_000
+DEFAULT_CHUNK = 8_192
 
 
 def fill_in_order(df: DataFrame, col: str, order: str = "seq",
                   chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    x = df.withColumn("_ch", F.floor(F.col(order) / F.lit(chunk)))
     val = F.col(col)
+    # One shuffle: every chunk lands whole in one task.  The chunk summary
+    # below reads the same shuffle output (the exchange is reused), so the
+    # expressions that produced ``col`` are evaluated once.
+    x = df.withColumn("_ch", F.floor(F.col(order) / F.lit(chunk))).repartition("_ch")
+    # Only running frames (UNBOUNDED PRECEDING .. x): they are evaluated
+    # incrementally, whereas a frame ending at UNBOUNDED FOLLOWING is
+    # re-aggregated for every row.  "Next" values come from the reversed order.
+    up = Window.partitionBy("_ch").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("_ch").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    y = x.withColumns({"_lf": F.last(val, ignorenulls=True).over(up),
+                       "_lb": F.last(val, ignorenulls=True).over(down)})
     pair = F.struct(F.col(order).alias("o"), val.alias("v"))
-    ends = x.groupBy("_ch").agg(
+    ends = y.groupBy("_ch").agg(
         F.max(F.when(val.isNotNull(), pair)).getField("v").alias("_last"),
         F.min(F.when(val.isNotNull(), pair)).getField("v").alias("_first"))
-    # Only running frames (UNBOUNDED PRECEDING .. x) are used: they are
-    # evaluated incrementally, whereas a frame ending at UNBOUNDED FOLLOWING is
-    # re-aggregated for every row.  "Next" values come from the reversed order.
     before = Window.orderBy("_ch").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.orderBy(F.desc("_ch")).rowsBetween(Window.unboundedPreceding, -1)
     carry = ends.select("_ch",
                         F.last("_last", ignorenulls=True).over(before).alias("_prev"),
                         F.last("_first", ignorenulls=True).over(after).alias("_next"))
-    y = x.join(carry, "_ch", "left")
-    up = Window.partitionBy("_ch").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("_ch").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
-    filled = F.coalesce(
-        F.last(val, ignorenulls=True).over(up),
-        F.col("_prev"),
-        F.last(val, ignorenulls=True).over(down),
-        F.col("_next"))
-    return y.withColumn(col, filled).drop("_ch", "_prev", "_next")
+    out = y.join(carry, "_ch", "left")
+    filled = F.coalesce(F.col("_lf"), F.col("_prev"), F.col("_lb"), F.col("_next"))
+    return out.withColumn(col, filled).drop("_ch", "_lf", "_lb", "_prev", "_next")

@@ -13,13 +13,24 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import contains_any, py_strip
+from ..functions.keywords import contains_any_sql, sql_ref, sql_string
 
 
 @dataclass
 class Validated:
+    """``table``: corrected labels + review flag; ``corrections`` and ``metrics``
+    are planned on first access."""
     table: DataFrame
-    corrections: DataFrame
-    metrics: DataFrame
+    source: DataFrame
+    health: Column | int = 80
+
+    @property
+    def corrections(self) -> DataFrame:
+        return corrections_log(self.source)
+
+    @property
+    def metrics(self) -> DataFrame:
+        return validation_metrics(self.source, self.health)
 
 
 def _as_text(c: Column) -> Column:
@@ -31,7 +42,8 @@ def is_valid(c: Column, allowed) -> Column:
     return F.coalesce(c.isin(list(allowed)), F.lit(False))
 
 
-def correct_sentiment(orig: Column, as_text: Column | None = None) -> Column:
+def correct_sentiment(orig: Column, as_text: str | None = None) -> Column:
+    """``as_text``: name of a staged ``str(orig).lower().strip()`` column."""
     s = _as_text(orig) if as_text is None else as_text
     fix = (F.when(contains_any(s, K.SENTIMENT_NEGATIVE_HINTS), F.lit("Negative"))
             .when(contains_any(s, K.SENTIMENT_POSITIVE_HINTS), F.lit("Positive"))
@@ -39,19 +51,27 @@ def correct_sentiment(orig: Column, as_text: Column | None = None) -> Column:
     return F.when(is_valid(orig, K.SENTIMENTS), orig).otherwise(fix)
 
 
-def correct_category(orig: Column, text: Column, as_text: Column | None = None,
-                     text_low: Column | None = None) -> Column:
+def correct_category(orig: Column, text: Column, as_text: str | None = None,
+                     text_low: str | None = None) -> Column:
     """Fallback map (first contained key wins), then the category keyword scan of
     the row's text in category order, else Other.  ``as_text`` / ``text_low``:
     staged ``str(orig).lower().strip()`` and ``str(text).lower()`` columns."""
     s = _as_text(orig) if as_text is None else as_text
     t = F.lower(F.coalesce(text, F.lit("None"))) if text_low is None else text_low
-    fix = None
-    for key, cat in K.CATEGORY_FALLBACK:
-        fix = (F.when if fix is None else fix.when)(s.contains(key), F.lit(cat))
-    for cat, kws in K.CATEGORY_KEYWORDS.items():
-        fix = fix.when(contains_any(t, kws), F.lit(cat))
-    fix = fix.otherwise(F.lit("Other"))
+    if isinstance(s, str) and isinstance(t, str):
+        arms = [f"WHEN contains({sql_ref(s)}, {sql_string(k)}) THEN {sql_string(c)}"
+                for k, c in K.CATEGORY_FALLBACK]
+        arms += [f"WHEN {contains_any_sql(t, kws)} THEN {sql_string(c)}"
+                 for c, kws in K.CATEGORY_KEYWORDS.items()]
+        fix = F.expr("CASE " + " ".join(arms) + " ELSE 'Other' END")
+    else:
+        sc = F.col(s) if isinstance(s, str) else s
+        fix = None
+        for key, cat in K.CATEGORY_FALLBACK:
+            fix = (F.when if fix is None else fix.when)(sc.contains(key), F.lit(cat))
+        for cat, kws in K.CATEGORY_KEYWORDS.items():
+            fix = fix.when(contains_any(t, kws), F.lit(cat))
+        fix = fix.otherwise(F.lit("Other"))
     return F.when(is_valid(orig, K.CATEGORIES), orig).otherwise(fix)
 
 
@@ -73,17 +93,17 @@ def _entry(invalid: Column, rid: Column, field: str, orig: Column, fixed: Column
 
 
 def _staged(df: DataFrame) -> DataFrame:
-    return (df.withColumn("_sv", _as_text(F.col("ai_sentiment")))
-              .withColumn("_cv", _as_text(F.col("ai_category")))
-              .withColumn("_tl", F.lower(F.coalesce(F.col("feedback_text"), F.lit("None")))))
+    return df.withColumns({"_sv": _as_text(F.col("ai_sentiment")),
+                           "_cv": _as_text(F.col("ai_category")),
+                           "_tl": F.lower(F.coalesce(F.col("feedback_text"), F.lit("None")))})
 
 
 def _fixes(df: DataFrame) -> DataFrame:
     x = _staged(df)
-    return (x.withColumn("_s_fix", correct_sentiment(F.col("ai_sentiment"), F.col("_sv")))
-             .withColumn("_c_fix", correct_category(F.col("ai_category"), F.col("feedback_text"),
-                                                    F.col("_cv"), F.col("_tl")))
-             .drop("_sv", "_cv", "_tl"))
+    return (x.withColumns({
+        "_s_fix": correct_sentiment(F.col("ai_sentiment"), "_sv"),
+        "_c_fix": correct_category(F.col("ai_category"), F.col("feedback_text"), "_cv", "_tl")})
+        .drop("_sv", "_cv", "_tl"))
 
 
 def corrections_log(df: DataFrame) -> DataFrame:
@@ -120,8 +140,7 @@ def validate(enriched: DataFrame, health: Column | int = 80) -> Validated:
              .withColumn("ai_category", F.col("_c_fix"))
              .drop("_s_fix", "_c_fix")
              .withColumn("needs_human_review", F.col("ai_confidence") < K.REVIEW_THRESHOLD))
-    return Validated(table=table, corrections=corrections_log(enriched),
-                     metrics=validation_metrics(enriched, health))
+    return Validated(table=table, source=enriched, health=health)
 
 
 def review_queue(validated: DataFrame) -> DataFrame:

@@ -115,8 +115,22 @@ def labels_dirty_sql(events: str = "events") -> str:
 from {events}"""
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cores when it arrives in fewer splits than the
+    default parallelism (the driver tables are single-row-group files).  A
+    large multi-file table already has more splits and is left as it is."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    return spread(spark.read.parquet(os.path.join(sf_dir, "events.parquet")))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(spark.read.parquet(os.path.join(sf_dir, "documents.parquet")))
 
 
 def feedback_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

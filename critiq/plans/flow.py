@@ -20,8 +20,9 @@ from ..operators import (audit, audit_actions, category_distribution, clean, con
                          conflict_summary, crosstab, enrich, exec_kpis, insight_kpis,
                          recommendations, report_payload, review_queue, spotlight, trend_status,
                          unique_patterns, validate, value_distribution, weekly_trend)
-from ..operators.clean import Cleaned, cleaning_log, pattern_table
+from ..operators.clean import Cleaned, pattern_table
 from ..operators.insights import category_counts
+from ..operators.fill import DEFAULT_CHUNK
 from ..session import materialize
 
 
@@ -30,7 +31,7 @@ class Analysis:
     raw: DataFrame
     classifier: object = None
     materialize: str = "none"
-    chunk: int = 50_000
+    chunk: int = DEFAULT_CHUNK
     _cache: dict = field(default_factory=dict)
 
     @cached_property
@@ -44,7 +45,7 @@ class Analysis:
             return c
         rows = materialize(c.rows, self.materialize)
         patterns = pattern_table(rows)
-        return Cleaned(rows=rows, patterns=patterns, log=cleaning_log(self.raw, patterns))
+        return Cleaned(rows=rows, patterns=patterns, raw=self.raw)
 
     @property
     def cleaning_log(self) -> DataFrame:
@@ -141,7 +142,7 @@ class Analysis:
 
 
 def analyse(raw: DataFrame, classifier=None, materialize: str = "none",
-            chunk: int = 50_000) -> Analysis:
+            chunk: int = DEFAULT_CHUNK) -> Analysis:
     """Plan the full analysis of a raw feedback frame (must carry ``seq``)."""
     if "seq" not in raw.columns:
         raise ValueError("raw feedback needs a file-order column 'seq' "

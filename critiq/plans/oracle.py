@@ -19,8 +19,11 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+WS_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
+    return f"trim({x}, {q(WS_CHARS)})"
 
 
 def clean_text(x: str) -> str:

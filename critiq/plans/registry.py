@@ -57,7 +57,7 @@ def _fb(spark, sf):
 
 
 def _docs(spark, sf):
-    return spark.read.parquet(os.path.join(sf, "documents.parquet"))
+    return fx.documents(spark, sf)
 
 
 def _texts(spark, sf):
@@ -180,13 +180,13 @@ def q_pred_invalid_ts(spark, sf):
     ts = F.col("timestamp")
     x = _fb(spark, sf).withColumn("_v", unwrap(ts))
     return x.select("seq", is_missing_timestamp(ts).alias("missing_timestamp"),
-                    is_invalid_timestamp(ts, F.col("_v")).alias("invalid_timestamp"))
+                    is_invalid_timestamp(ts, "_v").alias("invalid_timestamp"))
 
 
 @register("parse_date", FB + f" select seq, timestamp, {O.iso_date('timestamp')} as parsed_date from fb")
 def q_parse_date(spark, sf):
     x = _fb(spark, sf).withColumn("_v", unwrap(F.col("timestamp")))
-    return x.select("seq", "timestamp", iso_date(F.col("_v"), unwrapped=True).alias("parsed_date"))
+    return x.select("seq", "timestamp", iso_date("_v", unwrapped=True).alias("parsed_date"))
 
 
 @register("contradictions", FB + f" select seq, {O.contradicts('rating', 'feedback_text')} as contradiction from fb")
