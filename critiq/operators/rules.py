@@ -107,14 +107,18 @@ def most_negative_source(v: DataFrame) -> DataFrame:
 
 def exec_kpis(audit: DataFrame, log: DataFrame, v: DataFrame, metrics: DataFrame,
               corrections: DataFrame) -> DataFrame:
-    """The executive KPI row."""
+    """The executive KPI row.  Each one-row input is attached once as a staged
+    struct column (a scalar subquery evaluated once), then its fields are read."""
     cats = category_counts(v)
     trend = trend_status(weekly_trend(v))
-    a, lg, mt = as_struct(audit), as_struct(log), as_struct(metrics)
-    tc, ms, tr = as_struct(top_category(cats)), as_struct(most_negative_source(v)), as_struct(trend)
-    ncorr = corrections.select(F.count(F.lit(1))).scalar()
     base = v.agg(F.count(F.lit(1)).alias("valid_complaints"),
                  F.count_distinct("normalized_text").alias("unique_patterns"))
+    base = base.withColumns({
+        "_a": as_struct(audit), "_l": as_struct(log), "_m": as_struct(metrics),
+        "_t": as_struct(top_category(cats)), "_s": as_struct(most_negative_source(v)),
+        "_r": as_struct(trend), "_c": corrections.select(F.count(F.lit(1))).scalar()})
+    a, lg, mt = F.col("_a"), F.col("_l"), F.col("_m")
+    tc, ms, tr = F.col("_t"), F.col("_s"), F.col("_r")
     raw_n = a.getField("total_records")
     removed = lg.getField("empty_removed") + lg.getField("exact_duplicates_removed")
     rel = mt.getField("insight_reliability")
@@ -132,7 +136,7 @@ def exec_kpis(audit: DataFrame, log: DataFrame, v: DataFrame, metrics: DataFrame
         ms.getField("most_negative_source_pct").alias("most_negative_source_pct"),
         tr.getField("status").alias("trend_status"), tr.getField("reason").alias("trend_reason"),
         F.round(mt.getField("average_confidence") * 100.0, 1).alias("avg_confidence_pct"),
-        ncorr.alias("corrections_applied"),
+        F.col("_c").alias("corrections_applied"),
         (a.getField("contradiction_count") > 0).alias("contradiction_alert"),
         (rel == K.LIMITED).alias("limited_quality_notice"),
         (mt.getField("low_confidence_count") > 0).alias("review_queue_pending"))
@@ -167,10 +171,11 @@ def report_payload(audit: DataFrame, log: DataFrame, v: DataFrame, metrics: Data
     sent = value_distribution(v, "ai_sentiment")
     src = value_distribution(v, "source")
     conf = conflict_summary(v)
+    carrier = metrics.withColumns({"_conf": as_struct(conf), "_trend": as_struct(trend)})
     doc = F.struct(
         as_struct(audit).alias("audit_results"),
         as_struct(log).alias("cleaning_log"),
-        as_struct(metrics).alias("validation_metrics"),
+        F.struct(*[F.col(c) for c in metrics.columns]).alias("validation_metrics"),
         F.struct(
             _collect(cats, ["_rank"], ["ai_category", "count", "percentage", "examples"]
                      ).alias("category"),
@@ -178,19 +183,19 @@ def report_payload(audit: DataFrame, log: DataFrame, v: DataFrame, metrics: Data
             _collect(src, ["source"], ["source", "count", "percentage"]).alias("source"),
         ).alias("distributions"),
         F.struct(
-            as_struct(conf).getField("conflict_count").alias("conflict_count"),
-            as_struct(conf).getField("conflict_percentage").alias("conflict_percentage"),
+            F.col("_conf").getField("conflict_count").alias("conflict_count"),
+            F.col("_conf").getField("conflict_percentage").alias("conflict_percentage"),
             _collect(v.filter(conflict_flag(v)).select("seq", "id", "rating", "ai_sentiment",
                                                        "feedback_text")
                       .orderBy("seq").limit(K.CONFLICT_SAMPLE),
                      ["seq"], ["id", "rating", "ai_sentiment", "feedback_text"]
                      ).alias("conflicts_sample"),
         ).alias("conflicts"),
-        F.struct(as_struct(trend).getField("status").alias("status"),
-                 as_struct(trend).getField("reason").alias("reason"),
+        F.struct(F.col("_trend").getField("status").alias("status"),
+                 F.col("_trend").getField("reason").alias("reason"),
                  _collect(weekly, ["week_end"], ["week_end", "total_complaints",
                                                  "negative_sentiment_percentage"]
                           ).alias("weekly_data")).alias("trends"),
         _collect(recs, ["priority"], ["title", "impact", "description"]).alias("recommendations"),
     )
-    return metrics.select(F.to_json(doc).alias("payload"))
+    return carrier.select(F.to_json(doc).alias("payload"))

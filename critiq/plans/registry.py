@@ -48,8 +48,11 @@ def register(name: str, sql: str | None):
 _ANALYSES: dict = {}
 
 
-def _an(spark: SparkSession, sf: str) -> Analysis:
-    return analyse(fx.feedback_raw(spark, sf))
+def _an(spark: SparkSession, sf: str, materialize: str = "none") -> Analysis:
+    """The flow over the fixture.  Queries that combine many results from one
+    flow pass ``materialize='checkpoint'``: the shared frames are written once
+    to the checkpoint folder instead of being recomputed per result."""
+    return analyse(fx.feedback_raw(spark, sf), materialize=materialize)
 
 
 def _fb(spark, sf):
@@ -152,13 +155,13 @@ def q_export_enriched(spark, sf):
     """Write the validated table as CSV and read it back."""
     path = scratch_path(spark, f"export/{uuid.uuid4().hex}")
     from ..sources import write_enriched
-    write_enriched(_an(spark, sf).validated, path)
+    write_enriched(_an(spark, sf, "checkpoint").validated, path)
     return spark.read.option("header", True).csv(path)
 
 
 @register("report_payload", None)
 def q_report_payload(spark, sf):
-    return _an(spark, sf).report_payload
+    return _an(spark, sf, "checkpoint").report_payload
 
 
 # ---------------------------------------------------------------------------
@@ -618,7 +621,7 @@ def q_unique_patterns(spark, sf):
 # ---------------------------------------------------------------------------
 @register("recommendations", INS + " select * from recommendations")
 def q_recommendations(spark, sf):
-    return _an(spark, sf).recommendations
+    return _an(spark, sf, "checkpoint").recommendations
 
 
 _SPOT = ", ".join(f"({O.q(c)}, {O.q(t)}, {O.q(r)})" for c, (t, r) in K.SPOTLIGHT.items())
@@ -662,7 +665,7 @@ select (select total_records from aud) as raw_records,
 
 @register("exec_kpis", _KPI)
 def q_exec_kpis(spark, sf):
-    return _an(spark, sf).exec_kpis
+    return _an(spark, sf, "checkpoint").exec_kpis
 
 
 def _actions_sql() -> str:
