@@ -159,6 +159,21 @@ def q_export_enriched(spark, sf):
     return spark.read.option("header", True).csv(path)
 
 
+@register("stream_intake", None)
+def q_stream_intake(spark, sf):
+    """The fixture written as one CSV file per source channel (every row lands in
+    exactly one file), streamed through the intake: one audit row per file."""
+    from ..streaming import start_intake
+    run = scratch_path(spark, f"stream/{uuid.uuid4().hex}")
+    src, sink = os.path.join(run, "in"), os.path.join(run, "out")
+    raw = _fb(spark, sf).withColumn("_ch", F.coalesce("source", F.lit("unknown")))
+    (raw.repartition("_ch").sortWithinPartitions("seq").drop("seq")
+        .write.partitionBy("_ch").option("header", True).option("escape", '"').csv(src))
+    q = start_intake(spark, os.path.join(src, "*"), sink, outputs=["audit"])
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(sink, "audit"))
+
+
 @register("report_payload", None)
 def q_report_payload(spark, sf):
     return _an(spark, sf, "checkpoint").report_payload

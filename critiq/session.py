@@ -15,7 +15,7 @@ ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # The text work is CPU-heavy per byte: do not coalesce small shuffle
     # outputs into a handful of tasks (no effect once partitions are large).
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32KB",
 }
 
 

@@ -13,17 +13,20 @@ from ..plans.sizing import join_small
 _LOW33 = (1 << 33) - 1
 
 
-def with_file_order(df: DataFrame, seq: str = "seq") -> DataFrame:
+def with_file_order(df: DataFrame, seq: str = "seq", file_col: str | None = None,
+                    block_col: str | None = None) -> DataFrame:
     """Dense 0-based ``seq`` in file order for a frame read from files.
 
-    A file split (``_metadata.file_path``, ``file_block_start``) always lands in
-    one Spark partition and is read in order, so the monotonically increasing id
-    is consecutive inside a split.  Per split we keep (first id, row count), turn
+    A file split (file path, ``file_block_start``) always lands in one Spark
+    partition and is read in order, so the monotonically increasing id is
+    consecutive inside a split.  Per split we keep (first id, row count), turn
     the counts into running offsets over the small split table, and add the
     offset back.  Only the split table (one row per split) is aggregated and
-    joined; the rows are never shuffled."""
-    x = (df.withColumn("_f", F.col("_metadata.file_path"))
-           .withColumn("_b", F.col("_metadata.file_block_start"))
+    joined; the rows are never shuffled.  The ids depend only on the scan's
+    split layout, which is the same every time the scan runs.
+    ``file_col``/``block_col`` name already selected metadata columns (streams)."""
+    x = (df.withColumn("_f", F.col(file_col) if file_col else F.col("_metadata.file_path"))
+           .withColumn("_b", F.col(block_col) if block_col else F.col("_metadata.file_block_start"))
            .withColumn("_m", F.monotonically_increasing_id()))
     splits = x.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -31,7 +34,8 @@ def with_file_order(df: DataFrame, seq: str = "seq") -> DataFrame:
                             F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     out = join_small(x, offsets, ["_f", "_b"], "inner", max_rows=2_000_000)
     out = out.withColumn(seq, F.col("_off") + F.col("_m") - F.col("_m0"))
-    return out.drop("_f", "_b", "_m", "_m0", "_off")
+    drop = ["_f", "_b", "_m", "_m0", "_off"] + [c for c in (file_col, block_col) if c]
+    return out.drop(*drop)
 
 
 def with_arrival_order(df: DataFrame, seq: str = "seq") -> DataFrame:
@@ -40,18 +44,28 @@ def with_arrival_order(df: DataFrame, seq: str = "seq") -> DataFrame:
     return df.withColumn(seq, F.monotonically_increasing_id())
 
 
-def dense_rank_by(df: DataFrame, order_col: str, out: str = "rank0") -> DataFrame:
-    """0-based dense position of each row when ordered by a unique ``order_col``.
-
-    Range-partition by the key (sampled bounds, no single task), count rows
-    per partition, turn the counts into offsets over the small
-    partition table, and add the position inside the partition."""
-    s = df.repartitionByRange(order_col).sortWithinPartitions(order_col)
-    s = s.withColumn("_m", F.monotonically_increasing_id())
-    s = s.withColumn("_p", F.shiftright(F.col("_m"), 33))
-    parts = s.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offs = parts.select("_p", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    r = join_small(s, offs, ["_p"], "inner", max_rows=1_000_000)
-    r = r.withColumn(out, F.col("_off") + F.col("_m").bitwiseAND(F.lit(_LOW33)))
-    return r.drop("_m", "_p", "_off")
+def dense_rank_by(df: DataFrame, order_col: str, out: str = "rank0",
+                  buckets: int | None = None) -> DataFrame:
+    """0-based dense position of each row ordered by a unique numeric ``order_col``.
+
+    Rows go to equal-width value buckets between min and max (two scalar
+    subqueries, no collect); the bucket counts become running offsets over the
+    bucket table (at most ``buckets`` rows, so broadcasting it is bounded);
+    the position inside a bucket is a ``row_number`` partitioned by bucket.
+    Everything depends on values only, never on physical partition ids, so a
+    re-run after a lost executor gives the same numbers."""
+    spark = df.sparkSession
+    nb = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = F.col(order_col)
+    lo = df.select(F.min(key)).scalar()
+    hi = df.select(F.max(key)).scalar()
+    span = (hi - lo + F.lit(1)).cast("double")
+    b = F.least(F.floor((key - lo).cast("double") * F.lit(nb) / span), F.lit(nb - 1)).cast("int")
+    x = df.withColumn("_bk", b)
+    counts = x.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_bk", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    inner = Window.partitionBy("_bk").orderBy(key)
+    r = x.join(F.broadcast(offs), "_bk").withColumn(
+        out, F.col("_off") + F.row_number().over(inner) - 1)
+    return r.drop("_bk", "_off")
