@@ -34,10 +34,11 @@ class Cleaned:
     rows: DataFrame
     patterns: DataFrame
     raw: DataFrame
+    prepared: DataFrame | None = None
 
     @property
     def log(self) -> DataFrame:
-        return cleaning_log(self.raw, self.patterns)
+        return cleaning_log(self.raw, self.patterns, self.prepared)
 
     @property
     def table(self) -> DataFrame:
@@ -54,23 +55,33 @@ def with_surrogate_id(raw: DataFrame) -> DataFrame:
     return raw.withColumn("id", F.col("seq") + 1)
 
 
-def stage_rows(raw: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """Kept rows after text tidy, date standardise + fill and rating impute
-    (before duplicate removal).  Adds ``_parsed`` (date parsed before fill)."""
+def prepare_rows(raw: DataFrame) -> DataFrame:
+    """Kept rows with tidy text and the standardised (not yet filled) date;
+    ``_parsed`` marks rows whose own date parsed."""
     text = F.col("feedback_text")
     x = with_surrogate_id(raw).withColumn("_s", py_strip(text))
     x = x.filter(~is_meaningless(text, F.col("_s")))
-    x = (x.withColumn("feedback_text", clean_text(text, F.col("_s")))
-          .withColumn("_tsv", unwrap(F.col("timestamp")))
-          .withColumn("timestamp", iso_date("_tsv", unwrapped=True))
-          .withColumn("_parsed", F.col("timestamp").isNotNull())
-          .drop("_s", "_tsv"))
-    x = fill_in_order(x, "timestamp", "seq", chunk)
+    return (x.withColumn("feedback_text", clean_text(text, F.col("_s")))
+             .withColumn("_tsv", unwrap(F.col("timestamp")))
+             .withColumn("timestamp", iso_date("_tsv", unwrapped=True))
+             .withColumn("_parsed", F.col("timestamp").isNotNull())
+             .drop("_s", "_tsv"))
+
+
+def fill_and_impute(prepared: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """Fill dates in file order, then impute ratings from the tidy text."""
+    x = fill_in_order(prepared, "timestamp", "seq", chunk)
     x = x.withColumn("_low", F.lower(F.col("feedback_text")))
     return x.withColumn("rating", impute_rating(F.col("rating"), F.col("feedback_text"),
                                                 "_low")).drop("_low")
 
 
+def stage_rows(raw: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """Kept rows after text tidy, date standardise + fill and rating impute
+    (before duplicate removal).  Keeps ``_parsed`` (date parsed before fill)."""
+    return fill_and_impute(prepare_rows(raw), chunk)
+
+
 def drop_exact_duplicates(df: DataFrame, order: str = "seq") -> DataFrame:
     """Keep the first (lowest ``order``) of each group of identical records."""
     keys = [c for c in df.columns if c != order]
@@ -88,7 +99,8 @@ def pattern_table(rows: DataFrame) -> DataFrame:
                         F.col("_first.rating").alias("first_rating")))
 
 
-def cleaning_log(raw: DataFrame, patterns: DataFrame) -> DataFrame:
+def cleaning_log(raw: DataFrame, patterns: DataFrame,
+                 prepared: DataFrame | None = None) -> DataFrame:
     """Counts of every cleaning decision; the last two columns are the true
     near-duplicate and unparseable counts (the classic log reports both as 0).
 
@@ -99,13 +111,20 @@ def cleaning_log(raw: DataFrame, patterns: DataFrame) -> DataFrame:
                                  F.sum("complaint_count").alias("rows")).alias("p")).scalar()
     pattern_n = p.getField("n")
     dedup_n = F.coalesce(p.getField("rows"), F.lit(0)).cast("bigint")
-    staged = (raw.withColumn("_s", py_strip(F.col("feedback_text")))
-                 .withColumn("_tsv", unwrap(F.col("timestamp"))))
-    keep = ~is_meaningless(F.col("feedback_text"), F.col("_s"))
-    parsed = iso_date("_tsv", unwrapped=True).isNotNull()
-    counts = staged.agg(F.count(F.lit(1)).alias("total_raw"),
-                        F.count_if(keep).alias("kept"),
-                        F.count_if(keep & parsed).alias("parsed"))
+    if prepared is not None:
+        # kept and parsed come from the already written prepared rows
+        kp = prepared.select(F.struct(F.count(F.lit(1)).alias("k"),
+                                      F.count_if("_parsed").alias("p")).alias("s")).scalar()
+        counts = raw.agg(F.count(F.lit(1)).alias("total_raw")).select(
+            "total_raw", kp.getField("k").alias("kept"), kp.getField("p").alias("parsed"))
+    else:
+        staged = (raw.withColumn("_s", py_strip(F.col("feedback_text")))
+                     .withColumn("_tsv", unwrap(F.col("timestamp"))))
+        keep = ~is_meaningless(F.col("feedback_text"), F.col("_s"))
+        parsed = iso_date("_tsv", unwrapped=True).isNotNull()
+        counts = staged.agg(F.count(F.lit(1)).alias("total_raw"),
+                            F.count_if(keep).alias("kept"),
+                            F.count_if(keep & parsed).alias("parsed"))
     return counts.select(
         F.col("total_raw"),
         (F.col("total_raw") - F.col("kept")).alias("empty_removed"),
@@ -119,9 +138,20 @@ def cleaning_log(raw: DataFrame, patterns: DataFrame) -> DataFrame:
     )
 
 
-def clean(raw: DataFrame, chunk: int = DEFAULT_CHUNK) -> Cleaned:
-    staged = stage_rows(raw, chunk)
+def clean(raw: DataFrame, chunk: int = DEFAULT_CHUNK, materialize: str = "none") -> Cleaned:
+    """Plan the cleaning.  With ``materialize`` (``table`` / ``checkpoint``) the
+    prepared rows and the de-duplicated rows are written once: both feed two
+    branches (fill summary + rows; pattern table + rows) that would otherwise
+    each recompute everything before them."""
+    from ..session import materialize as mat
+    prepared = prepare_rows(raw)
+    if materialize != "none":
+        prepared = mat(prepared, materialize)
+    staged = fill_and_impute(prepared, chunk)
     rows = drop_exact_duplicates(staged.drop("_parsed"))
     rows = rows.withColumn("normalized_text", normalize_text(F.col("feedback_text")))
+    if materialize != "none":
+        rows = mat(rows, materialize)
     patterns = pattern_table(rows)
-    return Cleaned(rows=rows, patterns=patterns, raw=raw)
+    return Cleaned(rows=rows, patterns=patterns, raw=raw,
+                   prepared=prepared if materialize != "none" else None)

@@ -1,11 +1,12 @@
 """The whole analysis as one lazily planned flow:
 raw -> audit | clean -> enrich -> validate -> insights -> rules.
 
-``analyse`` only builds plans.  Two frames feed many results (the
-de-duplicated rows and the validated table); with ``materialize='checkpoint'``
-they are written once to the shared checkpoint folder, which both cuts the
-lineage (a lost executor re-reads the checkpoint instead of re-running the
-cleaning) and stops every result from re-running the cleaning.
+``analyse`` only builds plans.  Three frames feed more than one branch (the
+prepared rows, the de-duplicated rows and the validated table); with
+``materialize='table'`` (or ``'checkpoint'``) they are written once under the
+shared checkpoint folder, which both cuts the lineage (a lost executor re-reads
+them instead of re-running the cleaning) and stops every branch and every
+result from re-running the cleaning.
 """
 from __future__ import annotations
 
@@ -40,12 +41,7 @@ class Analysis:
 
     @cached_property
     def cleaned(self) -> Cleaned:
-        c = clean(self.raw, self.chunk)
-        if self.materialize == "none":
-            return c
-        rows = materialize(c.rows, self.materialize)
-        patterns = pattern_table(rows)
-        return Cleaned(rows=rows, patterns=patterns, raw=self.raw)
+        return clean(self.raw, self.chunk, self.materialize)
 
     @property
     def cleaning_log(self) -> DataFrame:

@@ -48,10 +48,9 @@ def register(name: str, sql: str | None):
 _ANALYSES: dict = {}
 
 
-def _an(spark: SparkSession, sf: str, materialize: str = "none") -> Analysis:
-    """The flow over the fixture.  Queries that combine many results from one
-    flow pass ``materialize='checkpoint'``: the shared frames are written once
-    to the checkpoint folder instead of being recomputed per result."""
+def _an(spark: SparkSession, sf: str, materialize: str = "table") -> Analysis:
+    """The flow over the fixture, with its shared frames written once as tables
+    in the checkpoint folder (see ``plans.flow``)."""
     return analyse(fx.feedback_raw(spark, sf), materialize=materialize)
 
 
@@ -155,7 +154,7 @@ def q_export_enriched(spark, sf):
     """Write the validated table as CSV and read it back."""
     path = scratch_path(spark, f"export/{uuid.uuid4().hex}")
     from ..sources import write_enriched
-    write_enriched(_an(spark, sf, "checkpoint").validated, path)
+    write_enriched(_an(spark, sf).validated, path)
     return spark.read.option("header", True).csv(path)
 
 
@@ -176,7 +175,7 @@ def q_stream_intake(spark, sf):
 
 @register("report_payload", None)
 def q_report_payload(spark, sf):
-    return _an(spark, sf, "checkpoint").report_payload
+    return _an(spark, sf).report_payload
 
 
 # ---------------------------------------------------------------------------
@@ -357,7 +356,10 @@ def q_audit_documents(spark, sf):
 # ---------------------------------------------------------------------------
 @register("fill_dates", PIPE + " select seq, timestamp from filled")
 def q_fill_dates(spark, sf):
-    return stage_rows(_fb(spark, sf)).select("seq", "timestamp")
+    from ..session import materialize
+    from ..operators.clean import fill_and_impute, prepare_rows
+    prepared = materialize(prepare_rows(_fb(spark, sf)), "table")
+    return fill_and_impute(prepared).select("seq", "timestamp")
 
 
 @register("drop_duplicates", PIPE + " select seq, id, timestamp, source, rating, feedback_text from dedup")
@@ -636,7 +638,7 @@ def q_unique_patterns(spark, sf):
 # ---------------------------------------------------------------------------
 @register("recommendations", INS + " select * from recommendations")
 def q_recommendations(spark, sf):
-    return _an(spark, sf, "checkpoint").recommendations
+    return _an(spark, sf).recommendations
 
 
 _SPOT = ", ".join(f"({O.q(c)}, {O.q(t)}, {O.q(r)})" for c, (t, r) in K.SPOTLIGHT.items())
@@ -680,7 +682,7 @@ select (select total_records from aud) as raw_records,
 
 @register("exec_kpis", _KPI)
 def q_exec_kpis(spark, sf):
-    return _an(spark, sf, "checkpoint").exec_kpis
+    return _an(spark, sf).exec_kpis
 
 
 def _actions_sql() -> str:

@@ -67,11 +67,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "critiq", name)
 
 
-def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
-    """Cut lineage before a frame feeds many results.
-
-    ``checkpoint`` writes it to the shared checkpoint folder (survives executor
-    loss), ``persist`` caches it (memory then disk), ``none`` leaves it lazy."""
+def materialize(df: DataFrame, mode: str = "table") -> DataFrame:
+    """Cut lineage before a frame feeds more than one branch.
+
+    ``table`` writes it as Parquet under the shared checkpoint folder and reads
+    it back (columnar: a branch that needs two columns reads two columns);
+    ``checkpoint`` uses ``DataFrame.checkpoint`` in the same folder; both
+    survive executor loss.  ``persist`` caches (memory then disk, recomputed
+    from lineage when lost); ``none`` leaves the plan lazy."""
+    if mode == "table":
+        import uuid
+        spark = df.sparkSession
+        path = scratch_path(spark, f"tables/{uuid.uuid4().hex}")
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
