@@ -36,11 +36,11 @@ def _analyse_file(batch: DataFrame, batch_id: int, sink: str, outputs) -> None:
         return
     # File order: split offset, then position inside the split.
     ranked = with_file_order(batch, "seq", file_col="_file", block_col="_b")
-    src = batch.select(F.min("_file").alias("f")).first()["f"]
+    src = batch.select(F.min("_file")).scalar()
     an = analyse(null_tokens(ranked.drop(*[c for c in ranked.columns if c.startswith("_")])),
                  materialize="checkpoint")
     for name in outputs:
-        out = getattr(an, name).withColumns({"source_file": F.lit(src), "batch_id": F.lit(batch_id)})
+        out = getattr(an, name).withColumns({"source_file": src, "batch_id": F.lit(batch_id)})
         out.write.mode("append").parquet(os.path.join(sink, name))
 
 
