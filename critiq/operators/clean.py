@@ -68,7 +68,7 @@ def prepare_rows(raw: DataFrame) -> DataFrame:
              .drop("_s", "_tsv"))
 
 
-def fill_and_impute(prepared: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+def fill_and_impute(prepared: DataFrame, chunk: int | None = DEFAULT_CHUNK) -> DataFrame:
     """Fill dates in file order, then impute ratings from the tidy text."""
     x = fill_in_order(prepared, "timestamp", "seq", chunk)
     x = x.withColumn("_low", F.lower(F.col("feedback_text")))
@@ -76,7 +76,7 @@ def fill_and_impute(prepared: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFram
                                                 "_low")).drop("_low")
 
 
-def stage_rows(raw: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+def stage_rows(raw: DataFrame, chunk: int | None = DEFAULT_CHUNK) -> DataFrame:
     """Kept rows after text tidy, date standardise + fill and rating impute
     (before duplicate removal).  Keeps ``_parsed`` (date parsed before fill)."""
     return fill_and_impute(prepare_rows(raw), chunk)
@@ -138,7 +138,7 @@ def cleaning_log(raw: DataFrame, patterns: DataFrame,
     )
 
 
-def clean(raw: DataFrame, chunk: int = DEFAULT_CHUNK, materialize: str = "none") -> Cleaned:
+def clean(raw: DataFrame, chunk: int | None = DEFAULT_CHUNK, materialize: str = "none") -> Cleaned:
     """Plan the cleaning.  With ``materialize`` (``table`` / ``checkpoint``) the
     prepared rows and the de-duplicated rows are written once: both feed two
     branches (fill summary + rows; pattern table + rows) that would otherwise

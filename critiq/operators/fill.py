@@ -5,28 +5,41 @@ leading nulls take the first non-null value after them; all-null stays null.
 
 A window ordered by ``seq`` over the whole frame would run in one task.
 Instead rows are cut into chunks of at most ``chunk`` consecutive ``seq``
-values.  Per chunk we keep its last and first non-null value (a map-side
+values (adaptive by default: see ``chunk_width``).  Per chunk we keep its last and first non-null value (a map-side
 combined aggregate), carry them across chunks with a window over the small
 chunk table, and join the carries back; the fill inside a chunk is then a
 window partitioned by chunk.  The join and the window share the chunk
-partitioning, so the rows are shuffled once, and no task holds more than one
-chunk regardless of key skew.
+partitioning, so the rows are shuffled once, and a task holds whole chunks of
+bounded size regardless of key skew.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNK = 8_192
+DEFAULT_CHUNK = None      # adaptive, see below
+MIN_CHUNK = 8_192
+MAX_CHUNKS = 100_000
+
+
+def chunk_width(df: DataFrame, order: str = "seq") -> Column:
+    """``seq`` values per chunk: at least MIN_CHUNK, and wide enough that there
+    are at most MAX_CHUNKS chunks, so the single-task carry window stays small
+    at any scale.  A scalar subquery over the ordinal column."""
+    span = df.select((F.max(order) - F.min(order) + F.lit(1)).alias("s")).scalar()
+    return F.greatest(F.lit(MIN_CHUNK), F.ceil(span / F.lit(MAX_CHUNKS)))
 
 
 def fill_in_order(df: DataFrame, col: str, order: str = "seq",
-                  chunk: int = DEFAULT_CHUNK) -> DataFrame:
+                  chunk: int | None = DEFAULT_CHUNK) -> DataFrame:
     val = F.col(col)
-    # One shuffle: every chunk lands whole in one task.  The chunk summary
-    # below reads the same shuffle output (the exchange is reused), so the
-    # expressions that produced ``col`` are evaluated once.
-    x = df.withColumn("_ch", F.floor(F.col(order) / F.lit(chunk))).repartition("_ch")
+    width = F.lit(chunk) if chunk is not None else chunk_width(df, order)
+    # One shuffle of the rows: every chunk lands whole in one task.  The chunk
+    # summary below is a second, narrow branch over the same input (only
+    # ``order`` and ``col`` survive column pruning); give this operator a
+    # materialized input (``clean`` does) so that branch is a two-column read
+    # rather than a recomputation.
+    x = df.withColumn("_ch", F.floor(F.col(order) / width)).repartition("_ch")
     # Only running frames (UNBOUNDED PRECEDING .. x): they are evaluated
     # incrementally, whereas a frame ending at UNBOUNDED FOLLOWING is
     # re-aggregated for every row.  "Next" values come from the reversed order.

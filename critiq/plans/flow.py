@@ -32,7 +32,7 @@ class Analysis:
     raw: DataFrame
     classifier: object = None
     materialize: str = "none"
-    chunk: int = DEFAULT_CHUNK
+    chunk: int | None = DEFAULT_CHUNK
     _cache: dict = field(default_factory=dict)
 
     @cached_property
@@ -138,7 +138,7 @@ class Analysis:
 
 
 def analyse(raw: DataFrame, classifier=None, materialize: str = "none",
-            chunk: int = DEFAULT_CHUNK) -> Analysis:
+            chunk: int | None = DEFAULT_CHUNK) -> Analysis:
     """Plan the full analysis of a raw feedback frame (must carry ``seq``)."""
     if "seq" not in raw.columns:
         raise ValueError("raw feedback needs a file-order column 'seq' "
