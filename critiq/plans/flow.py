@@ -10,18 +10,17 @@ result from re-running the cleaning.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import (audit, audit_actions, category_distribution, clean, conflict_sample,
                          conflict_summary, crosstab, enrich, exec_kpis, insight_kpis,
                          recommendations, report_payload, review_queue, spotlight, trend_status,
                          unique_patterns, validate, value_distribution, weekly_trend)
-from ..operators.clean import Cleaned, pattern_table
+from ..operators.clean import Cleaned
 from ..operators.insights import category_counts
 from ..operators.fill import DEFAULT_CHUNK
 from ..session import materialize
@@ -33,7 +32,6 @@ class Analysis:
     classifier: object = None
     materialize: str = "none"
     chunk: int | None = DEFAULT_CHUNK
-    _cache: dict = field(default_factory=dict)
 
     @cached_property
     def audit(self) -> DataFrame:
@@ -150,4 +148,4 @@ def strip_seq(df: DataFrame) -> DataFrame:
     return df.drop("seq") if "seq" in df.columns else df
 
 
-__all__ = ["Analysis", "analyse", "strip_seq", "F"]
+__all__ = ["Analysis", "analyse", "strip_seq"]

@@ -26,7 +26,6 @@ from ..operators import (audit, batch_assign, classify_patterns, merge_responses
 from ..operators.audit import duplicate_counts
 from ..operators.classify import (best_category, category_scores, classify_frame,
                                   lowered, sentiment_scores)
-from ..operators.clean import stage_rows
 from ..operators.insights import category_examples
 from ..sources import dense_rank_by, null_tokens, read_feedback, write_table
 from ..session import scratch_path
@@ -45,9 +44,6 @@ def register(name: str, sql: str | None):
     return deco
 
 
-_ANALYSES: dict = {}
-
-
 def _an(spark: SparkSession, sf: str, materialize: str = "table") -> Analysis:
     """The flow over the fixture, with its shared frames written once as tables
     in the checkpoint folder (see ``plans.flow``)."""
@@ -97,7 +93,6 @@ FIRST = (", firsts as (select id, arg_min(feedback_text, seq) as feedback_text,
 LAB = O.with_(O.fb_cte(), ", " + O.labels_cte(), FIRST,
               ", labtext as (select l.*, f.feedback_text from lab l left join firsts f using (id))")
 INS = O.with_(O.fb_cte(), O.pipeline_ctes(), O.insight_ctes())
-DOCS = "docs as (select * from documents)"
 
 
 def _vcorr_sql(orig: str, text: str | None) -> tuple[str, str]:

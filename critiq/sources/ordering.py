@@ -48,20 +48,21 @@ def dense_rank_by(df: DataFrame, order_col: str, out: str = "rank0",
                   buckets: int | None = None) -> DataFrame:
     """0-based dense position of each row ordered by a unique numeric ``order_col``.
 
-    Rows go to equal-width value buckets between min and max (two scalar
-    subqueries, no collect); the bucket counts become running offsets over the
-    bucket table (at most ``buckets`` rows, so broadcasting it is bounded);
-    the position inside a bucket is a ``row_number`` partitioned by bucket.
-    Everything depends on values only, never on physical partition ids, so a
-    re-run after a lost executor gives the same numbers."""
+    Rows go to value buckets cut at approximate quantiles of the key (one
+    ``percentile_approx`` scalar subquery, no collect), so each bucket holds
+    about the same number of rows however the keys cluster.  Bucket counts
+    become running offsets over the bucket table (at most ``buckets`` rows, so
+    broadcasting it is bounded); the position inside a bucket is a
+    ``row_number`` partitioned by bucket.  Everything depends on values, never
+    on physical partition ids, so a re-run after a lost executor gives the
+    same numbers."""
     spark = df.sparkSession
     nb = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.col(order_col)
-    lo = df.select(F.min(key)).scalar()
-    hi = df.select(F.max(key)).scalar()
-    span = (hi - lo + F.lit(1)).cast("double")
-    b = F.least(F.floor((key - lo).cast("double") * F.lit(nb) / span), F.lit(nb - 1)).cast("int")
-    x = df.withColumn("_bk", b)
+    cuts = [i / nb for i in range(1, nb)]
+    bounds = df.select(F.percentile_approx(key, cuts, 10_000)).scalar()
+    x = df.withColumn("_cuts", bounds)
+    x = x.withColumn("_bk", F.size(F.filter(F.col("_cuts"), lambda b: b < key))).drop("_cuts")
     counts = x.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_bk", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
