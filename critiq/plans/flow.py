@@ -33,17 +33,22 @@ class Analysis:
     materialize: str = "none"
     chunk: int | None = DEFAULT_CHUNK
 
+    def _keep(self, df: DataFrame) -> DataFrame:
+        return df if self.materialize == "none" else materialize(df, self.materialize)
+
     @cached_property
     def audit(self) -> DataFrame:
-        return audit(self.raw)
+        """One row; written once in materialized mode (it feeds the health score,
+        the KPI row, the action table and the payload)."""
+        return self._keep(audit(self.raw))
 
     @cached_property
     def cleaned(self) -> Cleaned:
         return clean(self.raw, self.chunk, self.materialize)
 
-    @property
+    @cached_property
     def cleaning_log(self) -> DataFrame:
-        return self.cleaned.log
+        return self._keep(self.cleaned.log)
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -62,9 +67,9 @@ class Analysis:
     def corrections(self) -> DataFrame:
         return self._validated.corrections
 
-    @property
+    @cached_property
     def metrics(self) -> DataFrame:
-        return self._validated.metrics
+        return self._keep(self._validated.metrics)
 
     @property
     def review_queue(self) -> DataFrame:
