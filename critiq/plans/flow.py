@@ -31,6 +31,7 @@ class Analysis:
     raw: DataFrame
     classifier: object = None
     materialize: str = "none"
+    keep_validated: bool = True
     chunk: int | None = DEFAULT_CHUNK
 
     def _keep(self, df: DataFrame) -> DataFrame:
@@ -56,11 +57,14 @@ class Analysis:
 
     @cached_property
     def _validated(self):
-        health = self.audit.select("health_score").scalar()
-        return validate(self.enriched, health)
+        # health only feeds the metrics: attach it lazily so that results that
+        # do not need it never plan (or run) the audit
+        return validate(self.enriched)
 
     @cached_property
     def validated(self) -> DataFrame:
+        if not self.keep_validated:
+            return self._validated.table
         return materialize(self._validated.table, self.materialize)
 
     @property
@@ -69,7 +73,9 @@ class Analysis:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return self._keep(self._validated.metrics)
+        from ..operators.validate import validation_metrics
+        health = self.audit.select("health_score").scalar()
+        return self._keep(validation_metrics(self.enriched, health))
 
     @property
     def review_queue(self) -> DataFrame:
@@ -141,12 +147,13 @@ class Analysis:
 
 
 def analyse(raw: DataFrame, classifier=None, materialize: str = "none",
-            chunk: int | None = DEFAULT_CHUNK) -> Analysis:
+            chunk: int | None = DEFAULT_CHUNK, keep_validated: bool = True) -> Analysis:
     """Plan the full analysis of a raw feedback frame (must carry ``seq``)."""
     if "seq" not in raw.columns:
         raise ValueError("raw feedback needs a file-order column 'seq' "
                          "(use critiq.sources.read_feedback)")
-    return Analysis(raw=raw, classifier=classifier, materialize=materialize, chunk=chunk)
+    return Analysis(raw=raw, classifier=classifier, materialize=materialize, chunk=chunk,
+                    keep_validated=keep_validated)
 
 
 def strip_seq(df: DataFrame) -> DataFrame:

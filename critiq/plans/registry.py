@@ -44,10 +44,11 @@ def register(name: str, sql: str | None):
     return deco
 
 
-def _an(spark: SparkSession, sf: str, materialize: str = "table") -> Analysis:
+def _an(spark: SparkSession, sf: str, many: bool = False) -> Analysis:
     """The flow over the fixture, with its shared frames written once as tables
-    in the checkpoint folder (see ``plans.flow``)."""
-    return analyse(fx.feedback_raw(spark, sf), materialize=materialize)
+    in the checkpoint folder (see ``plans.flow``).  ``many``: the query combines
+    several results, so the validated table is written once as well."""
+    return analyse(fx.feedback_raw(spark, sf), materialize="table", keep_validated=many)
 
 
 def _fb(spark, sf):
@@ -170,7 +171,7 @@ def q_stream_intake(spark, sf):
 
 @register("report_payload", None)
 def q_report_payload(spark, sf):
-    return _an(spark, sf).report_payload
+    return _an(spark, sf, many=True).report_payload
 
 
 # ---------------------------------------------------------------------------
@@ -633,7 +634,7 @@ def q_unique_patterns(spark, sf):
 # ---------------------------------------------------------------------------
 @register("recommendations", INS + " select * from recommendations")
 def q_recommendations(spark, sf):
-    return _an(spark, sf).recommendations
+    return _an(spark, sf, many=True).recommendations
 
 
 _SPOT = ", ".join(f"({O.q(c)}, {O.q(t)}, {O.q(r)})" for c, (t, r) in K.SPOTLIGHT.items())
@@ -677,7 +678,7 @@ select (select total_records from aud) as raw_records,
 
 @register("exec_kpis", _KPI)
 def q_exec_kpis(spark, sf):
-    return _an(spark, sf).exec_kpis
+    return _an(spark, sf, many=True).exec_kpis
 
 
 def _actions_sql() -> str:
