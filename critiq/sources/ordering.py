@@ -21,8 +21,9 @@ def with_file_order(df: DataFrame, seq: str = "seq", file_col: str | None = None
     partition and is read in order, so the monotonically increasing id is
     consecutive inside a split.  Per split we keep (first id, row count), turn
     the counts into running offsets over the small split table, and add the
-    offset back.  Only the split table (one row per split) is aggregated and
-    joined; the rows are never shuffled.  The ids depend only on the scan's
+    offset back.  Only the split table (one row per split) is aggregated,
+    written and joined; the rows are never shuffled, and the input is scanned
+    twice (split counts, then the rows).  The ids depend only on the scan's
     split layout, which is the same every time the scan runs.
     ``file_col``/``block_col`` name already selected metadata columns (streams)."""
     x = (df.withColumn("_f", F.col(file_col) if file_col else F.col("_metadata.file_path"))
@@ -32,6 +33,11 @@ def with_file_order(df: DataFrame, seq: str = "seq", file_col: str | None = None
     w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("_f", "_b", "_m0",
                             F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    # The split table (one row per file split) is written once, so the size
+    # check before broadcasting it and the join read a small table instead of
+    # scanning the input again.
+    from ..session import materialize
+    offsets = materialize(offsets, "table")
     out = join_small(x, offsets, ["_f", "_b"], "inner", max_rows=2_000_000)
     out = out.withColumn(seq, F.col("_off") + F.col("_m") - F.col("_m0"))
     drop = ["_f", "_b", "_m", "_m0", "_off"] + [c for c in (file_col, block_col) if c]
