@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from critiq.llm import ngram_join, quality_rules, secrets
+from critiq.llm import mixing, ngram_join, packing, quality_rules, secrets
 from critiq.llm.common import table, written
 
 
@@ -27,7 +27,19 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secrets.redact_secrets(docs)
 
 
-STAGES = [("quality rules", quality), ("n-gram Jaccard join", near_duplicates), ("secret scans", secret_scan)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated by the rates that bring the domains to their targets:
+    clean ones stay (some twice), toxic and poor ones thin out."""
+    return mixing.resample(docs, table(spark, sf_dir, "labels"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences: one row per piece, with its ids."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("quality rules", quality), ("n-gram Jaccard join", near_duplicates), ("secret scans", secret_scan),
+          ("mixing sources to target weights", mix_sources), ("packing", pack)]
 
 # No SQL form: the stages hold robust estimates, lexing and packing.
 ORACLE_SQL = None

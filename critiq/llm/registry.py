@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ngram_join, quality_rules, secrets
+from . import mixing, ngram_join, packing, quality_rules, secrets
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,17 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_table(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_table(table(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op8_ngram_join)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op6_packing, op7_mixing, op8_ngram_join)}
 ORACLES: dict[str, str] = {"op8_ngram_join": ngram_join.ORACLE}
