@@ -75,7 +75,7 @@ def cells(members: DataFrame, sizes: DataFrame, key: str, item: str, block: int)
     blocks by the hash of the item; each member goes to the cells of its block.
     Groups up to one block have the one cell (0, 0)."""
     g = F.greatest(F.lit(1), F.ceil(F.col("n") / block)).cast("int")
-    dealt = members.join(sizes.select(key, F.col("n")), key).withColumn("g", g) \
+    dealt = members.join(sizes.select(key, F.col("n")).hint("merge"), key).withColumn("g", g) \
         .withColumn("own", F.when(F.col("g") == 1, 0).otherwise(F.pmod(F.xxhash64(item, F.lit(17)), F.col("g")).cast("int")))
     return dealt.withColumn("_k", F.explode(F.when(F.col("g") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("g") - 1)))) \
         .withColumn("cell_i", F.least("own", "_k")).withColumn("cell_j", F.greatest("own", "_k")).drop("_k", "g", "n")

@@ -19,7 +19,9 @@ Jaccard similarity of their sets is at least the threshold.
 
 A group of n different near copies costs n * n comparisons, because each link
 must be counted, but never n * n rows; blocks of it go to different tasks.
-Exact copies cost nothing: the map side combines them.
+Exact copies cost nothing: the map side combines them.  The joins with tables
+that grow with the corpus ask for shuffles, so that small and large inputs take
+the same plan and Spark can split a hot key.
 
 Edge cases: null text counts as empty; a row without words is a group of its
 own; rows with a null doc_id take part, and a group without any other id has a
@@ -193,7 +195,7 @@ def candidate_edges(classes: DataFrame, plan: Bands, threshold: float, block: in
                 found.clear()
         yield _edges(found)
 
-    full = member.join(classes.select("cls", "chk"), "cls").select("bucket", "cell_i", "cell_j", "own", "cls", "chk")
+    full = member.join(classes.select("cls", "chk").hint("merge"), "cls").select("bucket", "cell_i", "cell_j", "own", "cls", "chk")
     return full.repartition("bucket", "cell_i", "cell_j").sortWithinPartitions("bucket", "cell_i", "cell_j") \
         .mapInArrow(run, "src binary, dst binary").distinct()
 
@@ -241,7 +243,7 @@ def verified(need: DataFrame, docs: DataFrame, width: int, threshold: float, blo
             part = part.take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("root", "cls", "cnt")), pa.array(out, pa.binary())], names=["root", "cls", "cnt", "grams"])
 
-    sets = docs.select("th", "text").join(need.select("th", "root", "cls", "cnt"), "th") \
+    sets = docs.select("th", "text").join(need.select("th", "root", "cls", "cnt").hint("merge"), "th") \
         .select("root", "cls", "cnt", "text").mapInArrow(sets_of, "root binary, cls binary, cnt long, grams binary")
     sizes = need.groupBy("root").agg(F.count("*").alias("n"))
 
@@ -300,7 +302,7 @@ def join_table(docs: DataFrame) -> DataFrame:
     ids = rows.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("low"))
     low = ids.join(groups.select("cls", "root"), "cls").groupBy("root").agg(F.min("low").alias("class_id"))
     per_class = written(groups.join(low, "root").select("cls", "n_links", "class_id"), "per-class")
-    out = rows.join(per_class, "cls", "left")
+    out = rows.join(per_class.hint("merge"), "cls", "left")
     own = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     return out.select("doc_id", own.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"))
@@ -318,7 +320,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     d, h, sd, sh = fresh(docs, "dedup_id", "dedup_hash", "stay_id", "stay_hash")
     keyed = docs.withColumn(d, F.col("doc_id").cast("long")).withColumn(h, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     stay = stay.select(F.col("doc_id").alias(sd), F.col("th").alias(sh))
-    one = keyed.dropDuplicates([d, h]).join(stay, (F.col(h) == F.col(sh)) & F.col(d).eqNullSafe(F.col(sd)), "left_semi")
+    one = keyed.dropDuplicates([d, h]).join(stay.hint("merge"), (F.col(h) == F.col(sh)) & F.col(d).eqNullSafe(F.col(sd)), "left_semi")
     return one.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
