@@ -2,6 +2,7 @@
 names, vectorised word and n-gram hashing over Arrow text buffers."""
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -29,10 +30,19 @@ ARROW_CONF = {
 }
 
 
+_HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches small enough for rows with very long texts."""
+    """Arrow batches small enough for rows with very long texts, and workers
+    that find this package where the driver has it (on clusters that install it
+    elsewhere, or ship it with --py-files, the added entry does no harm)."""
     for k, v in ARROW_CONF.items():
         spark.conf.set(k, v)
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if _HOME not in paths:
+        env["PYTHONPATH"] = os.pathsep.join(x for x in [_HOME, *paths] if x)
 
 
 def scratch_root(spark: SparkSession) -> str:

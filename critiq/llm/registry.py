@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join, packing, quality_rules, secrets, token_counts, token_files
+from . import embedding_dedup, mixing, ngram_join, packing, quality_rules, secrets, token_counts, token_files
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,5 +40,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op5_token_files, op6_packing, op7_mixing, op8_ngram_join, op9_token_counts)}
-ORACLES: dict[str, str] = {"op8_ngram_join": ngram_join.ORACLE}
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.dedup_table(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op5_token_files, op6_packing, op7_mixing, op8_ngram_join, op9_token_counts,
+                                                   op10_embedding_dedup)}
+ORACLES: dict[str, str] = {"op8_ngram_join": ngram_join.ORACLE, "op10_embedding_dedup": embedding_dedup.ORACLE}
