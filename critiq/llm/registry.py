@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, html_text, mixing, ngram_join, packing, quality_rules, secrets, token_counts, token_files
+from . import embedding_dedup, html_text, mixing, ngram_join, packing, quality_model, quality_rules, secrets, token_counts, token_files
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_table(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,6 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.dedup_table(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_html_text, op5_token_files, op6_packing, op7_mixing, op8_ngram_join, op9_token_counts,
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_html_text, op4_quality_model, op5_token_files, op6_packing, op7_mixing, op8_ngram_join, op9_token_counts,
                                                    op10_embedding_dedup)}
 ORACLES: dict[str, str] = {"op8_ngram_join": ngram_join.ORACLE, "op10_embedding_dedup": embedding_dedup.ORACLE}
