@@ -178,14 +178,26 @@ def kind(node: Node) -> int:
     """The class of a node's potential with its parent: plain blocks, page
     parts, articles, text runs, boxes, and blocks with names."""
     k = _KIND.get(node.tag, 0)
+    if k == 4 and not node.names:
+        return 0
     return 5 if node.names and k == 0 else k
 
 
+_BOX = frozenset(("content", "post", "entry", "story", "article"))
+
+
 def features(nodes: list[Node]) -> list[list[str]]:
-    """Names of the features of each node."""
+    """Names of the features of each node; the root's tell whether the page has
+    a box for its content, an article's whether it is inside another box."""
+    boxed = any(node.tag in ("article", "main") or not _BOX.isdisjoint(node.names) for node in nodes)
     out = []
     for node in nodes:
         f = ["t:" + node.tag]
+        if node.parent < 0:
+            f.append("boxed" if boxed else "plain")
+        elif node.tag in ("article", "main", "header", "footer", "section") and not node.names:
+            above = nodes[node.parent]
+            f.append(node.tag + (" outer" if above.tag in ("body", "main") or "wrapper" in above.names else " inner"))
         if node.text is None:
             f += ["n:" + x for x in node.names[:12]]
         else:
@@ -266,7 +278,7 @@ _FOOT = [("footer", ""), ("footer", "site footer"), ("div", "footer"), ("div", "
 _HEAD = [("header", ""), ("header", "site header"), ("div", "header"), ("div", "masthead"), ("div", "logo")]
 
 
-def labelled_pages(count: int = 200, seed: int = 11) -> list[str]:
+def labelled_pages(count: int = 300, seed: int = 11) -> list[str]:
     """Pages whose parts carry ``data-content`` marks (1 main text, 0 not)."""
     rng = random.Random(seed)
     stems = ["ba", "cor", "den", "el", "fin", "gra", "hol", "in", "jor", "kal", "lum", "mor", "nes", "or", "pel", "qui", "ras", "sol", "tan", "ver"]
@@ -318,7 +330,7 @@ def labelled_pages(count: int = 200, seed: int = 11) -> list[str]:
             return part(_FORM, f"<label>{words(1, 4, False)}</label><input><button>{words(1, 2, False)}</button>" + (f"<p>{words(3, 12)}</p>" if rng.random() < 0.5 else ""), 0)
         if r == 3:
             return part(_NOTICE, f"<p>{words(4, 30)}</p><button>{words(1, 2, False)}</button>" if rng.random() < 0.6 else words(4, 30), 0)
-        return part(_COMMENT, "".join(f'<{t}><p>{words(2, 50)}</p></{t}>' for t in [rng.choice(["div", "li", "article"])] for _ in range(rng.randint(1, 4))), 0)
+        return part(_COMMENT, "".join(f'<{t}{" class=comment" if t == "article" else ""}><p>{words(2, 50)}</p></{t}>' for t in [rng.choice(["div", "li", "article"])] for _ in range(rng.randint(1, 4))), 0)
 
     out = []
     for _ in range(count):
@@ -340,13 +352,16 @@ def labelled_pages(count: int = 200, seed: int = 11) -> list[str]:
         if rng.random() < 0.85:
             body.append(part(_FOOT, (f"&copy; {words(2, 8)}" if rng.random() < 0.6 else f"<p>{words(3, 30)}</p>") + (links() if rng.random() < 0.3 else ""), 0))
         inner = "".join(body)
-        if rng.random() < 0.3:
+        if rng.random() < 0.08:  # nothing but the text, tagged or not
+            bare = 1
+            inner = rng.choice([words(1, 30), f"<p>{words(1, 30)}</p>", prose(1, 3), f'<article data-content="1">{prose(1, 2)}</article>'])
+        elif rng.random() < 0.3:
             inner = f'<div class="wrapper" data-content="{bare}">{inner}</div>'
         out.append(f'<html><head><title>x</title></head><body data-content="{bare}">{inner}</body></html>')
     return out
 
 
-def fit(pages: list[str], rounds: int = 80, rate: float = 0.6, decay: float = 0.001) -> TreeModel:
+def fit(pages: list[str], rounds: int = 80, rate: float = 0.6, decay: float = 0.0003) -> TreeModel:
     """Weights by gradient ascent (Adagrad) on the mean log likelihood."""
     data = []
     for page in pages:
