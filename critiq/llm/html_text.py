@@ -183,13 +183,13 @@ def kind(node: Node) -> int:
     return 5 if node.names and k == 0 else k
 
 
-_BOX = frozenset(("content", "post", "entry", "story", "article"))
+_BOX = frozenset(("content", "post", "entry", "story", "article", "main", "text"))
 
 
 def features(nodes: list[Node]) -> list[list[str]]:
     """Names of the features of each node; the root's tell whether the page has
     a box for its content, an article's whether it is inside another box."""
-    boxed = any(node.tag in ("article", "main") or not _BOX.isdisjoint(node.names) for node in nodes)
+    boxed = any(node.tag in ("article", "main") and not node.names or not _BOX.isdisjoint(node.names) for node in nodes)
     out = []
     for node in nodes:
         f = ["t:" + node.tag]
@@ -266,7 +266,7 @@ def _sigmoid(v: float) -> float:
 
 
 # Names of the parts around and inside articles, for the labelled layouts.
-_CONTENT = [("article", ""), ("article", ""), ("main", ""), ("article", "post"), ("div", "content"), ("div", "article body"), ("section", "entry content"),
+_CONTENT = [*[("article", "")] * 4, *[("main", "")] * 2, ("article", "post"), ("div", "content"), ("div", "article body"), ("section", "entry content"),
             ("div", "main text"), ("div", "post content"), ("article", "story"), ("div", "page body")]
 _MENU = [("nav", ""), ("nav", "menu"), ("div", "navigation"), ("ul", "menu"), ("div", "navbar"), ("div", "breadcrumb"), ("ol", "breadcrumbs"), ("div", "topnav links")]
 _NOTICE = [("div", "cookie notice"), ("div", "cookie banner"), ("div", "consent"), ("section", "notice"), ("div", "alert"), ("dialog", "gdpr popup"), ("div", "banner message"), ("div", "disclaimer")]
@@ -339,14 +339,14 @@ def labelled_pages(count: int = 300, seed: int = 11) -> list[str]:
             body.append(part(_HEAD, (f"<p>{words(1, 6)}</p>" if rng.random() < 0.5 else f"<h1>{words(1, 4, False)}</h1>") + (part(_MENU, links(), 0) if rng.random() < 0.5 else ""), 0))
         body += [part(_MENU, links(), 0) for _ in range(rng.randint(0, 2))]
         body += [noise() for _ in range(rng.randint(0, 3))]
+        # Some pages have no box for their content: the body itself is it.
+        bare = int(rng.random() < 0.15)
         head = f"<h1>{words(1, 10, False)}</h1>" if rng.random() < 0.85 else ""
-        if head and rng.random() < 0.25:
+        if head and not bare and rng.random() < 0.25:
             head = f'<header data-content="1">{head}</header>'
         text = head + prose(0 if head else 1, 5)
         if rng.random() < 0.5:
             text += noise() + prose(0, 4)
-        # Some pages have no box for their content: the body itself is it.
-        bare = int(rng.random() < 0.15)
         body.append(text if bare else part(_CONTENT, text, 1))
         body += [noise() for _ in range(rng.randint(0, 3))]
         if rng.random() < 0.85:
@@ -361,7 +361,7 @@ def labelled_pages(count: int = 300, seed: int = 11) -> list[str]:
     return out
 
 
-def fit(pages: list[str], rounds: int = 80, rate: float = 0.6, decay: float = 0.0003) -> TreeModel:
+def fit(pages: list[str], rounds: int = 120, rate: float = 1.0, decay: float = 0.0001) -> TreeModel:
     """Weights by gradient ascent (Adagrad) on the mean log likelihood."""
     data = []
     for page in pages:

@@ -157,10 +157,10 @@ def test_html_pages(spark):
 
 def test_html_odd_pages(spark):
     rows = [(1, None, None, "x"), (2, "u", "", "x"), (None, "u", "<article><p>A &amp; b&nbsp;c<br>d<p>E", "x"), (3, "u", "<article><p>cut off <b", "x"),
-            (4, "u", "<article><p>one<!-- <p>two --><script>x='</p>'</script> more</p></article><div class='cookie-notice'><p>We use them.</p></div>", "x")]
+            (4, "u", "<article><p>one<!-- <p>two --><script>x='</p>'</script> more words.</p></article><div class='cookie-notice'><p>We use them.</p></div>", "x")]
     out = {r.page_id: (r.text, r.n_chars) for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()}
     assert out[1] == ("", 0) and out[2] == ("", 0)
-    assert out[None][0] == "A & b c d\nE" and out[3][0] == "cut off" and out[4][0] == "one more"
+    assert out[None][0] == "A & b c d\nE" and out[3][0] == "cut off" and out[4][0] == "one more words."
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
