@@ -11,15 +11,17 @@ functions only.
    rows.
 2. Nonnegative document rates are fitted so that the expected domain totals
    sum_d rate_d * tokens_d * p_dk match the targets: projected gradient on the
-   least squares of the residuals, whitened by the domains' second moments, from
-   all rates at 1.  A rate after i steps depends only on the document's
-   posteriors and i short coefficient vectors, so a step is one aggregate of K
-   sums over a written narrow table; nothing per document ever moves.
+   least squares of the residuals, scaled by the second moments of the domains
+   over the documents whose rate is not at zero, from all rates at 1.  The
+   gradient of a document's rate is its posteriors times the K residuals, so the
+   rates depend on the posteriors and one vector of K summed steps, projected on
+   rate >= 0.  A step is one aggregate of K + K * K sums over a written narrow
+   table; nothing per document ever moves.
 
 Targets are shares of the documents' own token total; those of domains that no
 labelled row has count as 0, and the rest are scaled to sum to 1.  If a target
-cannot be reached (a domain without mass), the rates are the least-squares fit
-after ``STEPS`` steps.
+cannot be reached (a domain without mass), the rates are the best
+fit found within ``STEPS`` steps.
 
 Edge cases: null and empty texts have no tokens and the prior as posteriors;
 labels with a null id or a null class are not learned from, and of labels that
@@ -39,9 +41,9 @@ BUCKETS = 1 << 15
 LABELLED = 20_000
 # A feature speaks for a domain if its log ratio among documents exceeds SURE
 # standard errors and a quarter of the domain's most, and that among words EFFECT.
-SURE = 8.0
+SURE = 4.5
 EFFECT = 1.0
-STEPS = 60
+STEPS = 20
 TOLERANCE = 1e-4
 # Most domains that a labels table may name.
 DOMAINS = 64
@@ -134,42 +136,46 @@ def with_posteriors(docs: DataFrame, model: Classifier, tokens: str, post: str)
     return out.withColumn(post, F.transform(F.col(post), lambda x: x / total))
 
 
-def rate_after(steps: list[list[float]], post: Column) -> Column:
-    """The rate of a document after the given steps, as one expression."""
-    rate: Column = F.lit(1.0)
-    for c in steps:
-        move = F.lit(0.0)
-        for k, x in enumerate(c):
-            move = move + post[k] * F.lit(float(x))
-        rate = F.greatest(F.lit(0.0), rate - move)
-    return rate
+def rate_of(shift: list[float], post: Column) -> Column:
+    """The rate of a document: 1 moved by the summed steps, projected on >= 0."""
+    move = F.lit(0.0)
+    for k, x in enumerate(shift):
+        move = move + post[k] * F.lit(float(x))
+    return F.greatest(F.lit(0.0), F.lit(1.0) - move)
 
 
 def fit_rates(rows: DataFrame, names: list[str], targets: dict[str, float], tokens: str, post: str,
-              most: int = STEPS, tolerance: float = TOLERANCE) -> list[list[float]]:
-    """Steps of the projected gradient over ``rows`` (written)."""
+              most: int = STEPS, tolerance: float = TOLERANCE) -> list[float]:
+    """The summed steps of the projected gradient over ``rows`` (written)."""
     goal = np.array([max(0.0, targets.get(n, 0.0)) for n in names])
     p, t, n = F.col(post), F.col(tokens), len(names)
     if not n or goal.sum() <= 0:
         return []
     goal = goal / goal.sum()
     pairs = [(i, j) for i in range(n) for j in range(i, n)]
-    first = rows.agg(F.sum(t).alias("t"), *[F.sum(t * p[i] * p[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
-    if not first["t"]:
-        return []
-    moment = np.zeros((n, n))
-    for i, j in pairs:
-        moment[i, j] = moment[j, i] = first[f"c{i}_{j}"] / first["t"]
-    whiten = np.linalg.inv(moment + 1e-6 * np.eye(n))
-    steps: list[list[float]] = []
+    shift = best = np.zeros(n)
+    least, worse, size = np.inf, 0, 1.0
     for _ in range(most):
-        rate = rate_after(steps, p)
-        now = rows.agg(*[F.sum(rate * t * p[k]).alias(f"s{k}") for k in range(n)]).first()
-        off = np.array([now[f"s{k}"] for k in range(n)]) / first["t"] - goal
-        if np.abs(off).max() < tolerance:
+        rate = rate_of(shift.tolist(), p)
+        free = F.when(rate > 0, t).otherwise(F.lit(0))
+        now = rows.agg(F.sum(t).alias("t"), *[F.sum(rate * t * p[k]).alias(f"s{k}") for k in range(n)],
+                       *[F.sum(free * p[i] * p[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
+        if not now["t"]:
+            return []
+        off = np.array([now[f"s{k}"] for k in range(n)]) / now["t"] - goal
+        error = float(np.abs(off).max())
+        if error < 0.99 * least:
+            least, best, worse = error, shift, 0
+        else:
+            # No better: half the step from the best so far, twice at most.
+            worse, size = worse + 1, size / 2
+        if least < tolerance or worse > 2:
             break
-        steps.append((whiten @ off).tolist())
-    return steps
+        moment = np.zeros((n, n))
+        for i, j in pairs:
+            moment[i, j] = moment[j, i] = now[f"c{i}_{j}"] / now["t"]
+        shift = shift + size * np.linalg.solve(moment + 1e-6 * np.eye(n), off)
+    return best.tolist()
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS) -> tuple[DataFrame, str, str, str]:
@@ -177,8 +183,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGET
     t, p, r = fresh(docs, "tokens", "posteriors", "rate")
     model = fit_classifier(docs, labelled)
     rows = written(with_posteriors(docs, model, t, p), "mixing")
-    steps = fit_rates(rows, model.names, targets, t, p)
-    return rows.withColumn(r, rate_after(steps, F.col(p))), t, p, r
+    shift = fit_rates(rows, model.names, targets, t, p)
+    return rows.withColumn(r, rate_of(shift, F.col(p))), t, p, r
 
 
 def mix_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
