@@ -361,6 +361,10 @@ def labelled_pages(count: int = 300, seed: int = 11) -> list[str]:
     return out
 
 
+# Prior means of the weights of plain semantic boxes; those of the rest are 0.
+START = {"article outer": 3.0, "main outer": 3.0}
+
+
 def fit(pages: list[str], rounds: int = 120, rate: float = 1.0, decay: float = 0.0001) -> TreeModel:
     """Weights by gradient ascent (Adagrad) on the mean log likelihood."""
     data = []
@@ -368,7 +372,7 @@ def fit(pages: list[str], rounds: int = 120, rate: float = 1.0, decay: float = 0
         marks: list[int] = []
         nodes = parse(page, marks)
         data.append((nodes, features(nodes), marks))
-    unary: dict[str, float] = {}
+    unary = dict(START)
     pair = [[-3.0, -3.0, 0.0] for _ in range(KINDS)]
     seen: dict = {}
 
@@ -391,7 +395,7 @@ def fit(pages: list[str], rounds: int = 120, rate: float = 1.0, decay: float = 0
                     for k, (x, y) in enumerate(((0, 1), (1, 0), (1, 1))):
                         g[k] += (a == x and b == y) - edge[i][k]
         n = len(data)
-        unary = {f: step(f, unary.get(f, 0.0), g / n - decay * unary.get(f, 0.0)) for f, g in gu.items()}
+        unary = {f: step(f, unary.get(f, 0.0), g / n - decay * (unary.get(f, 0.0) - START.get(f, 0.0))) for f, g in gu.items()}
         pair = [[step((k, j), pair[k][j], gp[k][j] / n) for j in range(3)] for k in range(KINDS)]
     return TreeModel(unary, pair)
 
