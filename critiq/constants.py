@@ -66,29 +66,23 @@ REPEAT_ORDINALS = ["first", "second", "third", "fourth", "fifth", "last"]
 # month-first form precedes the day-first form so that an ambiguous 05/01/2024
 # reads as May 1; an impossible month (28/02/2024) falls through to day-first.
 DATE_FORMATS = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-M-d",
-    "yyyy/M/d",
-    "yyyyMMdd",
-    "d-MMM-yy",
-    "d-MMM-yyyy",
-    "M-d-yy",
-    "M/d/yyyy",
-    "d/M/yyyy",
-    "M/d/yy",
-    "d/M/yy",
-    "M/d/yyyy h:mm a",
-    "d.M.yyyy",
-    "MMMM d, yyyy",
-    "MMM d, yyyy",
-    "MMM d yyyy",
-    "d MMMM yyyy",
-    "d MMM yyyy",
+    "yyyy-M-d", "yyyy/M/d", "yyyy.M.d", "yyyyMMdd", "yyyy-MMM-d",
+    "d-MMM-yy", "d-MMM-yyyy", "d-MMMM-yyyy", "MMM-d-yyyy", "d/MMM/yyyy",
+    "M-d-yy", "d-M-yy", "M-d-yyyy", "d-M-yyyy",
+    "M/d/yy", "d/M/yy", "M/d/yyyy", "d/M/yyyy", "d.M.yyyy",
+    "MMMM d, yyyy", "MMM d, yyyy", "MMMM d yyyy", "MMM d yyyy",
+    "d MMMM yyyy", "d MMM yyyy", "d MMMM, yyyy", "d MMM, yyyy",
+]
+# Rewrites that leave the written (local) date of a value: weekday, ordinal
+# suffix, a time in the middle (C style), a time with or without zone at the end.
+DATE_REWRITES = [
+    (r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", ""),
+    (r"(?i)\bsept\b", "Sep"),
+    (r"(?i)(\d)(st|nd|rd|th)\b", "$1"),
+    (r"^([A-Za-z]{3,9} +\d{1,2}) +\d{1,2}:\d{2}:\d{2} +(\d{4})$", "$1 $2"),
+    (r"(?i)[T ]+([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d+)?)?( ?[ap]m)?( ?(z|utc|gmt|[+-]\d{2}:?\d{2}))?$", ""),
+    (r"^(\d{8})T\d{4}(\d{2})?$", "$1"),
 ]
-# ISO form with a zone offset: the written (local) date is kept.
-DATE_FORMAT_WITH_OFFSET = "yyyy-MM-dd'T'HH:mm:ssXXX"
-WEEKDAY_PREFIX = r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+"
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: classifier keyword tables

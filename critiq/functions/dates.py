@@ -1,6 +1,6 @@
 """Date parsing and week bucketing.
 
-``parse_date`` tries an explicit, ordered list of formats (``constants.DATE_FORMATS``)
+``unwrap`` leaves the written date of a value; ``parse_unwrapped`` tries an explicit, ordered list of formats (``constants.DATE_FORMATS``)
 with ``try_to_timestamp``, which yields null instead of failing under ANSI mode.
 Each format sits behind a cheap shape test so that a row only pays for the
 parsers whose shape it has; the shape tests are necessary conditions, so the
@@ -20,27 +20,34 @@ from .text import py_strip
 _M = r"(0?[1-9]|1[0-2])"
 _D = r"(0?[1-9]|[12][0-9]|3[01])"
 _SHAPES = {
-    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
-    "yyyy-MM-dd HH:mm": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$",
     "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$",
     "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$",
+    "yyyy.M.d": r"^\d{4}\.\d{1,2}\.\d{1,2}$",
     "yyyyMMdd": r"^\d{8}$",
+    "yyyy-MMM-d": r"^\d{4}-\p{L}{3}-\d{1,2}$",
     "d-MMM-yy": r"^\d{1,2}-\p{L}{3}-\d{2}$",
     "d-MMM-yyyy": r"^\d{1,2}-\p{L}{3}-\d{4}$",
+    "d-MMMM-yyyy": r"^\d{1,2}-\p{L}{4,}-\d{4}$",
+    "MMM-d-yyyy": r"^\p{L}{3}-\d{1,2}-\d{4}$",
+    "d/MMM/yyyy": r"^\d{1,2}/\p{L}{3}/\d{4}$",
     "M-d-yy": rf"^{_M}-{_D}-\d{{2}}$",
+    "d-M-yy": rf"^{_D}-{_M}-\d{{2}}$",
+    "M-d-yyyy": rf"^{_M}-{_D}-\d{{4}}$",
+    "d-M-yyyy": rf"^{_D}-{_M}-\d{{4}}$",
     "M/d/yyyy": rf"^{_M}/{_D}/\d{{4}}$",
     "d/M/yyyy": rf"^{_D}/{_M}/\d{{4}}$",
     "M/d/yy": rf"^{_M}/{_D}/\d{{2}}$",
     "d/M/yy": rf"^{_D}/{_M}/\d{{2}}$",
-    "M/d/yyyy h:mm a": rf"^{_M}/{_D}/\d{{4}} \d{{1,2}}:\d{{2}} \p{{L}}{{2}}$",
     "d.M.yyyy": rf"^{_D}\.{_M}\.\d{{4}}$",
     "MMMM d, yyyy": r"^\p{L}{3,} \d{1,2}, \d{4}$",
     "MMM d, yyyy": r"^\p{L}{3} \d{1,2}, \d{4}$",
+    "MMMM d yyyy": r"^\p{L}{4,} \d{1,2} \d{4}$",
     "MMM d yyyy": r"^\p{L}{3} \d{1,2} \d{4}$",
     "d MMMM yyyy": r"^\d{1,2} \p{L}{3,} \d{4}$",
     "d MMM yyyy": r"^\d{1,2} \p{L}{3} \d{4}$",
+    "d MMMM, yyyy": r"^\d{1,2} \p{L}{3,}, \d{4}$",
+    "d MMM, yyyy": r"^\d{1,2} \p{L}{3}, \d{4}$",
 }
-_OFFSET_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}([+-]\d{2}:\d{2}|Z)$"
 
 
 def _shape(fmt: str) -> str:
@@ -48,9 +55,13 @@ def _shape(fmt: str) -> str:
 
 
 def unwrap(c: Column) -> Column:
-    """Strip white space, then surrounding double quotes, then single quotes."""
+    """The date part of a value: without white space and quotes around it (double,
+    then single) and without weekday, ordinal suffix, time and zone."""
     s = F.regexp_replace(py_strip(c), '^"+|"+$', "")
-    return F.regexp_replace(s, "^'+|'+$", "")
+    s = F.regexp_replace(s, "^'+|'+$", "")
+    for pattern, put in K.DATE_REWRITES:
+        s = F.regexp_replace(s, pattern, put)
+    return s
 
 
 def _try(v: Column, fmt: str) -> Column:
@@ -71,17 +82,11 @@ def _parse_sql(name: str) -> str:
     """SQL text of the candidate chain for a named, already unwrapped column."""
     from .keywords import sql_ref, sql_string
     v = sql_ref(name)
-    nd = f"regexp_replace({v}, {sql_string(K.WEEKDAY_PREFIX)}, '')"
 
     def attempt(x: str, fmt: str) -> str:
         return (f"CASE WHEN {x} RLIKE {sql_string(_shape(fmt))} THEN "
                 f"to_date(try_to_timestamp({x}, {sql_string(fmt)})) END")
-    cands = [f"CASE WHEN {v} RLIKE {sql_string(_OFFSET_SHAPE)} AND "
-             f"try_to_timestamp({v}, {sql_string(K.DATE_FORMAT_WITH_OFFSET)}) IS NOT NULL "
-             f"THEN to_date(try_to_timestamp(substring({v}, 1, 10), 'yyyy-MM-dd')) END"]
-    cands += [attempt(v, f) for f in K.DATE_FORMATS]
-    cands += [f"CASE WHEN {nd} != {v} THEN {attempt(nd, f)} END"
-              for f in K.DATE_FORMATS if f[0] in "dM" and "MMM" in f]
+    cands = [attempt(v, f) for f in K.DATE_FORMATS]
     return f"CASE WHEN {v} != '' THEN coalesce({', '.join(cands)}) END"
 
 
@@ -93,13 +98,7 @@ def parse_unwrapped(v: Column | str, two_digit_pivot: int | None = None) -> Colu
         return F.expr(_parse_sql(v))
     if isinstance(v, str):
         v = F.col(v)
-    no_day = F.regexp_replace(v, K.WEEKDAY_PREFIX, "")
-    offset = F.when(v.rlike(_OFFSET_SHAPE),
-                    F.when(F.try_to_timestamp(v, F.lit(K.DATE_FORMAT_WITH_OFFSET)).isNotNull(),
-                           F.to_date(F.try_to_timestamp(F.substring(v, 1, 10), F.lit("yyyy-MM-dd")))))
-    cands = [offset] + [_try(v, f) for f in K.DATE_FORMATS]
-    cands += [F.when(no_day != v, _try(no_day, f)) for f in K.DATE_FORMATS if f[0] in "dM" and "MMM" in f]
-    d = F.coalesce(*cands)
+    d = F.coalesce(*[_try(v, f) for f in K.DATE_FORMATS])
     if two_digit_pivot is not None:
         yy = v.rlike(r"(^|[^0-9])[0-9]{2}$") & ~v.rlike(r"[0-9]{4}")
         d = F.when(yy & (F.year(d) >= 2000 + two_digit_pivot), F.add_months(d, -1200)).otherwise(d)

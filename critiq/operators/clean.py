@@ -49,9 +49,14 @@ class Cleaned:
 
 def with_surrogate_id(raw: DataFrame) -> DataFrame:
     """``id`` = 1..n in file order when the input has none (needs a dense ``seq``).
-    It is assigned before duplicate removal, so identical records keep distinct ids."""
+    It is assigned before duplicate removal, so identical records keep distinct ids.
+    An id column of the input keeps its values: whole numbers become ``bigint``;
+    text stays text (``3.0`` reads as ``3``), so different ids never merge."""
     if "id" in raw.columns:
-        return raw.withColumn("id", F.col("id").cast("string").try_cast("bigint"))
+        kind = raw.schema["id"].dataType.simpleString()
+        if kind in ("tinyint", "smallint", "int", "bigint"):
+            return raw.withColumn("id", F.col("id").cast("bigint"))
+        return raw.withColumn("id", F.regexp_replace(F.trim(F.col("id").cast("string")), r"^([+-]?\d+)\.0+$", "$1"))
     return raw.withColumn("id", F.col("seq") + 1)
 
 

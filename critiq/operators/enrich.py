@@ -3,11 +3,11 @@ every row of that pattern.
 
 The pattern table (one row per ``normalized_text`` with its first row in file
 order) is built by a map-side combined aggregate, the classifier runs over it,
-and the result is joined back to the rows once.  A pattern holding a third of
-all rows costs one partial row per task in the aggregate; in the join-back AQE
-broadcasts the pattern side when it is small and splits the hot partition
-otherwise.  A pluggable classifier (e.g. a remote model) runs over the
-pattern table with ``mapInPandas`` in Arrow batches.
+and the result is written and joined back to the rows once.  A pattern holding a
+third of all rows costs one partial row per task in the aggregate; in the
+join-back AQE broadcasts the pattern side when it is small and splits the hot
+partition otherwise.  A pluggable classifier (e.g. a remote model) is called once per
+batch of ``CLASSIFIER_BATCH_SIZE`` patterns in first-seen order.
 """
 from __future__ import annotations
 
@@ -18,29 +18,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..session import materialize
 from .classify import classify_frame
 from .clean import CLEANED_COLUMNS, Cleaned, pattern_table
+from .responses import batch_assign
 
 ENRICHED_COLUMNS = CLEANED_COLUMNS + ["ai_sentiment", "ai_category", "ai_summary",
                                       "ai_confidence"]
 PLUGIN_SCHEMA = ("normalized_text string, sentiment string, category string, "
                  "summary string, confidence double")
 
+PLUGIN_COLUMNS = ["normalized_text", "sentiment", "category", "summary", "confidence"]
+
 Classifier = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
 def classify_patterns(patterns: DataFrame, classifier: Classifier | None = None) -> DataFrame:
     """Add ``ai_*`` columns to the pattern table.
 
-    Default: the native heuristic.  A plug-in receives pandas frames with
-    (normalized_text, feedback_text, rating, batch_id) and yields frames with
-    ``PLUGIN_SCHEMA``; patterns it does not answer fall back to the heuristic."""
+    Default: the native heuristic.  A plug-in receives one pandas frame with
+    (normalized_text, feedback_text, rating, batch_id) a batch and yields frames
+    with ``PLUGIN_SCHEMA``; patterns it does not answer fall back to the heuristic."""
     base = classify_frame(patterns, "first_text", "first_rating", "_h")
     if classifier is not None:
-        ask = patterns.select("normalized_text", F.col("first_text").alias("feedback_text"),
-                              F.col("first_rating").alias("rating"),
-                              F.floor(F.col("first_seq") / K.CLASSIFIER_BATCH_SIZE).alias("batch_id"))
-        answers = ask.mapInPandas(classifier, PLUGIN_SCHEMA).withColumnRenamed(
+        ask = batch_assign(patterns.select("normalized_text", F.col("first_text").alias("feedback_text"),
+                                           F.col("first_rating").alias("rating"), "first_seq"))
+
+        def one_batch(frame):
+            frame = frame.sort_values("batch_pos")
+            columns = ["normalized_text", "feedback_text", "rating", "batch_id"]
+            found = list(classifier(iter([frame[columns].reset_index(drop=True)])))
+            return pd.concat(found) if found else frame[:0].reindex(columns=PLUGIN_COLUMNS)
+
+        answers = ask.groupBy("batch_id").applyInPandas(one_batch, PLUGIN_SCHEMA).withColumnRenamed(
             "normalized_text", "_nt")
         base = base.join(answers, base.normalized_text == answers._nt, "left").drop("_nt")
         pick = lambda f: F.coalesce(F.col(f), F.col("_h").getField(f))
@@ -76,9 +86,11 @@ def enrich(cleaned: Cleaned | DataFrame, classifier: Classifier | None = None) -
     else:
         rows = cleaned.drop("complaint_count")
         patterns = pattern_table(rows)
-    labels = classify_patterns(patterns, classifier).select(
+    # Written once: a join of two tables has a shuffle right under each sort, so
+    # AQE can split a hot pattern, and no reader classifies anew.
+    labels = materialize(classify_patterns(patterns, classifier).select(
         "normalized_text", "complaint_count", "ai_sentiment", "ai_category", "ai_summary",
-        "ai_confidence")
+        "ai_confidence"), "table")
     j = rows.join(labels, "normalized_text", "left")
     return j.select(
         *[c for c in CLEANED_COLUMNS],

@@ -40,22 +40,20 @@ def fill_in_order(df: DataFrame, col: str, order: str = "seq",
     # materialized input (``clean`` does) so that branch is a two-column read
     # rather than a recomputation.
     x = df.withColumn("_ch", F.floor(F.col(order) / width)).repartition("_ch")
-    # Only running frames (UNBOUNDED PRECEDING .. x): they are evaluated
-    # incrementally, whereas a frame ending at UNBOUNDED FOLLOWING is
-    # re-aggregated for every row.  "Next" values come from the reversed order.
+    # A running frame only (UNBOUNDED PRECEDING .. x): it is evaluated
+    # incrementally.  A row without a value before it in its chunk and without
+    # one carried over precedes the chunk's first value, so that one is next.
     up = Window.partitionBy("_ch").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("_ch").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
-    y = x.withColumns({"_lf": F.last(val, ignorenulls=True).over(up),
-                       "_lb": F.last(val, ignorenulls=True).over(down)})
+    y = x.withColumn("_lf", F.last(val, ignorenulls=True).over(up))
     pair = F.struct(F.col(order).alias("o"), val.alias("v"))
-    ends = y.groupBy("_ch").agg(
+    ends = x.groupBy("_ch").agg(
         F.max(F.when(val.isNotNull(), pair)).getField("v").alias("_last"),
         F.min(F.when(val.isNotNull(), pair)).getField("v").alias("_first"))
     before = Window.orderBy("_ch").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.orderBy(F.desc("_ch")).rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.select("_ch",
+    carry = ends.select("_ch", "_first",
                         F.last("_last", ignorenulls=True).over(before).alias("_prev"),
                         F.last("_first", ignorenulls=True).over(after).alias("_next"))
     out = y.join(carry, "_ch", "left")
-    filled = F.coalesce(F.col("_lf"), F.col("_prev"), F.col("_lb"), F.col("_next"))
-    return out.withColumn(col, filled).drop("_ch", "_lf", "_lb", "_prev", "_next")
+    filled = F.coalesce(F.col("_lf"), F.col("_prev"), F.col("_first"), F.col("_next"))
+    return out.withColumn(col, filled).drop("_ch", "_lf", "_first", "_prev", "_next")

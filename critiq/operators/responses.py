@@ -31,7 +31,9 @@ RESULT = T.StructType([
     T.StructField("summary", T.StringType()),
     T.StructField("confidence", T.DoubleType()),
 ])
-RESPONSE = T.StructType([T.StructField("results", T.ArrayType(RESULT))])
+# As read: ids and confidences may come as numbers or as text.
+_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in RESULT])
+RESPONSE = T.StructType([T.StructField("results", T.ArrayType(_TEXT))])
 
 
 def strip_fence(c: Column) -> Column:
@@ -42,12 +44,23 @@ def strip_fence(c: Column) -> Column:
 
 
 def parse_response(c: Column) -> Column:
-    """Array of result structs; null when the text is not a JSON object.
+    """Array of result structs; null when the text is not a JSON object, or when
+    an id or a confidence in it is not a number (as text or not).
     A missing ``results`` key reads as an empty list."""
     body = strip_fence(c)
-    parsed = F.from_json(body, RESPONSE)
+    found = F.coalesce(F.from_json(body, RESPONSE).getField("results"), F.array().cast(T.ArrayType(_TEXT)))
     ok = body.startswith("{") & F.coalesce(F.get_json_object(body, "$").isNotNull(), F.lit(False))
-    return F.when(ok, F.coalesce(parsed.getField("results"), F.array().cast(T.ArrayType(RESULT))))
+
+    def bad(e: Column) -> Column:
+        return ((e.getField("id").isNotNull() & e.getField("id").try_cast("double").isNull())
+                | (e.getField("confidence").isNotNull() & e.getField("confidence").try_cast("double").isNull()))
+
+    def typed(e: Column) -> Column:
+        return F.struct(e.getField("id").try_cast("double").cast("bigint").alias("id"), e.getField("sentiment").alias("sentiment"),
+                        e.getField("category").alias("category"), e.getField("summary").alias("summary"),
+                        e.getField("confidence").try_cast("double").alias("confidence"))
+
+    return F.when(ok & ~F.exists(found, bad), F.transform(found, typed))
 
 
 def response_results(responses: DataFrame, batch_col: str = "batch_id",
@@ -70,15 +83,18 @@ def merge_responses(records: DataFrame, responses: DataFrame, *, mode: str = "ba
 
     Returns (batch_id, id, status, ai_sentiment, ai_category, ai_summary, ai_confidence);
     status is answered / missing / failed / single_failed / skipped."""
-    status_of = responses.select(
-        "batch_id", F.when(parse_response(F.col("response")).isNull(), F.lit("failed"))
-                     .otherwise(F.lit("answered")).alias("_bstatus"))
+    # One status per batch, however many responses it has: answered if any parses.
+    status_of = responses.groupBy("batch_id").agg(
+        F.min(F.when(parse_response(F.col("response")).isNull(), F.lit("failed"))
+               .otherwise(F.lit("answered"))).alias("_bstatus"))
     answers = response_results(responses).withColumn("_hit", F.lit(True))
     r = (records.join(status_of, "batch_id", "left")
                 .join(answers, ["batch_id", "id"], "left"))
     if breaker:
-        first_fail = status_of.filter(F.col("_bstatus") == "failed").select(
-            F.min("batch_id")).scalar()
+        # A batch without a response has failed as well.
+        first_fail = (records.select("batch_id").distinct().join(status_of, "batch_id", "left")
+                      .filter(F.coalesce(F.col("_bstatus") == "failed", F.lit(True)))
+                      .select(F.min("batch_id")).scalar())
         skipped = F.coalesce(F.col("batch_id") > first_fail, F.lit(False))
     else:
         skipped = F.lit(False)

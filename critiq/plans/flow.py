@@ -75,7 +75,8 @@ class Analysis:
     def metrics(self) -> DataFrame:
         from ..operators.validate import validation_metrics
         health = self.audit.select("health_score").scalar()
-        return self._keep(validation_metrics(self.enriched, health))
+        # Validation leaves the confidence as it is.
+        return self._keep(validation_metrics(self.validated, health))
 
     @property
     def review_queue(self) -> DataFrame:

@@ -81,25 +81,31 @@ def normalize(x: str) -> str:
 
 # Spark pattern -> strftime, in the engine's order.
 STRPTIME = {
-    "yyyy-MM-dd HH:mm:ss": "%Y-%m-%d %H:%M:%S", "yyyy-MM-dd HH:mm": "%Y-%m-%d %H:%M",
-    "yyyy-M-d": "%Y-%m-%d", "yyyy/M/d": "%Y/%m/%d", "yyyyMMdd": "%Y%m%d",
-    "d-MMM-yy": "%d-%b-%y", "d-MMM-yyyy": "%d-%b-%Y", "M-d-yy": "%m-%d-%y",
+    "yyyy-M-d": "%Y-%m-%d", "yyyy/M/d": "%Y/%m/%d", "yyyy.M.d": "%Y.%m.%d", "yyyyMMdd": "%Y%m%d",
+    "yyyy-MMM-d": "%Y-%b-%d", "d-MMM-yy": "%d-%b-%y", "d-MMM-yyyy": "%d-%b-%Y",
+    "d-MMMM-yyyy": "%d-%B-%Y", "MMM-d-yyyy": "%b-%d-%Y", "d/MMM/yyyy": "%d/%b/%Y",
+    "M-d-yy": "%m-%d-%y", "d-M-yy": "%d-%m-%y", "M-d-yyyy": "%m-%d-%Y", "d-M-yyyy": "%d-%m-%Y",
     "M/d/yyyy": "%m/%d/%Y", "d/M/yyyy": "%d/%m/%Y", "M/d/yy": "%m/%d/%y", "d/M/yy": "%d/%m/%y",
-    "M/d/yyyy h:mm a": "%m/%d/%Y %I:%M %p", "d.M.yyyy": "%d.%m.%Y",
-    "MMMM d, yyyy": "%B %d, %Y", "MMM d, yyyy": "%b %d, %Y", "MMM d yyyy": "%b %d %Y",
-    "d MMMM yyyy": "%d %B %Y", "d MMM yyyy": "%d %b %Y",
+    "d.M.yyyy": "%d.%m.%Y", "MMMM d, yyyy": "%B %d, %Y", "MMM d, yyyy": "%b %d, %Y",
+    "MMMM d yyyy": "%B %d %Y", "MMM d yyyy": "%b %d %Y", "d MMMM yyyy": "%d %B %Y",
+    "d MMM yyyy": "%d %b %Y", "d MMMM, yyyy": "%d %B, %Y", "d MMM, yyyy": "%d %b, %Y",
 }
 
 
 def unwrap(x: str) -> str:
     s = strip(x)
     s = f"regexp_replace({s}, '^\"+|\"+$', '', 'g')"
-    return f"regexp_replace({s}, '^''+|''+$', '', 'g')"
+    s = f"regexp_replace({s}, '^''+|''+$', '', 'g')"
+    for pattern, put in K.DATE_REWRITES:
+        s = f"regexp_replace({s}, {q(pattern)}, {q(put.replace('$', chr(92)))}, 'g')"
+    return s
 
 
 def iso_date(x: str) -> str:
     v = unwrap(x)
-    fmts = "[" + ", ".join(q(STRPTIME[f]) for f in K.DATE_FORMATS) + "]"
+    # %Y also takes two digits here, so the two-digit years are tried first.
+    order = sorted(K.DATE_FORMATS, key=lambda f: "yyyy" in f)
+    fmts = "[" + ", ".join(q(STRPTIME[f]) for f in order) + "]"
     return (f"(case when {v} = '' then null else strftime(cast(try_strptime({v}, {fmts}) as date), "
             f"'%Y-%m-%d') end)")
 

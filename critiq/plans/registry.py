@@ -135,23 +135,26 @@ def q_surrogate_id(spark, sf):
     return r.select("seq", (F.col("_r") + 1).alias("surrogate_id"))
 
 
-@register("scan_csv", None)
+@register("scan_csv", FB + " select cast(row_number() over (order by seq) - 1 as bigint) as seq, " + ", ".join(
+    f"case when {c} in ({', '.join(O.q(t) for t in K.NA_TOKENS)}) then null else {c} end as {c}"
+    for c in ["timestamp", "source", "rating", "feedback_text"]) + " from fb")
 def q_scan_csv(spark, sf):
-    """Write the raw fixture as CSV (no id column), read it back in file order."""
+    """Write the raw fixture as CSV (no id column) in file order, read it back."""
     path = scratch_path(spark, f"scan_csv/{uuid.uuid4().hex}")
-    raw = _fb(spark, sf).orderBy("seq").drop("seq", "id")
-    write_table(raw.coalesce(4), path, "csv")
+    raw = _fb(spark, sf).repartitionByRange("seq").sortWithinPartitions("seq").drop("seq", "id")
+    write_table(raw, path, "csv")
     back = read_feedback(spark, path, "csv")
     return back.select("seq", "timestamp", "source", "rating", "feedback_text")
 
 
-@register("export_enriched", None)
+@register("export_enriched", PIPE + " select * exclude (seq) from validated")
 def q_export_enriched(spark, sf):
     """Write the validated table as CSV and read it back."""
     path = scratch_path(spark, f"export/{uuid.uuid4().hex}")
     from ..sources import write_enriched
-    write_enriched(_an(spark, sf).validated, path)
-    return spark.read.option("header", True).csv(path)
+    rows = _an(spark, sf).validated
+    write_enriched(rows, path)
+    return spark.read.option("header", True).option("escape", '"').schema(_drop_seq(rows).schema).csv(path)
 
 
 @register("stream_intake", None)
@@ -396,6 +399,26 @@ def q_pattern_classify(spark, sf):
     return p.select("normalized_text", "ai_sentiment", "ai_category", "ai_summary", "ai_confidence")
 
 
+def _echo_batches(frames):
+    """A plug-in with known answers: tells each pattern's batch, leaves every
+    fifth pattern of a batch unanswered."""
+    for f in frames:
+        out = f[["normalized_text"]].copy()
+        out["sentiment"], out["category"] = "Neutral", "Other"
+        out["summary"], out["confidence"] = f["batch_id"].astype(str), 0.5
+        yield out[out.index % 5 != 4]
+
+
+@register("plugin_classify", PIPE + ", pos as (select normalized_text, row_number() over (order by first_seq) - 1 as p from pclass) "
+          "select c.normalized_text, case when p % 20 % 5 = 4 then c_sentiment else 'Neutral' end as ai_sentiment, "
+          "case when p % 20 % 5 = 4 then c_category else 'Other' end as ai_category, "
+          "case when p % 20 % 5 = 4 then c_summary else cast(p // 20 as varchar) end as ai_summary, "
+          "case when p % 20 % 5 = 4 then c_confidence else 0.5 end as ai_confidence from pclass c join pos using (normalized_text)")
+def q_plugin_classify(spark, sf):
+    p = classify_patterns(_an(spark, sf).cleaned.patterns, _echo_batches)
+    return p.select("normalized_text", "ai_sentiment", "ai_category", "ai_summary", "ai_confidence")
+
+
 @register("enrich_rows", PIPE + " select * exclude (seq) from enriched")
 def q_enrich_rows(spark, sf):
     return _drop_seq(_an(spark, sf).enriched)

@@ -50,10 +50,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only when none is configured (local
-    tests) create a scratch one."""
+    """Use the cluster's checkpoint folder; only when none is configured, and
+    only on a local master (tests), create a scratch one."""
     d = checkpoint_dir(spark)
     if d is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="critiq-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

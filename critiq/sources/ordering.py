@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.sizing import join_small
+from ..session import materialize
 
 _LOW33 = (1 << 33) - 1
 
@@ -17,29 +17,22 @@ def with_file_order(df: DataFrame, seq: str = "seq", file_col: str | None = None
                     block_col: str | None = None) -> DataFrame:
     """Dense 0-based ``seq`` in file order for a frame read from files.
 
-    A file split (file path, ``file_block_start``) always lands in one Spark
-    partition and is read in order, so the monotonically increasing id is
-    consecutive inside a split.  Per split we keep (first id, row count), turn
-    the counts into running offsets over the small split table, and add the
-    offset back.  Only the split table (one row per split) is aggregated,
-    written and joined; the rows are never shuffled, and the input is scanned
-    twice (split counts, then the rows).  The ids depend only on the scan's
-    split layout, which is the same every time the scan runs.
+    The rows are written once with their file path, split start and running id;
+    a file split always lands in one partition and is read in order, so the ids
+    of a split are consecutive.  Split offsets and rows are both read from that
+    table, so no second scan of the input, with whatever split layout, can
+    disagree with the first, and no row can miss its split.
     ``file_col``/``block_col`` name already selected metadata columns (streams)."""
     x = (df.withColumn("_f", F.col(file_col) if file_col else F.col("_metadata.file_path"))
            .withColumn("_b", F.col(block_col) if block_col else F.col("_metadata.file_block_start"))
            .withColumn("_m", F.monotonically_increasing_id()))
+    x = materialize(x, "table")
     splits = x.groupBy("_f", "_b").agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
+    # One row per file split; AQE broadcasts it when it is small in bytes.
     w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("_f", "_b", "_m0",
                             F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    # The split table (one row per file split) is written once, so the size
-    # check before broadcasting it and the join read a small table instead of
-    # scanning the input again.
-    from ..session import materialize
-    offsets = materialize(offsets, "table")
-    out = join_small(x, offsets, ["_f", "_b"], "inner", max_rows=2_000_000)
-    out = out.withColumn(seq, F.col("_off") + F.col("_m") - F.col("_m0"))
+    out = x.join(offsets, ["_f", "_b"]).withColumn(seq, F.col("_off") + F.col("_m") - F.col("_m0"))
     drop = ["_f", "_b", "_m", "_m0", "_off"] + [c for c in (file_col, block_col) if c]
     return out.drop(*drop)
 
@@ -50,29 +43,19 @@ def with_arrival_order(df: DataFrame, seq: str = "seq") -> DataFrame:
     return df.withColumn(seq, F.monotonically_increasing_id())
 
 
-def dense_rank_by(df: DataFrame, order_col: str, out: str = "rank0",
-                  buckets: int | None = None) -> DataFrame:
-    """0-based dense position of each row ordered by a unique numeric ``order_col``.
+def dense_rank_by(df: DataFrame, order_col: str, out: str = "rank0") -> DataFrame:
+    """0-based dense position of each row ordered by a unique ``order_col``.
 
-    Rows go to value buckets cut at approximate quantiles of the key (one
-    ``percentile_approx`` scalar subquery, no collect), so each bucket holds
-    about the same number of rows however the keys cluster.  Bucket counts
-    become running offsets over the bucket table (at most ``buckets`` rows, so
-    broadcasting it is bounded); the position inside a bucket is a
-    ``row_number`` partitioned by bucket.  Everything depends on values, never
-    on physical partition ids, so a re-run after a lost executor gives the
-    same numbers."""
-    spark = df.sparkSession
-    nb = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.col(order_col)
-    cuts = [i / nb for i in range(1, nb)]
-    bounds = df.select(F.percentile_approx(key, cuts, 10_000)).scalar()
-    x = df.withColumn("_cuts", bounds)
-    x = x.withColumn("_bk", F.size(F.filter(F.col("_cuts"), lambda b: b < key))).drop("_cuts")
-    counts = x.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("_bk", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy("_bk").orderBy(key)
-    r = x.join(F.broadcast(offs), "_bk").withColumn(
-        out, F.col("_off") + F.row_number().over(inner) - 1)
-    return r.drop("_bk", "_off")
+    One range shuffle sorts the rows; they are written once with their partition
+    number and position in it.  Row counts per partition (one row a partition)
+    become running offsets, read from the same table, so ranks are consistent
+    whatever is recomputed."""
+    x = (df.repartitionByRange(F.col(order_col)).sortWithinPartitions(order_col)
+           .withColumn("_m", F.monotonically_increasing_id()))
+    x = materialize(x, "table").withColumn("_p", F.shiftright("_m", 33))
+    counts = x.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_p", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    r = x.join(F.broadcast(offs), "_p").withColumn(
+        out, F.col("_off") + F.col("_m").bitwiseAND(F.lit(_LOW33)))
+    return r.drop("_p", "_m", "_off")

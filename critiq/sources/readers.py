@@ -52,6 +52,9 @@ def read_feedback(spark: SparkSession, path: str, fmt: str | None = None, *,
     fmt = fmt or detect_format(path)
     if fmt == "csv":
         df = (spark.read.option("header", True).option("escape", '"')
+              # Every file's header must name the same columns in the same order;
+              # Spark raises otherwise instead of reading by position.
+              .option("enforceSchema", False)
               .option("multiLine", multiline).option("mode", "PERMISSIVE").csv(path))
         df = null_tokens(df)
     elif fmt == "parquet":

@@ -8,7 +8,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     """Write a result table (``csv`` gets a header row)."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        w = w.option("header", True).option("escape", '"')
+        w = (w.option("header", True).option("escape", '"')
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     w.format(fmt).save(path)
     return path
 
