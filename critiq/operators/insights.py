@@ -65,7 +65,8 @@ def value_distribution(v: DataFrame, col: str) -> DataFrame:
     """(value, count, percentage) over observed non-null values; the denominator
     is every row (null values included)."""
     g = v.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
+    # A scalar subquery: a window over all values would run in one task.
+    total = v.agg(F.count(F.lit(1)).alias("n")).scalar()
     return (g.withColumn("_total", total).filter(F.col(col).isNotNull())
              .select(col, "count", pct(F.col("count"), F.col("_total")).alias("percentage")))
 
@@ -78,8 +79,10 @@ def crosstab(v: DataFrame, col: str, domain, label: str) -> DataFrame:
     aggs += [F.count_if(F.col(col) == lbl).alias(f"n_{i}") for i, lbl in enumerate(domain)]
     wide = x.groupBy("source").agg(*aggs)
     long = wide.select("source", "_row", _stack(domain, label, ["n"]))
-    seen = F.sum("n").over(Window.partitionBy(label))
-    return (long.withColumn("_seen", seen).filter(F.col("_seen") > 0)
+    # Counts of the labels as one scalar subquery: a window a label would put
+    # all sources into a few tasks.
+    seen = x.agg(F.array(*[F.count_if(F.col(col) == lbl) for lbl in domain]).alias("n")).scalar()
+    return (long.withColumn("_seen", F.element_at(seen, F.col("_rank") + 1)).filter(F.col("_seen") > 0)
                 .select("source", label, pct(F.col("n"), F.col("_row")).alias("percentage")))
 
 

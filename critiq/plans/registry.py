@@ -317,11 +317,10 @@ def q_audit(spark, sf):
     return _an(spark, sf).audit
 
 
-@register("health_score", O.with_(O.fb_cte(), ", hs as (select * from fb where feedback_text like '%(order #%')",
-                                  O.audit_ctes("hs", "aud")) +
-          " select total_records, deductions, health_score from aud")
+@register("health_score", AUD + " select total_records, deductions, health_score from aud")
 def q_health_score(spark, sf):
-    return audit(fx.health_slice(spark, sf)).select("total_records", "deductions", "health_score")
+    """``deductions`` is the score before it is clamped."""
+    return _an(spark, sf).audit.select("total_records", "deductions", "health_score")
 
 
 _DOC_COLS = "text, lang, source, n_chars"
@@ -461,14 +460,11 @@ def q_validation_metrics(spark, sf):
     return _an(spark, sf).metrics
 
 
-@register("reliability", O.with_(", ".join([]) + "fb0 as (select * from (" +
-                                  fx.feedback_raw_sql("duckdb") + ")), fb as (select * from fb0 "
-                                  "where feedback_text like '%(order #%')", O.pipeline_ctes(),
-                                  O.audit_ctes(), _VM) +
+@register("reliability", O.with_(O.fb_cte(), O.pipeline_ctes(), O.audit_ctes(), _VM) +
           " select (select health_score from aud) as health_score, average_confidence, "
           "insight_reliability from vm")
 def q_reliability(spark, sf):
-    an = analyse(fx.health_slice(spark, sf))
+    an = _an(spark, sf)
     h = an.audit.select("health_score").scalar()
     return an.metrics.select(h.alias("health_score"), "average_confidence", "insight_reliability")
 

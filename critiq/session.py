@@ -64,9 +64,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "critiq", name)
+    """A path under the shared checkpoint folder for written intermediate tables
+    of this application."""
+    return os.path.join(_scratch(spark), name)
+
+
+def _scratch(spark: SparkSession) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), "critiq", spark.sparkContext.applicationId)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables that this application wrote (call it when
+    no frame that reads them is needed any more)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, mode: str = "table") -> DataFrame:

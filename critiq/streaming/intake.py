@@ -3,14 +3,15 @@
 The batch engine analyses one whole feedback file per run (a new upload
 replaces the previous analysis).  As a stream this is a file source with one
 file per micro-batch; ``foreachBatch`` runs the full flow on that file and
-appends its result tables, tagged with the file and the batch id, under the
-sink folder.  Progress (which files were done) lives in the checkpoint
+writes its result tables, tagged with the file, to the batch's folder
+(``batch_id=N``) under the sink folder.  Progress (which files were done) lives in the checkpoint
 location under the cluster's checkpoint folder, so a restarted or
 executor-lost query resumes without redoing or skipping files.  Nothing is
 kept in state between files, so no watermark is needed.
 """
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,6 @@ from pyspark.sql import types as T
 
 from ..plans.flow import analyse
 from ..session import ensure_checkpoint_dir
-import hashlib
-
 from ..sources.ordering import with_file_order
 from ..sources.readers import REQUIRED, null_tokens
 
@@ -40,8 +39,10 @@ def _analyse_file(batch: DataFrame, batch_id: int, sink: str, outputs) -> None:
     an = analyse(null_tokens(ranked.drop(*[c for c in ranked.columns if c.startswith("_")])),
                  materialize="checkpoint")
     for name in outputs:
-        out = getattr(an, name).withColumns({"source_file": src, "batch_id": F.lit(batch_id)})
-        out.write.mode("append").parquet(os.path.join(sink, name))
+        out = getattr(an, name).withColumn("source_file", src)
+        # A folder a batch, overwritten: a batch that is retried replaces what
+        # its first attempt wrote.
+        out.write.mode("overwrite").parquet(os.path.join(sink, name, f"batch_id={batch_id}"))
 
 
 def start_intake(spark: SparkSession, source_dir: str, sink_dir: str, *,
@@ -49,7 +50,7 @@ def start_intake(spark: SparkSession, source_dir: str, sink_dir: str, *,
                  outputs=OUTPUTS, schema: T.StructType | None = None):
     """Start the intake stream; returns the ``StreamingQuery``."""
     base = ensure_checkpoint_dir(spark)
-    key = hashlib.sha1(os.path.abspath(sink_dir).encode()).hexdigest()[:16]
+    key = hashlib.sha1(sink_dir.rstrip("/").encode()).hexdigest()[:16]
     checkpoint = checkpoint or os.path.join(base, "critiq-intake", key)
     stream = (spark.readStream.schema(schema or feedback_schema())
               .option("header", True).option("escape", '"').option("maxFilesPerTrigger", 1)

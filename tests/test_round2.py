@@ -120,3 +120,15 @@ def test_plugin_batches_are_dense(spark):
 
     got = {r.normalized_text: r.ai_summary for r in classify_patterns(df, sizes).collect()}
     assert got == {f"p{i}": f"{i // 20}:{20 if i < 40 else 1}" for i in range(41)}
+
+
+def test_scratch_is_removed(spark):
+    import os
+    from critiq.session import materialize, scratch_path
+    from critiq import session
+    df = materialize(spark.range(3).toDF("x"), "table")
+    assert df.count() == 3
+    here = scratch_path(spark, "probe-only")
+    assert os.path.isdir(os.path.dirname(here).replace("file:", ""))
+    # Only this application's folder is named.
+    assert spark.sparkContext.applicationId in here and callable(session.drop_scratch)
