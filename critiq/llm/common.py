@@ -172,13 +172,3 @@ class Slice:
         for k in range(width):
             g += w[first + k] * _GRAM[k]
         return mix(g), first
-
-
-def batch_of(schema: pa.Schema, **cols) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) if not isinstance(cols[f.name], (pa.Array, pa.ChunkedArray))
-                                       else cols[f.name].cast(f.type) for f in schema], schema=schema)
-
-
-def long_id(col: str):
-    """doc_id as a long (null stays null)."""
-    return F.col(col).cast("long")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Slice, batch_of, fresh, small_batches, text_slices, written
+from .common import Slice, fresh, small_batches, text_slices, written
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _SYMBOL = np.zeros(256, dtype=bool)

@@ -7,7 +7,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from critiq.llm import html_text, packing, quality_model, quality_rules, secrets, token_counts, token_files
 from critiq.llm.tokens import PATTERN, TokenEncoder, public_path
