@@ -10,7 +10,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Text is processed in slices of about this many UTF-8 bytes (one text at
 # least), which bounds the working arrays of a task to some 30 times as much.
