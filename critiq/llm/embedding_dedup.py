@@ -8,8 +8,13 @@ label collapse into a class first (in the map side), so copies cost nothing.
    class its first neighbours.
 2. NN-descent: each class's neighbours and reverse neighbours meet in a local
    join, and pairs that beat a member's worst neighbour go to its list.  Rounds
-   end when few entries change.  A list holds ``K`` neighbours; one saturated
-   with neighbours over the threshold is enlarged up to ``K_MOST``.
+   end when few entries change.  A list holds ``K`` neighbours, and up to
+   ``K_MOST`` over the threshold.  The pairs found are written beside the lists,
+   with spanning edges of all pairs over the threshold that met: what a list has
+   no room for links components all the same.
+   Where a list is full of neighbours over the threshold, the descent goes on
+   from new trees with ``K`` more places for neighbours outside the own
+   component, until no list is full of those.
 3. The recall of linked pairs is audited: ``AUDIT`` classes, chosen by hash, are
    compared with all classes by brute force.  Below ``RECALL`` the descent goes
    on with longer lists.
@@ -36,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_batches, written
@@ -51,7 +56,8 @@ AUDIT, RECALL = 200, 0.98
 BLOCK = 512
 # Half precision moves a cosine by less than this.
 SLACK = 0.004
-_NODE = "cls binary, label long, dim int, v16 binary"
+_NODE = "cls binary, root binary, label long, dim int, v16 binary"
+_PAIR = "src binary, dst binary, sim double, other boolean"
 
 
 def _units(column: pa.Array) -> list[np.ndarray | None]:
@@ -115,33 +121,56 @@ def _top(sims: np.ndarray, k: int, floor: np.ndarray | None = None) -> tuple[np.
     return rows, cols
 
 
-def _edges(parts: list[tuple[list[bytes], list[bytes], np.ndarray]]) -> pa.RecordBatch:
+def _picked(cls: list[bytes], root: list[bytes], sims: np.ndarray, k: int, threshold: float, floor: np.ndarray | None = None,
+            outer: np.ndarray | None = None) -> tuple[list[bytes], list[bytes], np.ndarray, np.ndarray]:
+    """Pairs of members that met: the k best of each member (above its floor),
+    the k best outside its component (above ``outer``), and spanning edges of
+    all other pairs over the threshold."""
+    i, j = _top(sims, k, floor)
+    own = np.unique(root, return_inverse=True)[1]
+    other = own[:, None] != own[None, :]
+    taken = np.zeros(sims.shape, dtype=bool)
+    taken[i, j] = True
+    if np.count_nonzero(other) < sims.size - len(sims):
+        a, b = _top(np.where(other, sims, -2.0), k, np.full(len(sims), -2.0) if outer is None else outer)
+        taken[a, b] = other[a, b]
+    linked = (sims >= threshold - SLACK) & other
+    if (linked & ~taken & ~taken.T).any():
+        for a, b in forest_of(linked):
+            taken[a, b] = True
+    i, j = np.nonzero(taken)
+    return [cls[r] for r in i], [cls[c] for c in j], sims[i, j].astype(np.float64), other[i, j]
+
+
+def _edges(parts: list[tuple[list[bytes], list[bytes], np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     src = [x for p in parts for x in p[0]]
     dst = [x for p in parts for x in p[1]]
     sim = np.concatenate([p[2] for p in parts]) if parts else np.zeros(0)
-    return pa.RecordBatch.from_arrays([pa.array(src, pa.binary()), pa.array(dst, pa.binary()), pa.array(sim, pa.float64())], names=["src", "dst", "sim"])
+    other = np.concatenate([p[3] for p in parts]) if parts else np.zeros(0, dtype=bool)
+    return pa.RecordBatch.from_arrays([pa.array(src, pa.binary()), pa.array(dst, pa.binary()), pa.array(sim, pa.float64()), pa.array(other, pa.bool_())],
+                                      names=["src", "dst", "sim", "other"])
 
 
-def first_lists(nodes: DataFrame, trees: int, chunk: int, k: int, seed: int = 0) -> DataFrame:
-    """Neighbours (src, dst, sim) inside the runs of each projection tree."""
+def first_lists(nodes: DataFrame, trees: int, chunk: int, k: int, threshold: float, seed: int = 0) -> DataFrame:
+    """Pairs (src, dst, sim, other) inside the runs of each projection tree."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            dims = b.column(2).to_numpy(zero_copy_only=False)
+            dims = b.column(3).to_numpy(zero_copy_only=False)
             out = np.zeros((trees, b.num_rows), dtype=np.int64)
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
-                x = np.frombuffer(b"".join(b.column(3)[int(i)].as_py() for i in at), "<f2").reshape(len(at), d).astype(np.float32)
+                x = np.frombuffer(b"".join(b.column(4)[int(i)].as_py() for i in at), "<f2").reshape(len(at), d).astype(np.float32)
                 for t in range(trees):
                     plane = np.random.default_rng((seed, t, int(d))).standard_normal((d, BITS)).astype(np.float32)
                     out[t, at] = ((x @ plane) > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
             yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(c) for c in out]], names=[*b.schema.names, *[f"t{t}" for t in range(trees)]])
 
-    coded = written(nodes.select("cls", "label", "dim", "v16").mapInArrow(code, _NODE + "".join(f", t{t} long" for t in range(trees))), "coded")
+    coded = written(nodes.select("cls", "root", "label", "dim", "v16").mapInArrow(code, _NODE + "".join(f", t{t} long" for t in range(trees))), "coded")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, 2):
-            cls = t.column("cls").to_pylist()
+            cls, root = t.column("cls").to_pylist(), t.column("root").to_pylist()
             if len(cls) < 2:
                 continue
             x = _matrix(t.column("v16"), "<f2").astype(np.float32)
@@ -152,15 +181,14 @@ def first_lists(nodes: DataFrame, trees: int, chunk: int, k: int, seed: int = 0)
                 if b - a < 2:
                     continue
                 sims = x[a:b] @ x[a:b].T
-                i, j = _top(sims, k)
-                parts.append(([cls[a + r] for r in i], [cls[a + c] for c in j], sims[i, j].astype(np.float64)))
+                parts.append(_picked(cls[a:b], root[a:b], sims, k, threshold))
             yield _edges(parts)
 
     out = None
     for t in range(trees):
         order = ["label", "dim", f"t{t}", F.xxhash64("cls", F.lit(t))]
-        one = coded.select("label", "dim", "cls", "v16", f"t{t}").repartitionByRange(*order).sortWithinPartitions(*order) \
-            .select("label", "dim", "cls", "v16").mapInArrow(_bounded(near), "src binary, dst binary, sim double")
+        one = coded.select("label", "dim", "cls", "root", "v16", f"t{t}").repartitionByRange(*order).sortWithinPartitions(*order) \
+            .select("label", "dim", "cls", "root", "v16").mapInArrow(_bounded(near), _PAIR)
         out = one if out is None else out.unionAll(one)
     return out
 
@@ -182,43 +210,61 @@ def _bounded(near, rows: int = 8192):
 
 
 def merged(pairs: DataFrame, k: int, most: int, threshold: float) -> DataFrame:
-    """The lists of all sources: the k best neighbours each, and up to ``most``
-    of those over the threshold.  ``old`` tells entries that were there before."""
-    one = pairs.groupBy("src", "dst").agg(F.max("sim").alias("sim"), F.max("old").alias("old"))
-    rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("sim"), "dst"))
-    return one.withColumn("rank", rank).where((F.col("rank") <= k) | ((F.col("rank") <= most) & (F.col("sim") >= threshold - SLACK)))
-
-
-def descend(lists: DataFrame, nodes: DataFrame, step: int, k: int, most: int, threshold: float) -> DataFrame:
-    """One round: local joins among neighbours and reverse neighbours."""
+    """The lists of all sources: the k best neighbours each, the k best outside
+    the own component, and up to ``most`` of those over the threshold.  ``old``
+    tells entries that were there before."""
+    one = pairs.groupBy("src", "dst").agg(F.max("sim").alias("sim"), F.max("old").alias("old"), F.max("other").alias("other"))
+    order = Window.partitionBy("src").orderBy(F.desc("sim"), "dst")
+    out = one.withColumn("rank", F.row_number().over(order)) \
+        .withColumn("outer", F.sum(F.col("other").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return out.where((F.col("rank") <= k) | (F.col("other") & (F.col("outer") <= k)) | ((F.col("rank") <= most) & (F.col("sim") >= threshold - SLACK)))
+
+
+def descend(lists: DataFrame, nodes: DataFrame, step: int, k: int, most: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """One round: the pairs (written) of local joins among neighbours and
+    reverse neighbours, and the new lists."""
     fwd = lists.select(F.col("src").alias("center"), F.col("dst").alias("cls"))
     rank = F.row_number().over(Window.partitionBy("center").orderBy(F.xxhash64("cls", F.lit(step))))
     back = lists.select(F.col("dst").alias("center"), F.col("src").alias("cls")).withColumn("r", rank).where(F.col("r") <= 2 * k).drop("r")
-    worst = lists.groupBy("src").agg(F.min(F.when(F.col("rank") <= k, F.col("sim"))).alias("floor"), F.count("*").alias("n")) \
-        .select(F.col("src").alias("cls"), F.when(F.col("n") < k, F.lit(-1.0)).otherwise(F.least("floor", F.lit(threshold))).alias("floor"))
-    known = written(nodes.select("cls", "v16").join(worst, "cls", "left"), "floors")
-    members = fwd.union(back).distinct().join(known.hint("merge"), "cls").select("center", "cls", "v16", F.coalesce("floor", F.lit(-1.0)).alias("floor"))
+    best, far = F.col("rank") <= k, F.col("other") & (F.col("outer") <= k)
+
+    def worst(inside: Column) -> Column:
+        return F.when(F.count(F.when(inside, 1)) < k, F.lit(-1.0)).otherwise(F.least(F.min(F.when(inside, F.col("sim"))), F.lit(threshold)))
+
+    floors = lists.groupBy(F.col("src").alias("cls")).agg(worst(best).alias("floor"), worst(far).alias("outer"))
+    known = written(nodes.select("cls", "root", "v16").join(floors, "cls", "left"), "floors")
+    members = fwd.union(back).distinct().join(known.hint("merge"), "cls") \
+        .select("center", "cls", "root", "v16", F.coalesce("floor", F.lit(-1.0)).alias("floor"), F.coalesce("outer", F.lit(-1.0)).alias("outer"))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, n = [], 0
         for t in runs(batches, 1):
             if t.num_rows < 2:
                 continue
-            cls = t.column("cls").to_pylist()
+            cls, root = t.column("cls").to_pylist(), t.column("root").to_pylist()
             x = _matrix(t.column("v16"), "<f2").astype(np.float32)
-            sims = x @ x.T
-            i, j = _top(sims, 6, t.column("floor").to_numpy())
-            if len(i):
-                parts.append(([cls[r] for r in i], [cls[c] for c in j], sims[i, j].astype(np.float64)))
-                n += len(i)
+            part = _picked(cls, root, x @ x.T, 6, threshold, t.column("floor").to_numpy(), t.column("outer").to_numpy())
+            if len(part[0]):
+                parts.append(part)
+                n += len(part[0])
             if n > 20_000:
                 yield _edges(parts)
                 parts, n = [], 0
         yield _edges(parts)
 
-    found = members.repartition("center").sortWithinPartitions("center").mapInArrow(local, "src binary, dst binary, sim double")
-    every = lists.select("src", "dst", "sim", F.lit(1).alias("old")).unionAll(found.select("src", "dst", "sim", F.lit(0).alias("old")))
-    return merged(every, k, most, threshold)
+    found = written(members.repartition("center").sortWithinPartitions("center").mapInArrow(local, _PAIR), "found")
+    return found, written(merged(_again(lists).unionAll(found.withColumn("old", F.lit(0))), k, most, threshold), "lists")
+
+
+def _again(lists: DataFrame) -> DataFrame:
+    return lists.select("src", "dst", "sim", "other", F.lit(1).alias("old"))
+
+
+def outside(lists: DataFrame, comp: DataFrame) -> DataFrame:
+    """``lists`` with ``other`` by the components ``comp`` (node, root)."""
+    a, b = comp.toDF("src", "a"), comp.toDF("dst", "b")
+    other = F.coalesce("a", "src") != F.coalesce("b", "dst")
+    return lists.drop("other").join(a, "src", "left").join(b, "dst", "left").select("src", "dst", "sim", other.alias("other"))
 
 
 def verified(need: DataFrame, threshold: float, block: int) -> DataFrame:
@@ -280,22 +326,34 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, k: int = K
     recall of the descent."""
     rows, nodes = classes_of(vectors)
     total = nodes.count()
-    lists = written(merged(first_lists(nodes, trees, chunk, k).withColumn("old", F.lit(0)), k, most, threshold), "lists")
-    comp, got, step = None, 0.0, 0
-    for attempt in range(3):
+    over = F.col("sim") >= threshold - SLACK
+    at, lists, edges, got, step, seed, attempt = nodes.withColumn("root", F.col("cls")), None, None, 0.0, 0, 0, 0
+    while True:
+        start = written(first_lists(at, trees, chunk, k, threshold, seed), "found")
+        every = start.withColumn("old", F.lit(0)).select("src", "dst", "sim", "other", "old")
+        lists = written(merged(every if lists is None else _again(lists).unionAll(every), k, most, threshold), "lists")
+        new = [start]
         for _ in range(rounds):
             step += 1
-            lists = written(descend(lists, nodes, step, k, most, threshold), "lists")
+            found, lists = descend(lists, at, step, k, most, threshold)
+            new.append(found)
             if lists.where(F.col("old") == 0).count() <= CHANGED * k * total:
                 break
-        comp = connected_components(lists.where(F.col("sim") >= threshold - SLACK).select("src", "dst"))
-        got = audit(nodes, comp, threshold, AUDIT)
-        if got >= recall or attempt == 2:
-            break
-        # Longer lists and new trees for what the descent has missed.
-        k, most = 2 * k, 2 * most
-        more = first_lists(nodes, trees, chunk, k, seed=attempt + 1).withColumn("old", F.lit(0))
-        lists = written(merged(lists.select("src", "dst", "sim", F.lit(1).alias("old")).unionAll(more), k, most, threshold), "lists")
+        for t in new:
+            pairs = t.where(over).select("src", "dst")
+            edges = pairs if edges is None else edges.unionAll(pairs)
+        comp = connected_components(edges)
+        # Full lists may have left out links to other components.
+        full = not lists.where(over & F.col("other")).groupBy("src").count().where(F.col("count") >= (k if seed else most)).isEmpty()
+        if not full:
+            got = audit(nodes, comp, threshold, AUDIT)
+            if got >= recall or attempt == 2:
+                break
+            # Longer lists, and below new trees, for what the descent has missed.
+            attempt, k, most = attempt + 1, 2 * k, 2 * most
+        seed += 1
+        at = written(nodes.join(comp.toDF("cls", "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls")), "rooted")
+        lists = written(outside(lists, comp), "lists")
     if got < recall:
         warnings.warn(f"audited recall {got:.3f} is below {recall}", stacklevel=2)
     need = written(comp.withColumnRenamed("node", "cls").join(nodes.select("cls", "cnt", "v64"), "cls"), "need")

@@ -236,3 +236,29 @@ def test_oracles(spark):
         want = sorted(tuple(dict(zip(cols, r))[c] for c in sorted(cols)) for r in cur.fetchall())
         got = registry.QUERIES[name](spark, d)
         assert sorted(tuple(r[c] for c in sorted(cols)) for r in got.collect()) == want
+
+
+def test_embedding_dedup_dense_groups_linked_across(spark):
+    """Two dense groups whose lists are full of their own members, linked only
+    at 0.93 to 0.95; a third group lies apart."""
+    rng = np.random.default_rng(8)
+    d, n = 32, 200
+    axis = np.linalg.qr(rng.normal(size=(d, 3)))[0].T
+    turn = np.arccos(0.91)
+    centers = [axis[0], np.cos(turn) * axis[0] + np.sin(turn) * axis[1], axis[2]]
+    rows = []
+    for c in centers:
+        v = c + rng.normal(size=(n, d)) * (0.12 / np.sqrt(d))
+        rows += [(len(rows) + i, x.astype(np.float32).tolist(), 1) for i, x in enumerate(v)]
+    rows += [(5000 + i, rng.normal(size=d).tolist(), 1) for i in range(100)]
+    u = np.array([r[1] for r in rows[:2 * n]])
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    inner, cross = u[:n] @ u[:n].T, u[:n] @ u[n:].T
+    assert inner.min() > 0.96 and cross.max() < np.sort(inner, axis=1)[:, -9].min() and ((cross >= 0.93) & (cross < 0.95)).any()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4)
+    ids, groups, _ = embedding_dedup.near_duplicates(df, k=4, most=8)
+    found = ids.join(groups, "cls").select("vec_id", "n_links", "root").collect()
+    low = {}
+    for r in found:
+        low[r.root] = min(low.get(r.root, r.vec_id), r.vec_id)
+    assert sorted((r.vec_id, r.n_links, low[r.root]) for r in found) == brute_vectors(rows)
