@@ -15,9 +15,12 @@ label collapse into a class first (in the map side), so copies cost nothing.
    Where a list is full of neighbours over the threshold, the descent goes on
    from new trees with ``K`` more places for neighbours outside the own
    component, until no list is full of those.
-3. The recall of linked pairs is audited: ``AUDIT`` classes, chosen by hash, are
-   compared with all classes by brute force.  Below ``RECALL`` the descent goes
-   on with longer lists.
+3. The recall of links is audited: classes drawn by hash are compared with all
+   classes by brute force, more of them until ``LINKED`` groups with links are
+   met (``AUDIT_MOST`` classes at most).  Every class with links counts by the
+   share of them found, every group once, whatever its size.  Below ``RECALL``,
+   or while an audit that met fewer groups still sees new links between
+   components, the descent goes on from new trees; after ``PASSES`` it raises.
 4. Edges over the threshold span components; inside each one every pair is
    verified in double precision, in cells of two blocks at most, which emit link
    counts and spanning edges, never pairs.  So links beyond a list's length are
@@ -36,7 +39,7 @@ null id; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import warnings
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,7 +55,8 @@ THRESHOLD = 0.93
 K, K_MOST = 12, 48
 TREES, BITS, CHUNK = 6, 24, 96
 ROUNDS, CHANGED = 6, 0.002
-AUDIT, RECALL = 200, 0.98
+AUDIT, AUDIT_MOST, LINKED, RECALL = 200, 20_000, 100, 0.98
+PASSES = 6
 BLOCK = 512
 # Half precision moves a cosine by less than this.
 SLACK = 0.004
@@ -290,34 +294,59 @@ def verified(need: DataFrame, threshold: float, block: int) -> DataFrame:
         .repartition("root", "cell_i", "cell_j").sortWithinPartitions("root", "cell_i", "cell_j").mapInArrow(run, "cls binary, links long, other binary")
 
 
-def audit(nodes: DataFrame, comp: DataFrame, threshold: float, queries: int) -> float:
-    """Share of the linked pairs of ``queries`` classes, found by brute force
-    against all classes, that lie within one component (where every pair is
-    verified).  The query set is bounded; the classes stream by it."""
-    asked = nodes.join(comp.withColumnRenamed("node", "cls"), "cls", "left").orderBy(F.xxhash64("cls", F.lit("audit")), "cls").limit(queries) \
-        .select("cls", "label", "dim", "v64", F.coalesce("root", "cls").alias("root")).collect()
+def audit(nodes: DataFrame, comp: DataFrame, threshold: float, total: int, queries: int = AUDIT, most: int = AUDIT_MOST,
+          linked: int = LINKED) -> tuple[float, int, int]:
+    """Recall of links, groups with links it rests on, and classes drawn.
+
+    The links of the drawn classes are found by brute force against all classes;
+    one is found if it lies within one component (where every pair is verified).
+    A class with links has the share found as its recall, a component the mean
+    of its drawn classes, and the result is the mean of those components (0 of 0
+    is 1).  The query set is bounded; the classes stream by it."""
+    rooted = nodes.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "label", "dim", "v64", F.coalesce("root", "cls").alias("root"))
+    space = 1 << 40
+    while True:
+        share = min(1.0, queries / max(total, 1))
+        asked = rooted.where(F.pmod(F.xxhash64("cls", F.lit("audit")), F.lit(space)) < int(share * space)).collect()
+        by_cls = _links_of(rooted, asked, threshold)
+        groups: dict[bytes, list[float]] = {}
+        for r in asked:
+            there, found = by_cls.get(bytes(r["cls"]), (0, 0))
+            if there:
+                groups.setdefault(bytes(r["root"]), []).append(found / there)
+        if len(groups) >= linked or share == 1.0 or queries >= most:
+            return (float(np.mean([np.mean(v) for v in groups.values()])) if groups else 1.0), len(groups), len(asked)
+        queries = min(most, 4 * queries)
+
+
+def _links_of(rooted: DataFrame, asked: list, threshold: float) -> dict[bytes, tuple[int, int]]:
+    """For each asked class with links, their number and that of those inside
+    its component."""
     groups: dict[tuple[int, int], list] = {}
     for r in asked:
-        groups.setdefault((r["label"], r["dim"]), []).append((bytes(r["cls"]), bytes(r["root"]), np.frombuffer(r["v64"], "<f8")))
+        groups.setdefault((r["label"], r["dim"]), []).append((bytes(r["cls"]), bytes(r["root"]), bytes(r["v64"])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        there = found = 0
+        n: dict[bytes, list[int]] = {}
         for b in batches:
             cls, label, dim, v64, root = (b.column(c).to_pylist() for c in range(5))
-            for (lab, d), q in groups.items():
-                at = [i for i in range(len(cls)) if label[i] == lab and dim[i] == d]
-                if not at:
-                    continue
-                x = np.frombuffer(b"".join(v64[i] for i in at), "<f8").reshape(len(at), d)
-                for i, j in zip(*np.nonzero(np.stack([v for _, _, v in q]) @ x.T >= threshold)):
-                    if cls[at[j]] != q[i][0]:
-                        there += 1
-                        found += root[at[j]] == q[i][1]
-        yield pa.RecordBatch.from_arrays([pa.array([there], pa.int64()), pa.array([found], pa.int64())], names=["there", "found"])
-
-    got = nodes.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "label", "dim", "v64", F.coalesce("root", "cls").alias("root")) \
-        .mapInArrow(run, "there long, found long").agg(F.sum("there").alias("there"), F.sum("found").alias("found")).first()
-    return 1.0 if not got["there"] else got["found"] / got["there"]
+            at: dict[tuple[int, int], list[int]] = {}
+            for i, key in enumerate(zip(label, dim)):
+                if key in groups:
+                    at.setdefault(key, []).append(i)
+            for key, here in at.items():
+                x = np.frombuffer(b"".join(v64[i] for i in here), "<f8").reshape(len(here), -1)
+                for a in range(0, len(groups[key]), 1000):
+                    q = groups[key][a:a + 1000]
+                    for i, j in zip(*np.nonzero(np.frombuffer(b"".join(v for _, _, v in q), "<f8").reshape(len(q), -1) @ x.T >= threshold)):
+                        if cls[here[j]] != q[i][0]:
+                            c = n.setdefault(q[i][0], [0, 0])
+                            c[0] += 1
+                            c[1] += root[here[j]] == q[i][1]
+        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), *[pa.array([c[k] for c in n.values()], pa.int64()) for k in (0, 1)]], names=["cls", "there", "found"])
+
+    got = rooted.mapInArrow(run, "cls binary, there long, found long").groupBy("cls").agg(F.sum("there").alias("there"), F.sum("found").alias("found")).collect()
+    return {bytes(r["cls"]): (r["there"], r["found"]) for r in got}
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, k: int = K, most: int = K_MOST, trees: int = TREES, chunk: int = CHUNK,
@@ -327,7 +356,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, k: int = K
     rows, nodes = classes_of(vectors)
     total = nodes.count()
     over = F.col("sim") >= threshold - SLACK
-    at, lists, edges, got, step, seed, attempt = nodes.withColumn("root", F.col("cls")), None, None, 0.0, 0, 0, 0
+    at, lists, edges, step, seed, passes, joined = nodes.withColumn("root", F.col("cls")), None, None, 0, 0, 0, -1
     while True:
         start = written(first_lists(at, trees, chunk, k, threshold, seed), "found")
         every = start.withColumn("old", F.lit(0)).select("src", "dst", "sim", "other", "old")
@@ -346,16 +375,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, k: int = K
         # Full lists may have left out links to other components.
         full = not lists.where(over & F.col("other")).groupBy("src").count().where(F.col("count") >= (k if seed else most)).isEmpty()
         if not full:
-            got = audit(nodes, comp, threshold, AUDIT)
-            if got >= recall or attempt == 2:
+            got, linked, drawn = audit(nodes, comp, threshold, total)
+            logging.getLogger(__name__).info("audited recall %.4f over %d groups with links, %d of %d classes drawn", got, linked, drawn, total)
+            before, joined = joined, comp.count() - comp.select("root").distinct().count()
+            if got >= recall and (linked >= LINKED or drawn == total or joined == before):
                 break
-            # Longer lists, and below new trees, for what the descent has missed.
-            attempt, k, most = attempt + 1, 2 * k, 2 * most
+            passes += 1
+            if passes == PASSES:
+                raise RuntimeError(f"audited recall {got:.4f} is below {recall} or still grows after {PASSES} passes")
+            # For what the descent has missed: longer lists twice, then more trees.
+            k, most, trees = (2 * k, 2 * most, trees) if passes <= 2 else (k, most, 2 * trees)
         seed += 1
         at = written(nodes.join(comp.toDF("cls", "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls")), "rooted")
         lists = written(outside(lists, comp), "lists")
-    if got < recall:
-        warnings.warn(f"audited recall {got:.3f} is below {recall}", stacklevel=2)
     need = written(comp.withColumnRenamed("node", "cls").join(nodes.select("cls", "cnt", "v64"), "cls"), "need")
     found = written(verified(need, threshold, block), "links")
     roots = connected_components(found.where(F.col("other").isNotNull()).select(F.col("cls").alias("src"), F.col("other").alias("dst")))

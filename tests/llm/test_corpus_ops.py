@@ -262,3 +262,17 @@ def test_embedding_dedup_dense_groups_linked_across(spark):
     for r in found:
         low[r.root] = min(low.get(r.root, r.vec_id), r.vec_id)
     assert sorted((r.vec_id, r.n_links, low[r.root]) for r in found) == brute_vectors(rows)
+
+
+def test_embedding_audit_sees_small_groups(spark):
+    """A group of 300, all found, does not hide 20 lost pairs."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for size in [300] + [2] * 20:
+        c = rng.normal(size=24)
+        rows += [(len(rows) + i, (c + rng.normal(size=24) * 0.05).tolist(), 1) for i in range(size)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    ids, nodes = embedding_dedup.classes_of(vectors)
+    big = ids.where("vec_id < 300").select(F.col("cls").alias("node")).crossJoin(ids.where("vec_id = 0").select(F.col("cls").alias("root")))
+    got, groups, drawn = embedding_dedup.audit(nodes, big, 0.93, 340)
+    assert (groups, drawn) == (41, 340) and abs(got - 1 / 41) < 1e-9
