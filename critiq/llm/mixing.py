@@ -44,6 +44,9 @@ LABELLED = 20_000
 SURE = 4.5
 EFFECT = 1.0
 STEPS = 20
+# A text with at least this part of a domain's prior as its posterior tells
+# little against the domain.
+UNSURE = 0.5
 TOLERANCE = 1e-4
 # Most domains that a labels table may name.
 DOMAINS = 64
@@ -178,12 +181,19 @@ def fit_rates(rows: DataFrame, names: list[str], targets: dict[str, float], toke
     return best.tolist()
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS) -> tuple[DataFrame, str, str, str]:
-    """``docs`` with tokens, posteriors and rate; returns those columns' names."""
-    t, p, r = fresh(docs, "tokens", "posteriors", "rate")
+def _fitted(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> tuple[DataFrame, Classifier, list[float], str, str]:
+    """Written rows with tokens and posteriors, the classifier, the summed steps
+    and the names of the two columns."""
+    t, p = fresh(docs, "tokens", "posteriors")
     model = fit_classifier(docs, labelled)
     rows = written(with_posteriors(docs, model, t, p), "mixing")
-    shift = fit_rates(rows, model.names, targets, t, p)
+    return rows, model, fit_rates(rows, model.names, targets, t, p), t, p
+
+
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS) -> tuple[DataFrame, str, str, str]:
+    """``docs`` with tokens, posteriors and rate; returns those columns' names."""
+    rows, _, shift, t, p = _fitted(docs, labelled, targets)
+    r = fresh(rows, "rate")[0]
     return rows.withColumn(r, rate_of(shift, F.col(p))), t, p, r
 
 
@@ -193,11 +203,29 @@ def mix_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col(t).alias("n_words"), F.col(p).alias("posteriors"), F.col(r).alias("rate"))
 
 
+def keeping_rate(model: Classifier, shift: list[float], targets: dict[str, float], post: Column) -> Column:
+    """The rate of a document, all scaled by one factor (targets are shares) such
+    that one surely of the clean domain, that of the largest target, has at
+    least 1.  A text that tells little against that domain (its posterior is at
+    least ``UNSURE`` of the prior, or no other's is larger) has at least 1 too."""
+    rate = rate_of(shift, post)
+    if not shift:
+        return rate
+    k = max(range(len(model.names)), key=lambda i: targets.get(model.names[i], 0.0))
+    sure = 1.0 - shift[k]
+    scaled = rate / F.lit(sure) if 0 < sure < 1 else rate
+    stays = (post[k] >= F.lit(UNSURE * float(np.exp(model.prior[k])))) | (post[k] >= F.array_max(post))
+    return F.when(stays, F.greatest(scaled, F.lit(1.0))).otherwise(scaled)
+
+
 def resample(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
     """``docs`` repeated by their rates: the whole part of a rate always, the
-    rest by the hash of id and text, so that expected totals hold.  Columns as
-    in ``docs``; a row's copies are equal."""
-    out, _, _, r = mix(docs, quality_toxic_domain(labels), targets)
+    rest by the hash of id and text.  Documents of the clean domain stay (see
+    ``keeping_rate``), only the rest thins out.  Columns as in ``docs``; a row's
+    copies are equal."""
+    rows, model, shift, _, p = _fitted(docs, quality_toxic_domain(labels), targets)
+    r = fresh(rows, "rate")[0]
+    out = rows.withColumn(r, keeping_rate(model, shift, targets, F.col(p)))
     draw = F.pmod(F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = (F.floor(F.col(r)) + (draw < F.col(r) - F.floor(F.col(r))).cast("int")).cast("int")
     c = fresh(out, "mix_copy")[0]

@@ -187,6 +187,19 @@ def test_mixing_odd_rows(odd_docs, labels001):
     assert again.columns == odd_docs.columns and mixing.resample(odd_docs.where("false"), labels001).count() == 0
 
 
+def test_resample_keeps_clean(spark):
+    """An input that is 98 % clean, and short clean texts."""
+    rng = random.Random(2)
+    bad = ["slur", "insult", "hateful", "vile"]
+    rows = [(i, prose(rng, 60), 1, 0) for i in range(980)] + [(2000 + i, " ".join(rng.choice(bad) for _ in range(60)), 1, 1) for i in range(20)]
+    rows += [(3000 + i, "so it is", 1, 0) for i in range(40)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2], r[3]) for r in rows], "doc_id long, quality int, toxic int")
+    for targets in (mixing.TARGETS, {"quality=1,toxic=0": 0.8, "quality=1,toxic=1": 0.2}):
+        got = {r.doc_id for r in mixing.resample(docs, labels, targets).select("doc_id").distinct().collect()}
+        assert {r[0] for r in rows if not r[3]} <= got
+
+
 # ---- pipeline --------------------------------------------------------------------
 def test_pipeline_stages(spark, tmp_path):
     d = "/root/testdata/sf0.001"
