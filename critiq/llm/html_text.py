@@ -38,7 +38,9 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template svg math iframe object xmp".split())
+RAW = frozenset("script style title textarea iframe xmp".split())
+# Elements in which ``/>`` closes a start tag.
+FOREIGN = frozenset(("svg", "math"))
 # Of the raw elements, a form's text area is a form's; the rest is never text.
 BLOCK = frozenset("""address article aside blockquote button caption center dd details dialog div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 header hgroup label legend li main menu nav ol option p pre search section select summary table tbody tfoot thead tr ul""".split())
@@ -96,7 +98,7 @@ def parse(page: str, labels: list[int] | None = None) -> list[Node]:
     while at < n:
         m = _TOKEN.search(page, at)
         text = page[at:m.start() if m else n]
-        if text:
+        if text and not any(t == "template" for t, _ in stack):
             run.append(text)
             if in_link > 0:
                 linked += len(text)
@@ -118,6 +120,9 @@ def parse(page: str, labels: list[int] | None = None) -> list[Node]:
             if labels is not None and "data-content" in attrs:
                 marks[0] = int('data-content="1"' in attrs)
             continue
+        if attrs.endswith("/") and (tag in FOREIGN or any(t in FOREIGN for t, _ in stack)):
+            run.append(" ")
+            continue
         if tag in RAW:
             end = re.compile(r"</" + re.escape(tag) + r"(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else n
@@ -199,7 +204,7 @@ def features(nodes: list[Node]) -> list[list[str]]:
             above = nodes[node.parent]
             f.append(node.tag + (" outer" if above.tag in ("body", "main") or "wrapper" in above.names else " inner"))
         if node.text is None:
-            f += ["n:" + x for x in node.names[:12]]
+            f += ["n:" + x for x in node.names]
         else:
             p = nodes[node.parent]
             size = len(node.text)

@@ -163,6 +163,19 @@ def test_html_odd_pages(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("part", ['<svg class="icon"/>', '<svg class="icon">', "<math/>", '<svg viewBox="0 0 1 1"><path d="M0"/></svg>', "<object data='x'>", "<noscript>"])
+def test_html_no_text_is_swallowed(part):
+    page = f"<article><h1>A title</h1><p>The first paragraph {part} has some words.</p><p>The second paragraph has more words.</p></article>"
+    assert html_text.default_model().text(page) == "A title\nThe first paragraph has some words.\nThe second paragraph has more words."
+
+
+def test_html_fallback_math_and_names():
+    page = "<article><p>Where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p><noscript><p>Shown without scripts, too.</p></noscript><template><p>Not shown.</p></template></article>"
+    assert html_text.default_model().text(page) == "Where x=2 holds.\nShown without scripts, too."
+    nodes = html_text.parse("<div class='" + " ".join("abcdefghijklmn") + " sidebar'>x</div>")
+    assert "n:sidebar" in html_text.features(nodes)[1]
+
+
 # ---- quality model -----------------------------------------------------------
 def test_quality_model_held_out(spark):
     d = "/root/testdata/sf0.01"
