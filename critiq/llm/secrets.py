@@ -17,6 +17,7 @@ Positions are code points, ends exclusive.
 """
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -47,6 +48,8 @@ NAME_WEIGHT = {
     "len": -0.9, "count": -0.9, "max": -0.5, "min": -0.5, "field": -0.8, "label": -0.8, "hint": -0.8, "prompt": -0.8,
     "public": -0.9, "expiry": -0.8, "ttl": -0.8, "policy": -0.8, "regex": -0.8, "header": -0.6, "hash": -0.3,
 }
+# Words that only say whose secret it is, inside names written as one word.
+WHOSE = frozenset("db database user app admin root my aws gcp azure git github smtp mail ftp ssh redis mysql postgres mongo service server".split())
 PLACEHOLDER = re.compile(r"(?i)^(?:change_?me|example|sample|dummy|test|none|null|nil|true|false|undefined|redacted|hidden|your.*|x+|\*+|\.+|<.*>|\$\{.*|\{\{.*|%\(.*|env\..*|process\.env.*|os\.environ.*)$")
 THRESHOLD = 0.45
 LEAST_LITERAL = 8
@@ -65,10 +68,30 @@ _LEX = re.compile(r"""
 _NAME = re.compile(r"[A-Za-z_$][\w.$-]*\Z", re.A)
 
 
+@functools.lru_cache(maxsize=1 << 16)
+def _word_score(word: str) -> float:
+    """Weight of a lower-case word, or the summed weights of the fewest known
+    words (with plural s) that it is joined of; 0 if it is not."""
+    if word in NAME_WEIGHT:
+        return NAME_WEIGHT[word]
+    if len(word) > 64:
+        return 0.0
+    best: list[tuple[int, float] | None] = [(0, 0.0)] + [None] * len(word)
+    for j in range(1, len(word) + 1):
+        for i in range(max(0, j - 15), j):
+            part, at = word[i:j], best[i]
+            one = part if part in NAME_WEIGHT or part in WHOSE else part[:-1] if part[-1] == "s" and part[:-1] in NAME_WEIGHT else None
+            if at is not None and one is not None:
+                new = (at[0] + 1, at[1] + NAME_WEIGHT.get(one, 0.0))
+                if best[j] is None or new[0] < best[j][0] or (new[0] == best[j][0] and new[1] > best[j][1]):
+                    best[j] = new
+    return best[-1][1] if best[-1] else 0.0
+
+
 def name_score(name: str) -> float:
     """Sensitivity of a name, 0 to 1."""
     words = [w.lower() for w in _SUBWORD.findall(name)]
-    return max(0.0, min(1.0, sum(NAME_WEIGHT.get(w, 0.0) for w in words)))
+    return max(0.0, min(1.0, sum(_word_score(w) for w in words)))
 
 
 def literal_score(value: str) -> float:

@@ -56,6 +56,14 @@ def test_lexer(text, found):
         assert found[0] not in secrets.redact_text(text)
 
 
+@pytest.mark.parametrize("name", ["dbpass", "DBPASS", "dbpwd", "secretkey", "SECRETKEY", "privatekey", "accesskey", "authkey", "passwords", "tokens"])
+def test_lexer_joined_names(name):
+    text = f'{name} = "s3cr3t!Pw#99"\nmonkey = "s3cr3t!Pw#98"\ntokencount = "s3cr3t!Pw#97"'
+    _, more = secrets.scan(text)
+    assert "s3cr3t!Pw#99" in [text[s:e] for s, _, e in more] and "s3cr3t!Pw#99" not in secrets.redact_text(text)
+    assert "s3cr3t!Pw#98" in secrets.redact_text(text) and "s3cr3t!Pw#97" in secrets.redact_text(text)
+
+
 def test_failing_assign_consumes_text():
     text = "password=secret=abcdefghijklmn"
     assert brute_base(text) == secrets.base_spans(text)
