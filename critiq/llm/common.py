@@ -11,6 +11,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_path
+
 # Text is processed in slices of about this many UTF-8 bytes (one text at
 # least), which bounds the working arrays of a task to some 30 times as much.
 SLICE_BYTES = 1 << 20
@@ -44,16 +46,11 @@ def small_batches(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in [_HOME, *paths] if x)
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; an own one only if unset."""
-    from ..session import ensure_checkpoint_dir
-    return ensure_checkpoint_dir(spark).rstrip("/")
-
-
 def written(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write a frame once as Parquet in the shared folder and read it back:
-    cuts lineage, and a lost executor only costs a re-read."""
-    path = f"{scratch_root(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
+    """Write a frame once as Parquet in this application's part of the shared
+    folder (``session.drop_scratch`` removes it) and read it back: cuts lineage,
+    and a lost executor only costs a re-read."""
+    path = scratch_path(df.sparkSession, f"llm/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, html_text, mixing, ngram_join, packing, quality_model, quality_rules, secrets, token_counts, token_files
+from . import (bpe_automaton, embedding_dedup, html_text, importance, lexical_rank, mixing, ngram_join, packing, quality_model,
+               quality_rules, secrets, token_counts, token_files)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +53,19 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.dedup_table(table(spark, sf_dir, "embeddings"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_automaton.bpe_table(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_rank.rank_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_html_text, op4_quality_model, op5_token_files, op6_packing, op7_mixing, op8_ngram_join, op9_token_counts,
-                                                   op10_embedding_dedup)}
-ORACLES: dict[str, str] = {"op8_ngram_join": ngram_join.ORACLE, "op10_embedding_dedup": embedding_dedup.ORACLE}
+                                                   op10_embedding_dedup, op11_importance, op12_bpe, op13_lexical_rank)}
+ORACLES: dict[str, str] = {"op8_ngram_join": ngram_join.ORACLE, "op10_embedding_dedup": embedding_dedup.ORACLE, "op11_importance": importance.ORACLE,
+                           "op13_lexical_rank": lexical_rank.ORACLE}

@@ -41,7 +41,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch_root, small_batches
+from ..session import scratch_path
+from .common import small_batches
 from .tokens import encoder, public_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -312,7 +313,7 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
 def token_table(docs: DataFrame) -> DataFrame:
     """Writes the files of all documents in the shared folder, reads them back
     and returns doc_id, start, n_tokens and a digest of each document's ids."""
-    path = f"{scratch_root(docs.sparkSession)}/llm/token-files-{uuid.uuid4().hex}"
+    path = scratch_path(docs.sparkSession, f"llm/token-files-{uuid.uuid4().hex}")
     write_files(docs, path)
     return read_files(docs.sparkSession, path).select(
         "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))

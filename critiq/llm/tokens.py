@@ -18,7 +18,7 @@ import numpy as np
 MEMO = 400_000
 _LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
 _NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
-_UNSAFE = re.compile("[^\t\n\r\x20-\x7e\xa1-įı-ſ‐-‧€]")
+UNSAFE = re.compile("[^\t\n\r\x20-\x7e\xa1-įı-ſ‐-‧€]")
 # FIXED VALUES: the pre-token patterns of the two files, for those characters.
 PATTERN = {
     "byte_bpe_50k.json": re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\\s{_LETTER}{_NUMBER}]+|\\s+(?!\\S)|\\s+"),
@@ -47,7 +47,7 @@ class TokenEncoder:
         out: list[bytes] = []
         for text in texts:
             text = text or ""
-            if self.find is None or "<|" in text or _UNSAFE.search(text):
+            if self.find is None or "<|" in text or UNSAFE.search(text):
                 out += self._whole([text])
                 continue
             parts = self.find(text.lower() if self.lower else text)
