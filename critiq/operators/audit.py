@@ -1,15 +1,11 @@
 """Data-quality audit of raw feedback: twelve counts and one health score.
 
-Plan shape (one scan, two shuffles, no per-row Python):
-  1. group by every raw column -> one row per distinct record with its
-     multiplicity ``_n`` (map-side combined, so a record repeated a billion
-     times costs one row per task);
-  2. record-level counts are weighted by ``_n`` and re-grouped by the text
-     -> one row per distinct text with its multiplicity ``_m``;
-  3. one global aggregate; text-only predicates (meaningless, agent, order
-     number, foreign words) are evaluated once per distinct text.
-Exact-duplicate rows = Σ(_n-1); duplicate texts = Σ(_m-1); null equals null in
-both, as a group key.
+Plan shape (one scan, two narrow shuffles, no per-row Python): the row tests are
+counted while the rows are grouped by the digests of record and text
+(``operators.digest``), so no text is a shuffle key; groups of equal texts are
+added up from them, then the totals.  Exact-duplicate rows = rows - distinct
+records, duplicate texts likewise; null equals null.  If a digest turns out to
+hold different records or texts, the audit is done by the columns themselves.
 """
 from __future__ import annotations
 
@@ -21,6 +17,8 @@ from ..functions import (contradicts, is_invalid_timestamp, is_meaningless, is_m
                          is_multilingual, mentions_agent, mentions_order_number, parse_rating,
                          py_strip)
 from ..functions.dates import unwrap
+from ..session import materialize
+from .digest import check, digest, groups
 
 AUDIT_COLUMNS = ["total_records", "health_score", "missing_timestamp_count",
                  "missing_rating_count", "duplicate_row_count", "duplicate_feedback_count",
@@ -28,10 +26,6 @@ AUDIT_COLUMNS = ["total_records", "health_score", "missing_timestamp_count",
                  "agent_mentions_count", "order_number_count", "multilingual_count"]
 
 
-def _weighted(pred: Column, w: str) -> Column:
-    return F.sum(F.when(pred, F.col(w)).otherwise(F.lit(0)))
-
-
 def health(total: Column, counts: dict) -> tuple[Column, Column]:
     """(deductions, health_score) from the six penalised counts."""
     t = total.cast("double")
@@ -52,39 +46,27 @@ def health(total: Column, counts: dict) -> tuple[Column, Column]:
     return ded, F.coalesce(score, F.lit(100))
 
 
-def audit(raw: DataFrame, text: str = "feedback_text", ts: str = "timestamp",
-          rating: str = "rating") -> DataFrame:
-    """One-row audit frame: the twelve audit counts plus unclamped ``deductions``."""
-    cols = [c for c in raw.columns if c != "seq"]
-    records = (raw.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-                  .withColumn("_tsv", unwrap(F.col(ts)))
-                  .withColumn("_low", F.lower(F.col(text)))
-                  .withColumn("_r", parse_rating(F.col(rating))))
-    per_text = records.groupBy(text).agg(
-        F.sum("_n").alias("_m"),
-        F.sum(F.col("_n") - 1).alias("_dup_rows"),
-        _weighted(is_missing_timestamp(F.col(ts)), "_n").alias("_missing_ts"),
-        _weighted(F.col(rating).isNull(), "_n").alias("_missing_rating"),
-        _weighted(is_invalid_timestamp(F.col(ts), "_tsv"), "_n").alias("_invalid_ts"),
-        _weighted(contradicts(F.col(rating), F.col(text), "_low", F.col("_r")), "_n"
-                  ).alias("_contra"),
-    )
-    per_text = (per_text.withColumn("_s", py_strip(F.col(text)))
-                        .withColumn("_low", F.lower(F.col(text))))
+def _flags(raw: DataFrame, text: str, ts: str, rating: str) -> DataFrame:
+    """``raw`` with one boolean column per row test (named as its count)."""
     t = F.col(text)
-    agg = per_text.agg(
-        F.sum("_m").alias("total_records"),
-        F.sum("_missing_ts").alias("missing_timestamp_count"),
-        F.sum("_missing_rating").alias("missing_rating_count"),
-        F.sum("_dup_rows").alias("duplicate_row_count"),
-        F.sum(F.col("_m") - 1).alias("duplicate_feedback_count"),
-        _weighted(is_meaningless(t, F.col("_s")), "_m").alias("empty_feedback_count"),
-        F.sum("_invalid_ts").alias("invalid_timestamp_count"),
-        F.sum("_contra").alias("contradiction_count"),
-        _weighted(mentions_agent(t), "_m").alias("agent_mentions_count"),
-        _weighted(mentions_order_number(t), "_m").alias("order_number_count"),
-        _weighted(is_multilingual(t, "_low"), "_m").alias("multilingual_count"),
-    )
+    x = (raw.withColumn("_tsv", unwrap(F.col(ts))).withColumn("_low", F.lower(t))
+            .withColumn("_r", parse_rating(F.col(rating))).withColumn("_s", py_strip(t)))
+    return x.withColumns({
+        "missing_timestamp_count": is_missing_timestamp(F.col(ts)),
+        "missing_rating_count": F.col(rating).isNull(),
+        "empty_feedback_count": is_meaningless(t, F.col("_s")),
+        "invalid_timestamp_count": is_invalid_timestamp(F.col(ts), "_tsv"),
+        "contradiction_count": contradicts(F.col(rating), t, "_low", F.col("_r")),
+        "agent_mentions_count": mentions_agent(t),
+        "order_number_count": mentions_order_number(t),
+        "multilingual_count": is_multilingual(t, "_low")}).drop("_tsv", "_low", "_r", "_s")
+
+
+FLAGS = ["missing_timestamp_count", "missing_rating_count", "empty_feedback_count", "invalid_timestamp_count",
+         "contradiction_count", "agent_mentions_count", "order_number_count", "multilingual_count"]
+
+
+def _scored(agg: DataFrame, *more: str) -> DataFrame:
     counts = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in AUDIT_COLUMNS
               if c != "health_score"}
     ded, score = health(counts["total_records"], counts)
@@ -92,14 +74,38 @@ def audit(raw: DataFrame, text: str = "feedback_text", ts: str = "timestamp",
         counts["total_records"].alias("total_records"),
         score.cast("int").alias("health_score"),
         *[counts[c].alias(c) for c in AUDIT_COLUMNS[2:]],
-        F.round(ded, 4).alias("deductions"),
+        F.round(ded, 4).alias("deductions"), *more,
     )
 
 
-def duplicate_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row (total_rows, duplicate_rows): rows beyond the first of each group of
-    equal ``cols`` (null equals null).  Map-side combined, so a hot value costs
-    one partial row per task."""
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    return g.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"),
-                 F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+def audit(raw: DataFrame, text: str = "feedback_text", ts: str = "timestamp",
+          rating: str = "rating", hashes=digest) -> DataFrame:
+    """One-row audit frame: the twelve audit counts plus unclamped ``deductions``.
+    The row is computed and written when this is called."""
+    cols = [c for c in raw.columns if c != "seq"]
+    x = _flags(raw, text, ts, rating)
+    t1, t2 = hashes([text])
+    x = x.select(*FLAGS, *hashes(cols), check(x, cols).alias("_chk"), t1.alias("_t1"), t2.alias("_t2"), check(x, [text]).alias("_tchk"))
+    records = groups(x, F.first("_t1").alias("_t1"), F.first("_t2").alias("_t2"),
+                     F.min("_tchk").alias("_tlo"), F.max("_tchk").alias("_thi"), *[F.count_if(c).alias(c) for c in FLAGS])
+    texts = records.groupBy("_t1", "_t2").agg(
+        F.sum("_n").alias("_m"), F.sum(F.col("_n") - 1).alias("_dup_rows"),
+        (F.max("_mixed") | (F.min("_tlo") != F.max("_thi"))).alias("_mixed"), *[F.sum(c).alias(c) for c in FLAGS])
+    one = materialize(_scored(texts.agg(
+        F.sum("_m").alias("total_records"), F.sum("_dup_rows").alias("duplicate_row_count"),
+        F.sum(F.col("_m") - 1).alias("duplicate_feedback_count"), F.count_if("_mixed").alias("_mixed"),
+        *[F.sum(c).alias(c) for c in FLAGS]), "_mixed"), "table")
+    if one.first()["_mixed"]:
+        return audit_by_columns(raw, text, ts, rating)
+    return one.drop("_mixed")
+
+
+def audit_by_columns(raw: DataFrame, text: str = "feedback_text", ts: str = "timestamp",
+                     rating: str = "rating") -> DataFrame:
+    """The audit with whole records and texts as keys."""
+    cols = [c for c in raw.columns if c != "seq"]
+    records = _flags(raw, text, ts, rating).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(c).alias(c) for c in FLAGS])
+    texts = records.groupBy(text).agg(F.sum("_n").alias("_m"), F.sum(F.col("_n") - 1).alias("_dup_rows"), *[F.sum(c).alias(c) for c in FLAGS])
+    return _scored(texts.agg(
+        F.sum("_m").alias("total_records"), F.sum("_dup_rows").alias("duplicate_row_count"),
+        F.sum(F.col("_m") - 1).alias("duplicate_feedback_count"), *[F.sum(c).alias(c) for c in FLAGS]))

@@ -3,12 +3,13 @@ impute ratings, drop exact duplicates (keep the first in file order), and key
 every row by its complaint pattern.
 
 Plan shape: filter and per-row expressions are narrow; the fill shuffles once
-by chunk; duplicate removal is one grouped aggregate over all columns taking
-``min(seq)`` (plain ``dropDuplicates`` would keep an arbitrary row); the
-pattern table is a second grouped aggregate (count and first row per pattern)
-that is joined back once.  Hot patterns are pre-aggregated map-side; the
-join-back is left to AQE (broadcast when the pattern table is small, skew
-splitting otherwise).
+by chunk.  No text is a shuffle key: duplicate removal groups the rows by a
+128-bit digest (``operators.digest``) and removes the listed repeats by their
+``seq``; the pattern table is a hash aggregate (count and first ``seq`` per
+pattern) whose first rows are then fetched by ``seq``.  A hot pattern is
+pre-aggregated map-side; the pattern table is written before it is joined back,
+so that AQE broadcasts it when it is small and splits the hot partition of the
+rows otherwise.
 """
 from __future__ import annotations
 
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import (clean_text, impute_rating, is_meaningless, iso_date, normalize_text,
                          py_strip)
 from ..functions.dates import unwrap
+from .digest import repeats
 from .fill import DEFAULT_CHUNK, fill_in_order
 
 CLEANED_COLUMNS = ["id", "timestamp", "source", "rating", "feedback_text", "normalized_text",
@@ -87,21 +89,27 @@ def stage_rows(raw: DataFrame, chunk: int | None = DEFAULT_CHUNK) -> DataFrame:
     return fill_and_impute(prepare_rows(raw), chunk)
 
 
-def drop_exact_duplicates(df: DataFrame, order: str = "seq") -> DataFrame:
-    """Keep the first (lowest ``order``) of each group of identical records."""
-    keys = [c for c in df.columns if c != order]
-    return df.groupBy(*keys).agg(F.min(order).alias(order))
+def drop_exact_duplicates(df: DataFrame, order: str = "seq", mode: str = "none", ignore: tuple[str, ...] = ()) -> DataFrame:
+    """Keep the first (lowest ``order``, a unique number) of each group of records
+    that are equal but for ``order`` and the ``ignore`` columns.  With a ``mode``
+    of ``session.materialize`` the list of repeats is written once; if it is too
+    long to broadcast, the rows kept are written too, so that they are joined
+    with it only once."""
+    from ..session import fits_broadcast, materialize
+    drop = materialize(repeats(df, [c for c in df.columns if c != order and c not in ignore], order, mode), mode)
+    kept = df.join(drop, order, "left_anti").select(*df.columns)
+    if mode == "none" or fits_broadcast(drop, 8):
+        return kept
+    return materialize(kept, mode)
 
 
 def pattern_table(rows: DataFrame) -> DataFrame:
-    """One row per ``normalized_text``: ``complaint_count`` and the pattern's first row."""
-    first = F.min_by(F.struct("seq", "feedback_text", "rating"), F.col("seq"))
-    return (rows.groupBy("normalized_text")
-                .agg(F.count(F.lit(1)).alias("complaint_count"), first.alias("_first"))
-                .select("normalized_text", "complaint_count",
-                        F.col("_first.seq").alias("first_seq"),
-                        F.col("_first.feedback_text").alias("first_text"),
-                        F.col("_first.rating").alias("first_rating")))
+    """One row per ``normalized_text``: ``complaint_count`` and the pattern's first
+    row.  Count and first ``seq`` are a hash aggregate; text and rating of the
+    first rows are fetched by ``seq``, which is unique."""
+    firsts = rows.groupBy("normalized_text").agg(F.count(F.lit(1)).alias("complaint_count"), F.min("seq").alias("first_seq"))
+    fetch = rows.select(F.col("seq").alias("first_seq"), F.col("feedback_text").alias("first_text"), F.col("rating").alias("first_rating"))
+    return firsts.join(fetch, "first_seq").select("normalized_text", "complaint_count", "first_seq", "first_text", "first_rating")
 
 
 def cleaning_log(raw: DataFrame, patterns: DataFrame,
@@ -145,18 +153,15 @@ def cleaning_log(raw: DataFrame, patterns: DataFrame,
 
 def clean(raw: DataFrame, chunk: int | None = DEFAULT_CHUNK, materialize: str = "none") -> Cleaned:
     """Plan the cleaning.  With ``materialize`` (``table`` / ``checkpoint``) the
-    prepared rows and the de-duplicated rows are written once: both feed two
-    branches (fill summary + rows; pattern table + rows) that would otherwise
-    each recompute everything before them."""
+    prepared rows, the staged rows and the pattern table are written once: each
+    feeds two branches (fill summary + rows; repeats + pattern table + rows;
+    classifier + counts) that would otherwise recompute everything before them."""
     from ..session import materialize as mat
-    prepared = prepare_rows(raw)
-    if materialize != "none":
-        prepared = mat(prepared, materialize)
-    staged = fill_and_impute(prepared, chunk)
-    rows = drop_exact_duplicates(staged.drop("_parsed"))
-    rows = rows.withColumn("normalized_text", normalize_text(F.col("feedback_text")))
-    if materialize != "none":
-        rows = mat(rows, materialize)
-    patterns = pattern_table(rows)
+    prepared = mat(prepare_rows(raw), materialize)
+    staged = fill_and_impute(prepared, chunk).drop("_parsed")
+    staged = mat(staged.withColumn("normalized_text", normalize_text(F.col("feedback_text"))), materialize)
+    # The pattern key is a function of the text: it takes no part in the comparison.
+    rows = drop_exact_duplicates(staged, mode=materialize, ignore=("normalized_text",))
+    patterns = mat(pattern_table(rows), materialize)
     return Cleaned(rows=rows, patterns=patterns, raw=raw,
                    prepared=prepared if materialize != "none" else None)

@@ -1,11 +1,13 @@
 """Insights over the validated table: distributions, crosstabs, conflicts and
-the weekly trend.
-
-Every result is an aggregate; the big frame is only ever scanned by map-side
-combined aggregates (or a partial top-k), so a category or source that holds
-a third of all rows costs nothing extra.  Windows appear only over already
-aggregated frames whose size is bounded by a label domain (5 categories,
-3 sentiments), the number of distinct sources, or the number of weeks.
+the weekly trend, all cut from one aggregate.
+
+``insight_cube`` reads the validated rows once: a map-side combined aggregate by
+(category, sentiment, source, week) leaves a few cells, and ``GROUPING SETS``
+over those cells add up every table that is needed (one ``level`` each).  A
+category or source that holds a third of all rows costs one partial row a task.
+Every function below takes either validated rows or a cube; give several of them
+one written cube, as ``plans.flow`` does, and the rows are read once for all.
+Windows appear only over frames bounded by a label domain or the number of weeks.
 """
 from __future__ import annotations
 
@@ -15,6 +17,48 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import week_end
 
+DIMENSIONS = ("ai_category", "ai_sentiment", "source", "week")
+# What a cell sums: rows, rating conflicts, rows below the review threshold,
+# rows with a confidence, their confidence, corrected labels.
+MEASURES = ("n", "conflicts", "low", "rated", "confidence", "corrected")
+LEVELS = {"all": (), "category": ("ai_category",), "sentiment": ("ai_sentiment",), "source": ("source",),
+          "source_category": ("source", "ai_category"), "source_sentiment": ("source", "ai_sentiment"),
+          "week_sentiment": ("week", "ai_sentiment")}
+
+
+def insight_cube(v: DataFrame) -> DataFrame:
+    """(level, ai_category, ai_sentiment, source, week, measures): one row per
+    value combination of each of ``LEVELS``.  Columns that a level does not group
+    by are null.  ``_corrected``, if a column of ``v``, counts corrected labels."""
+    corrected = F.col("_corrected") if "_corrected" in v.columns else F.lit(0)
+    conf = F.col("ai_confidence")
+    cells = v.withColumn("week", week_end(F.to_date("timestamp"))).groupBy(*DIMENSIONS).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(conflict_flag(v)).alias("conflicts"),
+        F.count_if(conf < K.REVIEW_THRESHOLD).alias("low"), F.count(conf).alias("rated"),
+        F.sum(conf).alias("confidence"), F.sum(corrected).cast("bigint").alias("corrected"))
+    g = cells.groupingSets([[F.col(c) for c in cols] for cols in LEVELS.values()], *DIMENSIONS).agg(
+        F.grouping_id().alias("_set"), *[F.sum(m).alias(m) for m in MEASURES])
+    # A bit of the grouping id is set where the column is not grouped by.
+    bit = {c: 1 << i for i, c in enumerate(reversed(DIMENSIONS))}
+    level = F.lit(None).cast("string")
+    for name, cols in LEVELS.items():
+        level = F.when(F.col("_set") == sum(b for c, b in bit.items() if c not in cols), F.lit(name)).otherwise(level)
+    return g.select(level.alias("level"), *DIMENSIONS, *MEASURES)
+
+
+def cube_of(v: DataFrame) -> DataFrame:
+    """``v`` itself if it is a cube, else the cube of the rows."""
+    return v if "level" in v.columns and "conflicts" in v.columns else insight_cube(v)
+
+
+def _level(cube: DataFrame, name: str) -> DataFrame:
+    return cube.filter(F.col("level") == name)
+
+
+def _total(cube: DataFrame, measure: str = "n") -> Column:
+    """A measure over all rows as a scalar, 0 when there are none."""
+    return F.coalesce(_level(cube, "all").agg(F.max(measure).alias("t")).scalar(), F.lit(0))
+
 
 def pct(n: Column, d: Column, digits: int = 2) -> Column:
     """round(n / d * 100, digits); 0.0 when d is 0."""
@@ -31,10 +75,11 @@ def _stack(domain, value_col: str, cols) -> Column:
 
 def category_counts(v: DataFrame) -> DataFrame:
     """(ai_category, count, percentage) for the five categories, zero-filled."""
-    aggs = [F.count(F.lit(1)).alias("_total")]
-    aggs += [F.count_if(F.col("ai_category") == c).alias(f"count_{i}")
-             for i, c in enumerate(K.CATEGORIES)]
-    wide = v.agg(*aggs)
+    x = cube_of(v).filter(F.col("level").isin("all", "category"))
+    n = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
+    wide = x.agg(n(F.col("level") == "all").alias("_total"),
+                 *[n((F.col("level") == "category") & (F.col("ai_category") == c)).alias(f"count_{i}")
+                   for i, c in enumerate(K.CATEGORIES)])
     long = wide.select("_total", _stack(K.CATEGORIES, "ai_category", ["count"]))
     return long.select("ai_category", "_rank", "count",
                        pct(F.col("count"), F.col("_total")).alias("percentage"))
@@ -52,36 +97,37 @@ def category_examples(v: DataFrame, k: int = K.CATEGORY_EXAMPLES) -> DataFrame:
                     lambda e: e.getField("feedback_text")).alias("examples"))
 
 
-def category_distribution(v: DataFrame) -> DataFrame:
+def category_distribution(v: DataFrame, cube: DataFrame | None = None) -> DataFrame:
     """(ai_category, count, percentage, examples) over the five categories."""
     ex = category_examples(v)          # at most 5 rows: filtered to the category domain
-    d = category_counts(v).join(F.broadcast(ex), "ai_category", "left")
+    d = category_counts(v if cube is None else cube).join(F.broadcast(ex), "ai_category", "left")
     return d.select("ai_category", "count", "percentage",
                     F.coalesce("examples", F.array().cast("array<string>")).alias("examples"),
                     "_rank")
 
 
 def value_distribution(v: DataFrame, col: str) -> DataFrame:
-    """(value, count, percentage) over observed non-null values; the denominator
-    is every row (null values included)."""
-    g = v.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    """(value, count, percentage) over observed non-null values of ``source`` or
+    ``ai_sentiment``; the denominator is every row (null values included)."""
+    cube = cube_of(v)
+    g = _level(cube, {"ai_sentiment": "sentiment", "source": "source"}[col])
     # A scalar subquery: a window over all values would run in one task.
-    total = v.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (g.withColumn("_total", total).filter(F.col(col).isNotNull())
-             .select(col, "count", pct(F.col("count"), F.col("_total")).alias("percentage")))
+    return (g.withColumn("_total", _total(cube)).filter(F.col(col).isNotNull())
+             .select(col, F.col("n").alias("count"), pct(F.col("n"), F.col("_total")).alias("percentage")))
 
 
 def crosstab(v: DataFrame, col: str, domain, label: str) -> DataFrame:
     """(source, <label>, percentage): row-normalised shares of ``col`` per source,
     over rows where both are set; labels never observed are left out."""
-    x = v.filter(F.col("source").isNotNull() & F.col(col).isNotNull())
-    aggs = [F.count(F.lit(1)).alias("_row")]
-    aggs += [F.count_if(F.col(col) == lbl).alias(f"n_{i}") for i, lbl in enumerate(domain)]
-    wide = x.groupBy("source").agg(*aggs)
+    cube = cube_of(v)
+    x = _level(cube, {"ai_category": "source_category", "ai_sentiment": "source_sentiment"}[col]).filter(
+        F.col("source").isNotNull() & F.col(col).isNotNull())
+    n = lambda lbl: F.coalesce(F.sum(F.when(F.col(col) == lbl, F.col("n"))), F.lit(0))
+    wide = x.groupBy("source").agg(F.sum("n").alias("_row"), *[n(lbl).alias(f"n_{i}") for i, lbl in enumerate(domain)])
     long = wide.select("source", "_row", _stack(domain, label, ["n"]))
     # Counts of the labels as one scalar subquery: a window a label would put
     # all sources into a few tasks.
-    seen = x.agg(F.array(*[F.count_if(F.col(col) == lbl) for lbl in domain]).alias("n")).scalar()
+    seen = x.agg(F.array(*[n(lbl) for lbl in domain]).alias("n")).scalar()
     return (long.withColumn("_seen", F.element_at(seen, F.col("_rank") + 1)).filter(F.col("_seen") > 0)
                 .select("source", label, pct(F.col("n"), F.col("_row")).alias("percentage")))
 
@@ -93,25 +139,25 @@ def conflict_flag(v: DataFrame) -> Column:
 
 def conflict_summary(v: DataFrame) -> DataFrame:
     """(conflict_count, conflict_percentage)."""
-    m = v.agg(F.count_if(conflict_flag(v)).alias("conflict_count"), F.count(F.lit(1)).alias("_n"))
+    m = _level(cube_of(v), "all").agg(F.coalesce(F.max("conflicts"), F.lit(0)).alias("conflict_count"),
+                                      F.coalesce(F.max("n"), F.lit(0)).alias("_n"))
     return m.select("conflict_count", pct(F.col("conflict_count"), F.col("_n")).alias(
         "conflict_percentage"))
 
 
-def conflict_sample(v: DataFrame, k: int = K.CONFLICT_SAMPLE) -> DataFrame:
+def conflict_sample(v: DataFrame, k: int = K.CONFLICT_SAMPLE, with_seq: bool = False) -> DataFrame:
     """First k conflicting rows in file order (a TakeOrdered, no full sort)."""
+    cols = ["id", "rating", "ai_sentiment", "feedback_text"]
     return (v.filter(conflict_flag(v)).orderBy("seq").limit(k)
-             .select("id", "rating", "ai_sentiment", "feedback_text"))
+             .select(*(["seq", *cols] if with_seq else cols)))
 
 
 def weekly_trend(v: DataFrame) -> DataFrame:
     """(week_end, total_complaints, negative_sentiment_percentage) for weeks with rows."""
-    d = F.to_date(F.col("timestamp"))
-    g = (v.filter(F.col("timestamp").isNotNull())
-          .groupBy(week_end(d).alias("_w"))
-          .agg(F.count(F.lit(1)).alias("total_complaints"),
-               F.count_if(F.col("ai_sentiment") == "Negative").alias("_neg")))
-    return g.select(F.date_format("_w", "yyyy-MM-dd").alias("week_end"), "total_complaints",
+    x = _level(cube_of(v), "week_sentiment").filter(F.col("week").isNotNull())
+    g = x.groupBy("week").agg(F.sum("n").alias("total_complaints"),
+                              F.coalesce(F.sum(F.when(F.col("ai_sentiment") == "Negative", F.col("n"))), F.lit(0)).alias("_neg"))
+    return g.select(F.date_format("week", "yyyy-MM-dd").alias("week_end"), "total_complaints",
                     pct(F.col("_neg"), F.col("total_complaints")).alias(
                         "negative_sentiment_percentage"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import prettify_label, slug
-from .insights import (category_counts, category_distribution, conflict_flag, conflict_summary,
+from .insights import (category_counts, category_distribution, conflict_sample, conflict_summary, cube_of,
                        trend_status, value_distribution, weekly_trend)
 
 
@@ -23,20 +23,14 @@ def as_struct(one_row: DataFrame) -> Column:
 
 
 def insight_kpis(v: DataFrame, trend: DataFrame) -> DataFrame:
-    """One row: category percentages, conflict percentage and trend status."""
-    aggs = [F.count(F.lit(1)).alias("_n"), F.count_if(conflict_flag(v)).alias("_conf")]
-    aggs += [F.count_if(F.col("ai_category") == c).alias(f"_c{i}") for i, c in enumerate(K.CATEGORIES)]
-    m = v.agg(*aggs)
-    n = F.col("_n")
-    p = lambda c: F.when(n > 0, F.round(c / n * 100.0, 2)).otherwise(F.lit(0.0))
-    idx = {c: i for i, c in enumerate(K.CATEGORIES)}
-    return m.select(
-        p(F.col(f"_c{idx['Delivery']}")).alias("delivery_pct"),
-        p(F.col(f"_c{idx['App Bug']}")).alias("app_pct"),
-        p(F.col(f"_c{idx['Billing']}")).alias("billing_pct"),
-        p(F.col(f"_c{idx['Staff/Support']}")).alias("support_pct"),
-        p(F.col("_conf")).alias("conflict_pct"),
-        trend.select("status").scalar().alias("trend_status"))
+    """One row: category percentages, conflict percentage and trend status
+    (``v``: validated rows or their cube)."""
+    cube = cube_of(v)
+    names = {"Delivery": "delivery_pct", "App Bug": "app_pct", "Billing": "billing_pct", "Staff/Support": "support_pct"}
+    cats = category_counts(cube).agg(*[F.max(F.when(F.col("ai_category") == c, F.col("percentage"))).alias(name)
+                                       for c, name in names.items()])
+    return cats.select(*names.values(), conflict_summary(cube).select("conflict_percentage").scalar().alias("conflict_pct"),
+                       trend.select("status").scalar().alias("trend_status"))
 
 
 def _rule(no: int, rule, fired: Column, value: Column | None = None) -> Column:
@@ -91,11 +85,10 @@ def top_category(cat_counts: DataFrame) -> DataFrame:
 
 def most_negative_source(v: DataFrame) -> DataFrame:
     """One row: the source with the highest Negative share (ties: name ascending);
-    'N/A' and 0.0 when no row has a source.  One grouped aggregate (one row per
-    source) and one global aggregate over it."""
-    x = v.filter(F.col("source").isNotNull() & F.col("ai_sentiment").isNotNull())
-    g = x.groupBy("source").agg(F.count(F.lit(1)).alias("_row"),
-                                F.count_if(F.col("ai_sentiment") == "Negative").alias("_neg"))
+    'N/A' and 0.0 when no row has a source (``v``: validated rows or their cube)."""
+    x = cube_of(v).filter((F.col("level") == "source_sentiment") & F.col("source").isNotNull() & F.col("ai_sentiment").isNotNull())
+    g = x.groupBy("source").agg(F.sum("n").alias("_row"),
+                                F.coalesce(F.sum(F.when(F.col("ai_sentiment") == "Negative", F.col("n"))), F.lit(0)).alias("_neg"))
     g = g.select("source", F.round(F.col("_neg") / F.col("_row") * 100.0, 2).alias("p"))
     best = F.min_by(F.struct("source", "p"), F.struct(-F.col("p"), F.col("source")))
     m = g.agg(best.alias("b"))
@@ -105,18 +98,18 @@ def most_negative_source(v: DataFrame) -> DataFrame:
                     F.coalesce(F.col("b.p"), F.lit(0.0)).alias("most_negative_source_pct"))
 
 
-def exec_kpis(audit: DataFrame, log: DataFrame, v: DataFrame, metrics: DataFrame,
-              corrections: DataFrame) -> DataFrame:
-    """The executive KPI row.  Each one-row input is attached once as a staged
+def exec_kpis(audit: DataFrame, log: DataFrame, cube: DataFrame, metrics: DataFrame) -> DataFrame:
+    """The executive KPI row, from one-row frames and the insight cube; no row of
+    the validated table is read.  Each one-row input is attached once as a staged
     struct column (a scalar subquery evaluated once), then its fields are read."""
-    cats = category_counts(v)
-    trend = trend_status(weekly_trend(v))
-    base = v.agg(F.count(F.lit(1)).alias("valid_complaints"),
-                 F.count_distinct("normalized_text").alias("unique_patterns"))
+    base = cube.filter(F.col("level") == "all").agg(
+        F.coalesce(F.max("n"), F.lit(0)).alias("valid_complaints"), F.coalesce(F.max("corrected"), F.lit(0)).alias("_c"))
     base = base.withColumns({
         "_a": as_struct(audit), "_l": as_struct(log), "_m": as_struct(metrics),
-        "_t": as_struct(top_category(cats)), "_s": as_struct(most_negative_source(v)),
-        "_r": as_struct(trend), "_c": corrections.select(F.count(F.lit(1))).scalar()})
+        "_t": as_struct(top_category(category_counts(cube))), "_s": as_struct(most_negative_source(cube)),
+        "_r": as_struct(trend_status(weekly_trend(cube)))})
+    # The patterns were counted with the cleaning: rows kept less repeats of a pattern.
+    base = base.withColumn("unique_patterns", F.col("_l").getField("total_cleaned_saved") - F.col("_l").getField("near_duplicate_rows"))
     a, lg, mt = F.col("_a"), F.col("_l"), F.col("_m")
     tc, ms, tr = F.col("_t"), F.col("_s"), F.col("_r")
     raw_n = a.getField("total_records")
@@ -162,15 +155,46 @@ def _collect(df: DataFrame, order: list[str], cols: list[str]) -> Column:
     return arr.scalar()
 
 
+def report_sections(audit: DataFrame, log: DataFrame, v: DataFrame, cube: DataFrame, metrics: DataFrame,
+                    recs: DataFrame) -> DataFrame:
+    """(section, position, payload): the report as JSON lines.  Sections that hold
+    one document, and lists with one row an element; ``position`` orders a list
+    (null where the order has no meaning: a source is one row of its own, so any
+    number of sources is written side by side)."""
+    weekly = weekly_trend(cube)
+    week_no = F.datediff(F.to_date("week_end"), F.lit("1970-01-04").cast("date")) / 7
+    parts = [
+        ("audit_results", audit, None, audit.columns),
+        ("cleaning_log", log, None, log.columns),
+        ("validation_metrics", metrics, None, metrics.columns),
+        ("category", category_distribution(v, cube), F.col("_rank"), ["ai_category", "count", "percentage", "examples"]),
+        ("sentiment", value_distribution(cube, "ai_sentiment"), None, ["ai_sentiment", "count", "percentage"]),
+        ("source", value_distribution(cube, "source"), None, ["source", "count", "percentage"]),
+        ("conflicts", conflict_summary(cube), None, ["conflict_count", "conflict_percentage"]),
+        ("conflicts_sample", conflict_sample(v, with_seq=True), F.col("seq"), ["id", "rating", "ai_sentiment", "feedback_text"]),
+        ("trend", trend_status(weekly), None, ["status", "reason"]),
+        ("weekly_data", weekly, week_no, ["week_end", "total_complaints", "negative_sentiment_percentage"]),
+        ("recommendations", recs, F.col("priority"), ["title", "impact", "description"]),
+    ]
+    out = None
+    for name, df, position, cols in parts:
+        pos = (F.lit(None) if position is None else position).cast("bigint")
+        part = df.select(F.lit(name).alias("section"), pos.alias("position"), F.to_json(F.struct(*cols)).alias("payload"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def report_payload(audit: DataFrame, log: DataFrame, v: DataFrame, metrics: DataFrame,
-                   recs: DataFrame) -> DataFrame:
-    """One row, one column ``payload``: the whole report as a JSON document."""
-    cats = category_distribution(v)
-    weekly = weekly_trend(v)
+                   recs: DataFrame, cube: DataFrame | None = None) -> DataFrame:
+    """One row, one column ``payload``: the whole report as one JSON document (for
+    a page; all sources are in it, so prefer ``report_sections`` for many sources)."""
+    cube = cube_of(v) if cube is None else cube
+    cats = category_distribution(v, cube)
+    weekly = weekly_trend(cube)
     trend = trend_status(weekly)
-    sent = value_distribution(v, "ai_sentiment")
-    src = value_distribution(v, "source")
-    conf = conflict_summary(v)
+    sent = value_distribution(cube, "ai_sentiment")
+    src = value_distribution(cube, "source")
+    conf = conflict_summary(cube)
     carrier = metrics.withColumns({"_conf": as_struct(conf), "_trend": as_struct(trend)})
     doc = F.struct(
         as_struct(audit).alias("audit_results"),
@@ -185,9 +209,7 @@ def report_payload(audit: DataFrame, log: DataFrame, v: DataFrame, metrics: Data
         F.struct(
             F.col("_conf").getField("conflict_count").alias("conflict_count"),
             F.col("_conf").getField("conflict_percentage").alias("conflict_percentage"),
-            _collect(v.filter(conflict_flag(v)).select("seq", "id", "rating", "ai_sentiment",
-                                                       "feedback_text")
-                      .orderBy("seq").limit(K.CONFLICT_SAMPLE),
+            _collect(conflict_sample(v, with_seq=True),
                      ["seq"], ["id", "rating", "ai_sentiment", "feedback_text"]
                      ).alias("conflicts_sample"),
         ).alias("conflicts"),

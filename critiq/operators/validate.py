@@ -18,12 +18,17 @@ from ..functions.keywords import contains_any_sql, sql_ref, sql_string
 
 @dataclass
 class Validated:
-    """``table``: corrected labels + review flag; ``corrections`` and ``metrics``
-    are planned on first access."""
-    table: DataFrame
+    """``counted``: corrected labels, review flag and ``_corrected``, the number of
+    corrected labels of a row; ``table``: the same without ``_corrected``;
+    ``corrections`` and ``metrics`` are planned on first access."""
+    counted: DataFrame
     source: DataFrame
     health: Column | int = 80
 
+    @property
+    def table(self) -> DataFrame:
+        return self.counted.drop("_corrected")
+
     @property
     def corrections(self) -> DataFrame:
         return corrections_log(self.source)
@@ -120,11 +125,17 @@ def corrections_log(df: DataFrame) -> DataFrame:
 
 
 def validation_metrics(df: DataFrame, health: Column | int) -> DataFrame:
-    """average_confidence (4 d.p.), low_confidence_count, low_confidence_percentage, reliability."""
+    """average_confidence (4 d.p.), low_confidence_count, low_confidence_percentage,
+    reliability, of rows with ``ai_confidence`` or of their insight cube."""
     h = health if isinstance(health, Column) else F.lit(health)
-    conf = F.col("ai_confidence")
-    m = df.agg(F.avg(conf).alias("_avg"), F.count_if(conf < K.REVIEW_THRESHOLD).alias("_low"),
-               F.count(F.lit(1)).alias("_n"))
+    if "level" in df.columns:
+        m = df.filter(F.col("level") == "all").agg(
+            F.max(F.col("confidence") / F.nullif(F.col("rated"), F.lit(0))).alias("_avg"),
+            F.coalesce(F.max("low"), F.lit(0)).alias("_low"), F.coalesce(F.max("n"), F.lit(0)).alias("_n"))
+    else:
+        conf = F.col("ai_confidence")
+        m = df.agg(F.avg(conf).alias("_avg"), F.count_if(conf < K.REVIEW_THRESHOLD).alias("_low"),
+                   F.count(F.lit(1)).alias("_n"))
     avg = F.coalesce(F.col("_avg"), F.lit(1.0))
     return m.select(
         F.round(avg, 4).alias("average_confidence"),
@@ -135,12 +146,14 @@ def validation_metrics(df: DataFrame, health: Column | int) -> DataFrame:
 
 
 def validate(enriched: DataFrame, health: Column | int = 80) -> Validated:
-    table = (_fixes(enriched)
-             .withColumn("ai_sentiment", F.col("_s_fix"))
-             .withColumn("ai_category", F.col("_c_fix"))
-             .drop("_s_fix", "_c_fix")
-             .withColumn("needs_human_review", F.col("ai_confidence") < K.REVIEW_THRESHOLD))
-    return Validated(table=table, source=enriched, health=health)
+    wrong = (~is_valid(F.col("ai_sentiment"), K.SENTIMENTS)).cast("int") + (~is_valid(F.col("ai_category"), K.CATEGORIES)).cast("int")
+    counted = (_fixes(enriched)
+               .withColumn("_corrected", wrong)
+               .withColumn("ai_sentiment", F.col("_s_fix"))
+               .withColumn("ai_category", F.col("_c_fix"))
+               .drop("_s_fix", "_c_fix")
+               .withColumn("needs_human_review", F.col("ai_confidence") < K.REVIEW_THRESHOLD))
+    return Validated(counted=counted, source=enriched, health=health)
 
 
 def review_queue(validated: DataFrame) -> DataFrame:

@@ -1,12 +1,13 @@
 """The whole analysis as one lazily planned flow:
 raw -> audit | clean -> enrich -> validate -> insights -> rules.
 
-``analyse`` only builds plans.  Three frames feed more than one branch (the
-prepared rows, the de-duplicated rows and the validated table); with
+``analyse`` only builds plans.  Four frames feed more than one branch (the
+prepared rows, the staged rows, the validated table and the insight cube); with
 ``materialize='table'`` (or ``'checkpoint'``) they are written once under the
 shared checkpoint folder, which both cuts the lineage (a lost executor re-reads
 them instead of re-running the cleaning) and stops every branch and every
-result from re-running the cleaning.
+result from re-running the cleaning.  All counts, shares, crosstabs and weeks
+come from the cube, i.e. from one pass over the validated rows.
 """
 from __future__ import annotations
 
@@ -17,9 +18,9 @@ from pyspark.sql import DataFrame
 
 from .. import constants as K
 from ..operators import (audit, audit_actions, category_distribution, clean, conflict_sample,
-                         conflict_summary, crosstab, enrich, exec_kpis, insight_kpis,
-                         recommendations, report_payload, review_queue, spotlight, trend_status,
-                         unique_patterns, validate, value_distribution, weekly_trend)
+                         conflict_summary, crosstab, enrich, exec_kpis, insight_cube, insight_kpis,
+                         recommendations, report_payload, report_sections, review_queue, spotlight,
+                         trend_status, unique_patterns, validate, value_distribution, weekly_trend)
 from ..operators.clean import Cleaned
 from ..operators.insights import category_counts
 from ..operators.fill import DEFAULT_CHUNK
@@ -39,9 +40,9 @@ class Analysis:
 
     @cached_property
     def audit(self) -> DataFrame:
-        """One row; written once in materialized mode (it feeds the health score,
-        the KPI row, the action table and the payload)."""
-        return self._keep(audit(self.raw))
+        """One row, written once (it feeds the health score, the KPI row, the action
+        table and the payload)."""
+        return audit(self.raw)
 
     @cached_property
     def cleaned(self) -> Cleaned:
@@ -62,10 +63,19 @@ class Analysis:
         return validate(self.enriched)
 
     @cached_property
+    def _counted(self) -> DataFrame:
+        counted = self._validated.counted
+        return materialize(counted, self.materialize) if self.keep_validated else counted
+
+    @property
     def validated(self) -> DataFrame:
-        if not self.keep_validated:
-            return self._validated.table
-        return materialize(self._validated.table, self.materialize)
+        return self._counted.drop("_corrected")
+
+    @cached_property
+    def cube(self) -> DataFrame:
+        """Every distribution, crosstab, conflict and week of the validated rows,
+        from one pass over them; written once in materialized mode."""
+        return self._keep(insight_cube(self._counted))
 
     @property
     def corrections(self) -> DataFrame:
@@ -75,8 +85,7 @@ class Analysis:
     def metrics(self) -> DataFrame:
         from ..operators.validate import validation_metrics
         health = self.audit.select("health_score").scalar()
-        # Validation leaves the confidence as it is.
-        return self._keep(validation_metrics(self.validated, health))
+        return self._keep(validation_metrics(self.cube, health))
 
     @property
     def review_queue(self) -> DataFrame:
@@ -85,27 +94,31 @@ class Analysis:
     # insights
     @property
     def category_distribution(self) -> DataFrame:
-        return category_distribution(self.validated)
+        return category_distribution(self.validated, self.cube)
+
+    @property
+    def category_counts(self) -> DataFrame:
+        return category_counts(self.cube)
 
     @property
     def sentiment_distribution(self) -> DataFrame:
-        return value_distribution(self.validated, "ai_sentiment")
+        return value_distribution(self.cube, "ai_sentiment")
 
     @property
     def source_distribution(self) -> DataFrame:
-        return value_distribution(self.validated, "source")
+        return value_distribution(self.cube, "source")
 
     @property
     def source_vs_category(self) -> DataFrame:
-        return crosstab(self.validated, "ai_category", K.CATEGORIES, "ai_category")
+        return crosstab(self.cube, "ai_category", K.CATEGORIES, "ai_category")
 
     @property
     def source_vs_sentiment(self) -> DataFrame:
-        return crosstab(self.validated, "ai_sentiment", K.SENTIMENTS, "ai_sentiment")
+        return crosstab(self.cube, "ai_sentiment", K.SENTIMENTS, "ai_sentiment")
 
     @property
     def conflicts(self) -> DataFrame:
-        return conflict_summary(self.validated)
+        return conflict_summary(self.cube)
 
     @property
     def conflict_sample(self) -> DataFrame:
@@ -113,7 +126,7 @@ class Analysis:
 
     @property
     def weekly(self) -> DataFrame:
-        return weekly_trend(self.validated)
+        return weekly_trend(self.cube)
 
     @property
     def trend(self) -> DataFrame:
@@ -126,16 +139,15 @@ class Analysis:
     # rules
     @property
     def recommendations(self) -> DataFrame:
-        return recommendations(insight_kpis(self.validated, self.trend))
+        return recommendations(insight_kpis(self.cube, self.trend))
 
     @property
     def spotlight(self) -> DataFrame:
-        return spotlight(category_counts(self.validated))
+        return spotlight(self.category_counts)
 
     @property
     def exec_kpis(self) -> DataFrame:
-        return exec_kpis(self.audit, self.cleaning_log, self.validated, self.metrics,
-                         self.corrections)
+        return exec_kpis(self.audit, self.cleaning_log, self.cube, self.metrics)
 
     @property
     def audit_actions(self) -> DataFrame:
@@ -144,7 +156,12 @@ class Analysis:
     @property
     def report_payload(self) -> DataFrame:
         return report_payload(self.audit, self.cleaning_log, self.validated, self.metrics,
-                              self.recommendations)
+                              self.recommendations, self.cube)
+
+    @property
+    def report_sections(self) -> DataFrame:
+        return report_sections(self.audit, self.cleaning_log, self.validated, self.cube, self.metrics,
+                               self.recommendations)
 
 
 def analyse(raw: DataFrame, classifier=None, materialize: str = "none",

@@ -23,7 +23,7 @@ from ..functions import (clean_text, contradicts, impute_rating, is_invalid_time
                          summary_line, week_end)
 from ..operators import (audit, batch_assign, classify_patterns, merge_responses,
                          response_results, validate)
-from ..operators.audit import duplicate_counts
+from ..operators.digest import duplicate_counts
 from ..operators.classify import (best_category, category_scores, classify_frame,
                                   lowered, sentiment_scores)
 from ..operators.insights import category_examples
@@ -563,7 +563,7 @@ def q_fallback_penalty(spark, sf):
 # ---------------------------------------------------------------------------
 @register("dist_category", INS + " select ai_category, count, percentage from catcnt")
 def q_dist_category(spark, sf):
-    return _an(spark, sf).category_distribution.select("ai_category", "count", "percentage")
+    return _an(spark, sf).category_counts.select("ai_category", "count", "percentage")
 
 
 @register("category_examples", INS + " select ai_category, cast(rn as integer) as example_rank, feedback_text from ("
@@ -653,7 +653,7 @@ def q_unique_patterns(spark, sf):
 # ---------------------------------------------------------------------------
 @register("recommendations", INS + " select * from recommendations")
 def q_recommendations(spark, sf):
-    return _an(spark, sf, many=True).recommendations
+    return _an(spark, sf).recommendations
 
 
 _SPOT = ", ".join(f"({O.q(c)}, {O.q(t)}, {O.q(r)})" for c, (t, r) in K.SPOTLIGHT.items())
@@ -697,7 +697,7 @@ select (select total_records from aud) as raw_records,
 
 @register("exec_kpis", _KPI)
 def q_exec_kpis(spark, sf):
-    return _an(spark, sf, many=True).exec_kpis
+    return _an(spark, sf).exec_kpis
 
 
 def _actions_sql() -> str:

@@ -16,6 +16,9 @@ ENGINE_CONF = {
     # The text work is CPU-heavy per byte: do not coalesce small shuffle
     # outputs into a handful of tasks (no effect once partitions are large).
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32KB",
+    # A join whose one side is small in every partition hashes that side instead
+    # of sorting both (AQE knows the sizes; larger sides are sorted and may spill).
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
@@ -80,6 +83,12 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fits_broadcast(df: DataFrame, row_bytes: int) -> bool:
+    """Whether a written frame of rows of that size lies under the broadcast limit."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return df.count() * row_bytes <= limit
+
+
 def materialize(df: DataFrame, mode: str = "table") -> DataFrame:
     """Cut lineage before a frame feeds more than one branch.
 
