@@ -27,7 +27,7 @@ from ..operators.digest import duplicate_counts
 from ..operators.classify import (best_category, category_scores, classify_frame,
                                   lowered, sentiment_scores)
 from ..operators.insights import category_examples
-from ..sources import dense_rank_by, null_tokens, read_feedback, write_table
+from ..sources import dense_rank_by, null_tokens, read_feedback, write_sections, write_table
 from ..session import scratch_path
 from . import fixtures as fx
 from . import oracle as O
@@ -669,7 +669,8 @@ def q_spotlight(spark, sf):
 
 _PRETTY = ("array_to_string(list_transform(string_split(replace(source, '_', ' '), ' '), "
            "lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ')")
-_KPI = O.with_(O.fb_cte(), O.pipeline_ctes(), O.insight_ctes(), O.audit_ctes(), O.log_ctes(), _VM) + f""",
+def _kpi_sql(pipeline: str, corrections: str) -> str:
+    return O.with_(O.fb_cte(), pipeline, O.insight_ctes(), O.audit_ctes(), O.log_ctes(), _VM) + f""",
 negsrc as (select source, round(count(*) filter (where ai_sentiment = 'Negative') / count(*) * 100.0, 2) as p
    from validated where source is not null and ai_sentiment is not null group by source),
 mns as (select source, {_PRETTY} as label, p from negsrc order by p desc, source limit 1),
@@ -689,17 +690,100 @@ select (select total_records from aud) as raw_records,
   coalesce((select p from mns), 0.0) as most_negative_source_pct,
   (select status from trend) as trend_status, (select reason from trend) as trend_reason,
   round((select average_confidence from vm) * 100.0, 1) as avg_confidence_pct,
-  cast(0 as bigint) as corrections_applied,
+  cast(({corrections}) as bigint) as corrections_applied,
   (select contradiction_count from aud) > 0 as contradiction_alert,
   (select insight_reliability from vm) = {O.q(K.LIMITED)} as limited_quality_notice,
   (select low_confidence_count from vm) > 0 as review_queue_pending"""
 
 
+# Every fourth pattern (by the length of its key) gets labels outside the sets,
+# the plug-in below gives the same.
+_DIRTY = {0: ("Slightly Negative", "Payment Issue", 0.65), 1: ("Positive", "DELIVERY ", 0.9), 2: ("very good", "misc", 0.8)}
+
+
+def _dirty_pipeline() -> str:
+    pick = lambda i, rest: "case length(normalized_text) % 4 " + " ".join(
+        f"when {k} then {O.q(v[i]) if i < 2 else v[i]}" for k, v in _DIRTY.items()) + f" else {rest} end"
+    dirty = (f"pdirty as (select * replace ({pick(0, 'c_sentiment')} as c_sentiment, {pick(1, 'c_category')} as c_category, "
+             f"cast({pick(2, 'c_confidence')} as double) as c_confidence) from pclass),\ncleaned as (")
+    fixed = (f"fixed as (select *, {_SFIX.replace('ai_s', 'ai_sentiment')} as s_fix, {_CFIX.replace('ai_c', 'ai_category')} as c_fix from enriched),\n"
+             "validated as (select * exclude (s_fix, c_fix) replace (s_fix as ai_sentiment, c_fix as ai_category), ")
+    p = O.pipeline_ctes().replace("cleaned as (", dirty, 1).replace("join pclass p using", "join pdirty p using")
+    a, b = p.split("validated as (select *, ")
+    return a + fixed + b.replace("from enriched)", "from fixed)")
+
+
+_CORRECTED = ("select coalesce(sum(case when ai_sentiment in ('Positive','Neutral','Negative') then 0 else 1 end + "
+              "case when ai_category in (" + ", ".join(O.q(c) for c in K.CATEGORIES) + ") then 0 else 1 end), 0) from enriched")
+_KPI = _kpi_sql(O.pipeline_ctes(), _CORRECTED)
+
+
+def _dirty_batches(frames):
+    """A plug-in that leaves the label sets for some patterns and answers others
+    with nulls (the heuristic's labels)."""
+    for f in frames:
+        kind = f["normalized_text"].str.len() % 4
+        out = f[["normalized_text"]].copy()
+        for i, name in enumerate(["sentiment", "category", "confidence"]):
+            out[name] = [_DIRTY[k][i] if k in _DIRTY else None for k in kind]
+        out["summary"] = None
+        yield out[["normalized_text", "sentiment", "category", "summary", "confidence"]]
+
+
+@register("exec_kpis_corrected", _kpi_sql(_dirty_pipeline(), _CORRECTED))
+def q_exec_kpis_corrected(spark, sf):
+    """The KPI row over a classifier whose labels need correcting."""
+    return analyse(fx.feedback_raw(spark, sf), classifier=_dirty_batches, materialize="table", keep_validated=False).exec_kpis
+
+
 @register("exec_kpis", _KPI)
 def q_exec_kpis(spark, sf):
     return _an(spark, sf).exec_kpis
 
 
+_SECTIONS = O.with_(O.fb_cte(), O.pipeline_ctes(), O.insight_ctes(), O.audit_ctes(), O.log_ctes(), _VM) + f""",
+ex as (select ai_category, string_agg(feedback_text, '|' order by rn) as texts from (select ai_category, feedback_text,
+   row_number() over (partition by ai_category order by ai_confidence desc, seq) as rn from validated) where rn <= 3 group by ai_category),
+sent as (select ai_sentiment, count(*) as n, round(count(*) / (select count(*) from validated) * 100.0, 2) as p from validated where ai_sentiment is not null group by 1),
+srcs as (select source, count(*) as n, round(count(*) / (select count(*) from validated) * 100.0, 2) as p from validated where source is not null group by 1),
+conflicting as (select seq, id, cast(rating as double) as rating, ai_sentiment, feedback_text from validated where {_CONFLICT} order by seq limit {K.CONFLICT_SAMPLE}),
+parts(section, position, label, n, share, detail) as (
+  select 'audit_results', null, null, total_records, cast(health_score as double), null from aud
+  union all select 'cleaning_log', null, null, total_raw, cast(total_cleaned_saved as double), null from clog
+  union all select 'validation_metrics', null, null, low_confidence_count, average_confidence, insight_reliability from vm
+  union all select 'category', _rank, ai_category, count, percentage, coalesce(texts, '') from catcnt left join ex using (ai_category)
+  union all select 'sentiment', null, ai_sentiment, n, p, null from sent
+  union all select 'source', null, source, n, p, null from srcs
+  union all select 'conflicts', null, null, conflict_count, conflict_percentage, null from conf
+  union all select 'conflicts_sample', seq, ai_sentiment, id, rating, feedback_text from conflicting
+  union all select 'trend', null, status, null, null, reason from trend
+  union all select 'weekly_data', datediff('day', date '1970-01-04', cast(week_end as date)) // 7, week_end, total_complaints, negative_sentiment_percentage, null from weekly
+  union all select 'recommendations', priority, title, null, null, impact || ': ' || description from recommendations)
+select section, cast(position as bigint) as position, label, cast(n as bigint) as n, cast(share as double) as share, detail from parts"""
+
+_SECTION_FIELDS = ("total_records bigint, health_score int, total_raw bigint, total_cleaned_saved bigint, low_confidence_count bigint, "
+                   "average_confidence double, insight_reliability string, ai_category string, count bigint, percentage double, "
+                   "examples array<string>, ai_sentiment string, source string, conflict_count bigint, conflict_percentage double, "
+                   "id bigint, rating double, feedback_text string, status string, reason string, week_end string, "
+                   "total_complaints bigint, negative_sentiment_percentage double, title string, impact string, description string")
+
+
+@register("report_sections", _SECTIONS)
+def q_report_sections(spark, sf):
+    """The report written as JSON lines, one folder a section, read back and parsed."""
+    path = scratch_path(spark, f"report/{uuid.uuid4().hex}")
+    write_sections(_an(spark, sf, many=True).report_sections, path)
+    doc = F.from_json("payload", _SECTION_FIELDS).alias("d")
+    x = spark.read.schema("position long, payload string, section string").json(path).select("section", "position", doc).select("section", "position", "d.*")
+    first = lambda *names: F.coalesce(*[F.col(n) if isinstance(n, str) else n for n in names])
+    return x.select(
+        "section", "position", first("ai_category", "source", "ai_sentiment", "status", "week_end", "title").alias("label"),
+        first("total_records", "total_raw", "low_confidence_count", "count", "conflict_count", "id", "total_complaints").alias("n"),
+        first("percentage", "average_confidence", "conflict_percentage", "rating", "negative_sentiment_percentage",
+              F.col("health_score").cast("double"), F.col("total_cleaned_saved").cast("double")).alias("share"),
+        first("insight_reliability", F.array_join("examples", "|"), "feedback_text", "reason", F.concat("impact", F.lit(": "), "description")).alias("detail"))
+
+
 def _actions_sql() -> str:
     parts = []
     for i, (issue, cnt, logc, action) in enumerate(K.AUDIT_ACTIONS):

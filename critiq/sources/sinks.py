@@ -29,3 +29,9 @@ def write_payload(payload: DataFrame, path: str) -> str:
     """The one-row report payload as a text file holding one JSON document."""
     payload.select("payload").write.mode("overwrite").text(path)
     return path
+
+
+def write_sections(sections: DataFrame, path: str) -> str:
+    """The report's sections as JSON lines, one folder a section."""
+    sections.write.mode("overwrite").partitionBy("section").json(path)
+    return path
