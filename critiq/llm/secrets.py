@@ -3,9 +3,10 @@
 Every whole text gets three base pattern scans (``assign``, ``access``,
 ``hex``) and a lexer that reads source and configuration syntax into
 name-literal pairs (``name = "x"``, ``"name": "x"``, ``name: x``, ``NAME=x``,
-``--name x``, ``<name>x</name>``, joined strings), propagates constants
+``--name x``, ``<name>x</name>``, ``conf["name"] = x``, nested braces and
+indented blocks, prefixed and joined strings), propagates constants
 (``k = "x"; password = k``) and scores each literal by the most sensitive name
-that it reaches.  Literals over the threshold add spans of kind ``literal``
+that it reaches.  Propagation visits every name of a text once.  Literals over the threshold add spans of kind ``literal``
 unless a base ``assign`` span already covers them.
 
 Map-only: one pass, one text at a time, no shuffle; a lost task repeats alone.
@@ -17,6 +18,7 @@ Positions are code points, ends exclusive.
 """
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import math
@@ -47,6 +49,9 @@ NAME_WEIGHT = {
     "id": -0.5, "name": -0.7, "url": -0.7, "uri": -0.6, "path": -0.8, "file": -0.8, "type": -0.8, "length": -0.9,
     "len": -0.9, "count": -0.9, "max": -0.5, "min": -0.5, "field": -0.8, "label": -0.8, "hint": -0.8, "prompt": -0.8,
     "public": -0.9, "expiry": -0.8, "ttl": -0.8, "policy": -0.8, "regex": -0.8, "header": -0.6, "hash": -0.3,
+    "host": -0.9, "hostname": -0.9, "port": -0.9, "region": -0.9, "email": -0.9, "username": -0.9, "domain": -0.9,
+    "endpoint": -0.9, "version": -0.9, "description": -0.9, "title": -0.9, "date": -0.9, "time": -0.9, "format": -0.9,
+    "status": -0.9, "created": -0.9, "updated": -0.9, "expires": -0.9,
 }
 # Words that only say whose secret it is, inside names written as one word.
 WHOSE = frozenset("db database user app admin root my aws gcp azure git github smtp mail ftp ssh redis mysql postgres mongo service server".split())
@@ -59,12 +64,17 @@ _SUBWORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _LEX = re.compile(r"""
     (?P<tag><(?P<tname>[A-Za-z_][\w.-]*)>(?P<tval>[^<>\n]+)</(?P=tname)>)
   | (?P<flag>--(?P<fname>[A-Za-z][\w-]*)(?:=|\x20+)(?P<fval>[^\s"'-][^\s"']*))
-  | (?P<str>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)
+  | (?P<str>(?P<pre>(?<![\w$])[bBrRuUfF]{1,2})?(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`))
   | (?P<ref>\$\{(?P<rname>\w+)\})
   | (?P<op>:=|=>|==|!=|<=|>=|=|:|\+|,|;|\(|\)|\{|\}|\[|\])
   | (?P<word>[^\s"'`=:+,;(){}\[\]<>]+(?:[+/][^\s"'`=:+,;(){}\[\]<>]+)*)
   | (?P<nl>\n)
 """, re.X)
+# A string that begins with an assignment; schemes that may stand before a value.
+_INNER = re.compile(r"\s*[A-Za-z_][\w.-]*\s*[:=]", re.A)
+SCHEMES = frozenset(["bearer", "basic", "token", "apikey", "digest"])
+# Names of enclosing blocks that count for a name.
+_PATH = 3
 _NAME = re.compile(r"[A-Za-z_$][\w.$-]*\Z", re.A)
 
 
@@ -105,78 +115,149 @@ def literal_score(value: str) -> float:
     return min(1.0, 0.2 * (classes - 1) + bits / 5.0)
 
 
-def name_literals(text: str) -> list[tuple[str, int, int]]:
-    """Name-literal pairs of a text after constant propagation: (name, start,
-    end) for each literal a name takes, directly, by joining or by another
-    name's value."""
-    toks: list[tuple[str, str, int, int]] = []
-    pairs: list[tuple[str, int, int]] = []
-    for m in _LEX.finditer(text):
-        kind = m.lastgroup
-        if m["tag"]:
-            a, b = m.span("tval")
-            lead = len(m["tval"]) - len(m["tval"].lstrip())
-            pairs.append((m["tname"], a + lead, a + lead + len(m["tval"].strip())))
-        elif m["flag"]:
-            pairs.append((m["fname"], *m.span("fval")))
-        elif m["str"]:
-            toks.append(("str", m["str"][1:-1], m.start() + 1, m.end() - 1))
-        elif m["ref"]:
-            toks.append(("ref", m["rname"], m.start(), m.end()))
-        elif m["op"]:
-            toks.append(("op", m["op"], m.start(), m.end()))
-        elif m["word"]:
-            toks.append(("word", m["word"], m.start(), m.end()))
-        elif kind == "nl":
-            toks.append(("nl", "\n", m.start(), m.end()))
-    literals: dict[str, list[tuple[int, int]]] = {}
-    refs: dict[str, set[str]] = {}
-    i, n = 0, len(toks)
-    while i + 2 < n:
-        kind, name, _, _ = toks[i]
-        if kind not in ("word", "str") or toks[i + 1][0] != "op" or toks[i + 1][1] not in ("=", ":", ":=", "=>") or not _NAME.match(name):
-            i += 1
-            continue
-        j = i + 2
+class Assignments:
+    """What the names of a text are given: ``literals`` (spans) and ``refs`` (other
+    names).  A name inside the braces or the indented block of other names also
+    counts under its path, as in ``credential.value``."""
+
+    def __init__(self, text: str):
+        self.literals: dict[str, list[tuple[int, int]]] = {}
+        self.refs: dict[str, list[str]] = {}
+        self._read(text, 0, True)
+
+    def _literal(self, names: list[str], start: int, end: int) -> None:
+        for name in names:
+            self.literals.setdefault(name, []).append((start, end))
+
+    def _refer(self, names: list[str], other: str) -> None:
+        for name in names:
+            self.refs.setdefault(name, []).append(other)
+
+    def _tokens(self, text: str, at: int, outer: bool) -> list[tuple[str, str, int, int]]:
+        toks: list[tuple[str, str, int, int]] = []
+        for m in _LEX.finditer(text):
+            if m["tag"]:
+                a, b = m.span("tval")
+                lead = len(m["tval"]) - len(m["tval"].lstrip())
+                self._literal([m["tname"]], at + a + lead, at + a + lead + len(m["tval"].strip()))
+            elif m["flag"]:
+                a, b = m.span("fval")
+                self._literal([m["fname"]], at + a, at + b)
+            elif m["str"]:
+                skip = len(m["pre"] or "") + 1
+                inner = m["str"][skip:-1]
+                toks.append(("str", inner, at + m.start() + skip, at + m.end() - 1))
+                # A string may hold an assignment of its own, as header lines do.
+                if outer and _INNER.match(inner) and STEM.search(inner):
+                    self._read(inner, at + m.start() + skip, False)
+            elif m["ref"]:
+                toks.append(("ref", m["rname"], at + m.start(), at + m.end()))
+            elif m["op"]:
+                toks.append(("op", m["op"], at + m.start(), at + m.end()))
+            elif m["word"]:
+                toks.append(("word", m["word"], at + m.start(), at + m.end()))
+            else:
+                toks.append(("nl", "\n", at + m.start(), at + m.end()))
+        return toks
+
+    def _read(self, text: str, at: int, outer: bool) -> None:
+        toks = self._tokens(text, at, outer)
+        braces: list[str | None] = []
+        blocks: list[tuple[int, str]] = []
+        i, n, line = 0, len(toks), at
+        while i < n:
+            kind, value, s, _ = toks[i]
+            if kind == "nl":
+                line = toks[i][3]
+                i += 1
+                continue
+            if i == 0 or toks[i - 1][0] == "nl":
+                while blocks and s - line <= blocks[-1][0]:
+                    blocks.pop()
+            if kind == "op" and value == "{":
+                braces.append(None)
+            elif kind == "op" and value == "}" and braces:
+                braces.pop()
+            # name["key"] = value
+            step = 3 if kind == "op" and value == "[" and i + 3 < n and toks[i + 1][0] == "str" and toks[i + 2][:2] == ("op", "]") else 1
+            name = toks[i + 1][1] if step == 3 else value
+            if i + step >= n or toks[i + step][0] != "op" or toks[i + step][1] not in ("=", ":", ":=", "=>") or (step == 1 and kind not in ("word", "str")) or not _NAME.match(name):
+                i += 1
+                continue
+            around = [b for b in braces if b][-_PATH:] + [b for _, b in blocks[-_PATH:]]
+            names = [name] + ([".".join([*around, name])] if around else [])
+            j = i + step + 1
+            if j < n and toks[j][:2] == ("op", "{"):
+                braces.append(name)
+                i = j + 1
+                continue
+            if j < n and toks[j][0] == "nl" and toks[i + step][1] == ":":
+                blocks.append((s - line if step == 1 else 0, name))
+                i = j
+                continue
+            i = self._value(toks, i, i + step, names)
+
+    def _value(self, toks: list[tuple[str, str, int, int]], i: int, op: int, names: list[str]) -> int:
+        """Take the value behind the operator at ``op``; the next token to read."""
+        n, j = len(toks), op + 1
         # name: Type = value
-        if toks[i + 1][1] == ":" and j + 2 < n and toks[j][0] == "word" and toks[j + 1][:2] == ("op", "="):
+        if toks[op][1] == ":" and j + 2 < n and toks[j][0] == "word" and toks[j + 1][:2] == ("op", "="):
             j += 2
+        # Authorization: Bearer value
+        if j + 1 < n and toks[j][0] == toks[j + 1][0] == "word" and toks[j][1].lower() in SCHEMES:
+            names = [f"{x}.{toks[j][1]}" for x in names]
+            j += 1
         step = j
         while j < n:
-            kind_j, value, s, e = toks[j]
-            if kind_j == "str":
-                literals.setdefault(name, []).append((s, e))
+            kind, value, s, e = toks[j]
+            if kind == "str":
+                self._literal(names, s, e)
                 for ref in re.findall(r"\$\{(\w+)\}|\{(\w+)\}", value):
-                    refs.setdefault(name, set()).update(x for x in ref if x)
-            elif kind_j == "word":
+                    self._refer(names, ref[0] or ref[1])
+            elif kind == "word":
                 value = value.rstrip(".")
-                literals.setdefault(name, []).append((s, s + len(value)))
+                self._literal(names, s, s + len(value))
                 if _NAME.match(value):
-                    refs.setdefault(name, set()).add(value)
-            elif kind_j == "ref":
-                refs.setdefault(name, set()).add(value)
+                    self._refer(names, value)
+            elif kind == "ref":
+                self._refer(names, value)
             else:
                 break
             j += 1
             if j < n and toks[j][:2] == ("op", "+"):
                 j += 1
-            elif not (kind_j == "str" and j < n and toks[j][0] == "str"):
+            elif not (kind == "str" and j < n and toks[j][0] == "str"):
                 break
-        i = max(step, i + 1) if j == step else j
         # A value may itself be the next pair's name (``a = b = "x"``).
-        if i < n and toks[i][0] == "op" and toks[i][1] in ("=", ":=") and toks[i - 1][0] == "word":
-            refs.setdefault(name, set()).add(toks[i - 1][1])
-            i -= 1
-    # Propagate: every name reaches the literals of all names it refers to.
-    for name in set(literals) | set(refs):
-        seen, todo = {name}, [name]
-        while todo:
-            k = todo.pop()
-            pairs += [(name, s, e) for s, e in literals.get(k, ())]
-            fresh = (refs.get(k, set()) & (literals.keys() | refs.keys())) - seen
-            seen |= fresh
-            todo += fresh
-    return pairs
+        if j > step and j < n and toks[j][0] == "op" and toks[j][1] in ("=", ":=") and toks[j - 1][0] == "word":
+            self._refer(names, toks[j - 1][1])
+            return j - 1
+        return j if j > step else max(step, i + 1)
+
+    def reached(self) -> dict[str, float]:
+        """The score of the most sensitive name whose value reaches each name, over
+        references; every name is visited once, from the highest score down."""
+        scores = {name: name_score(name) for name in self.literals.keys() | self.refs.keys()}
+        best: dict[str, float] = {}
+        for start in sorted(scores, key=lambda x: -scores[x]):
+            if scores[start] <= 0.0:
+                break
+            todo = [start]
+            while todo:
+                name = todo.pop()
+                if name not in best:
+                    best[name] = scores[start]
+                    todo += [x for x in self.refs.get(name, ()) if x not in best and x in scores]
+        return best
+
+    def scored(self) -> dict[tuple[int, int], float]:
+        """The score of each literal that some sensitive name takes."""
+        out: dict[tuple[int, int], float] = {}
+        for name, score in self.reached().items():
+            for span in self.literals.get(name, ()):
+                if score > out.get(span, 0.0):
+                    out[span] = score
+        return out
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -195,13 +276,15 @@ def literal_spans(text: str, covered: list[tuple[int, int]]) -> list[tuple[int,
     """Spans of literals under sensitive names, without those inside ``covered``."""
     if not ("=" in text or ":" in text or "--" in text or "</" in text) or not STEM.search(text):
         return []
-    best: dict[tuple[int, int], float] = {}
-    for name, s, e in name_literals(text):
-        score = name_score(name)
-        if score > best.get((s, e), 0.0):
-            best[s, e] = score
-    return sorted((s, 3, e) for (s, e), score in best.items()
-                  if score * literal_score(text[s:e]) >= THRESHOLD and not any(a <= s and e <= b for a, b in covered))
+    # Base spans do not overlap: the one that starts last before a literal decides.
+    starts = [a for a, _ in covered]
+
+    def inside(s: int, e: int) -> bool:
+        i = bisect.bisect_right(starts, s) - 1
+        return i >= 0 and e <= covered[i][1]
+
+    return sorted((s, 3, e) for (s, e), score in Assignments(text).scored().items()
+                  if score * literal_score(text[s:e]) >= THRESHOLD and not inside(s, e))
 
 
 def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

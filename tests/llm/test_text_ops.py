@@ -3,6 +3,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -48,6 +49,13 @@ def test_secret_base_spans(docs001, odd_docs):
     ('token_count: 1234567890\nsecret_name = "database-main-7"\npassword = "changeme"', []),
     ("the token: people say that keys = doors", []),
     ("ſecret = abcdefgh12345 and KEY", []),
+    ('passphrase = b"Zx9kQ2mLp0rT"\nauth_key = rb\'Yx9kQ2mLp0rT\'', ["Zx9kQ2mLp0rT", "Yx9kQ2mLp0rT"]),
+    ('a = u"Zx9kQ2mLp0rT"\npassphrase = f"{a}"', ["Zx9kQ2mLp0rT"]),
+    ('a = r"Zx9kQ2mLp0rT"\nconf["db_pwd"] = a', ["Zx9kQ2mLp0rT"]),
+    ('{"credential": {"value": "Zx9kQ2mLp0rT", "name": "production-db"}, "value": "Qy8wE7rT6uI5"}', ["Zx9kQ2mLp0rT"]),
+    ("credentials:\n  host: db-7.internal-1\n  value: Zx9kQ2mLp0rT\nvalue: Qy8wE7rT6uI5\n", ["Zx9kQ2mLp0rT"]),
+    ("Authorization: Bearer Zx9kQ2mLp0rT.aa", ["Zx9kQ2mLp0rT.aa"]),
+    ('curl -H "Authorization: Bearer Zx9kQ2mLp0rT"', ["Zx9kQ2mLp0rT"]),
 ])
 def test_lexer(text, found):
     _, more = secrets.scan(text)
@@ -56,6 +64,33 @@ def test_lexer(text, found):
         assert found[0] not in secrets.redact_text(text)
 
 
+def test_propagation_is_linear_and_equals_brute_force():
+    rng = random.Random(8)
+    for _ in range(200):
+        names = ["password", "auth_token", "session_key", "key_path", *"abcdefg"]
+        lines = [f'{rng.choice(names)} = {rng.choice([rng.choice(names), chr(34) + "v%dAbCdEfGh" % rng.randint(0, 9) + chr(34)])}' for _ in range(rng.randint(1, 14))]
+        facts = secrets.Assignments("\n".join(lines))
+        want = {}
+        for name in facts.literals.keys() | facts.refs.keys():
+            seen, todo = {name}, [name]
+            while todo:
+                k = todo.pop()
+                for span in facts.literals.get(k, ()):
+                    want[span] = max(want.get(span, 0.0), secrets.name_score(name))
+                more = [x for x in facts.refs.get(k, ()) if x not in seen]
+                seen.update(more)
+                todo += more
+        assert facts.scored() == {k: v for k, v in want.items() if v > 0}
+    chain = "password = a0\n" + "".join(f"a{i} = a{i + 1}\n" for i in range(10_000)) + 'a10000 = "Zx9$kQ2mLp0rT"\n'
+    began = time.process_time()
+    _, more = secrets.scan(chain)
+    assert [chain[s:e] for s, _, e in more] == ["Zx9$kQ2mLp0rT"] and time.process_time() - began < 1.0
+    many = "".join(f'password = "Zx9$kQ2mLp{i}"\npassword: abcdefgh1234{i}\n' for i in range(5_000))
+    began = time.process_time()
+    secrets.scan(many)
+    assert time.process_time() - began < 3.0
+
+
 @pytest.mark.parametrize("name", ["dbpass", "DBPASS", "dbpwd", "secretkey", "SECRETKEY", "privatekey", "accesskey", "authkey", "passwords", "tokens"])
 def test_lexer_joined_names(name):
     text = f'{name} = "s3cr3t!Pw#99"\nmonkey = "s3cr3t!Pw#98"\ntokencount = "s3cr3t!Pw#97"'
