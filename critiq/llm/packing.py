@@ -6,9 +6,10 @@ left of it goes whole into the open bin with the largest dot product of the
 bin's free shares and the example's demand shares (both relative to the
 limits), so a bin rich in what the example needs much of takes it.  If no open
 bin can take it whole, it is cut: the bin with the best dot product is filled to
-a limit, and the rest tries again.  At the end of a partition the emptiest open
-bins are dealt over the others, and the last one is cut at powers of two, which
-need no padding.
+a limit, and the rest tries again.  A bin that the limit on segments or on
+loss-bearing tokens closes far from full is cut at powers of two, which need no
+padding.  At the end of a partition the emptiest open bins are dealt over the
+others, and the last one is cut likewise.
 
 Map-only: every partition packs its own rows as they stream by, with at most
 ``OPEN`` open bins in memory; a lost task repeats alone and gives the same
@@ -36,6 +37,8 @@ from .tokens import encoder, public_path
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 OPEN = 64
+# A sequence is padded by at most this share of its tokens.
+SPARE = 64
 _FLUSH_BYTES = 4 << 20
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -82,7 +85,7 @@ class Packer:
         self.free[k] -= (len(piece.ids), 1, piece.n_loss())
         # No token fits any more (or no segment): the sequence is done.
         if self.free[k, 0] <= 0 or self.free[k, 1] <= 0:
-            yield self._close(k)
+            yield from self._done(self._close(k))
 
     def _close(self, k: int) -> list[Piece]:
         self.free = np.delete(self.free, k, axis=0)
@@ -118,7 +121,7 @@ class Packer:
             k = int(np.argmax(score)) if len(score) else 0
             n = piece.fit(int(self.free[k, 0]), int(self.free[k, 2]))
             if n <= 0:
-                yield self._close(k)
+                yield from self._done(self._close(k))
                 continue
             head, piece = piece.cut(n)
             yield from self._put(k, head)
@@ -134,18 +137,26 @@ class Packer:
                 yield from self.add(p)
                 self.open_bins = max(1, min(self.open_bins, len(self.bins)))
         if self.bins:
-            pieces = self._close(0)
-            left = sum(len(p.ids) for p in pieces)
-            while left:
-                size = 1 << (left.bit_length() - 1)
-                out, room = [], size
-                while room:
-                    head, rest = pieces[0].cut(min(room, len(pieces[0].ids)))
-                    out.append(head)
-                    room -= len(head.ids)
-                    pieces[:1] = [rest] if len(rest.ids) else []
-                yield out
-                left -= size
+            yield from self._done(self._close(0), 0)
+
+    def _done(self, pieces: list[Piece], spare: int | None = None) -> Iterator[list[Piece]]:
+        """A closed bin as one sequence, or, if another limit than that of tokens
+        closed it and more than ``spare`` tokens would be padding, cut at powers of
+        two, which need none."""
+        left = sum(len(p.ids) for p in pieces)
+        if self.limits.tokens - left <= (self.limits.tokens // SPARE if spare is None else spare):
+            yield pieces
+            return
+        while left:
+            size = 1 << (left.bit_length() - 1)
+            out, room = [], size
+            while room:
+                head, rest = pieces[0].cut(min(room, len(pieces[0].ids)))
+                out.append(head)
+                room -= len(head.ids)
+                pieces[:1] = [rest] if len(rest.ids) else []
+            yield out
+            left -= size
 
 
 def pack_rows(rows: Iterator[tuple[int | None, np.ndarray, np.ndarray | None]], limits: Limits, first_id: int) -> Iterator[list[tuple]]:
@@ -214,8 +225,8 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), path: str | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for b in batches:
-                for d, text in zip(b.column(0).to_pylist(), b.column(1)):
-                    yield d, np.frombuffer(encoder(path).ids([text.as_py()])[0] + end, "<u4"), None
+                for d, ids in zip(b.column(0).to_pylist(), encoder(path).column(b.column(1))):
+                    yield d, np.frombuffer(ids + end, "<u4"), None
         yield from _batches(pack_rows(rows(), limits, TaskContext.get().partitionId() << 40))
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)

@@ -271,8 +271,8 @@ def encode_documents(docs: DataFrame, path: str | None = None, end_id: int = END
                                                pa.array([write_block(held)], pa.binary())], names=["part", "block", "start", "n_ids", "payload"])
 
         for b in batches:
-            for d, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = encoder(path).ids([text.as_py()])[0] + end
+            for d, ids in zip(b.column(0).to_pylist(), encoder(path).column(b.column(1))):
+                ids += end
                 held.append((d, ids))
                 size += len(ids) // 4
                 if size >= block_ids:

@@ -3,8 +3,8 @@ pre-tokens.
 
 Both tokenizers cut a text into pre-tokens by a pattern and encode each alone,
 so the ids of a text are those of its pre-tokens in order.  A worker encodes a
-distinct pre-token once with the tokenizers library and keeps its ids, up to
-``MEMO`` entries.  The pattern is applied here only to texts whose characters
+distinct pre-token once with the tokenizers library (new plain words of a run
+of texts in one call) and keeps its ids, up to ``MEMO`` entries.  The pattern is applied here only to texts whose characters
 all lie in blocks where its classes are beyond doubt; any other text, and any
 text that might hold an added token, goes to the library whole.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -27,6 +28,18 @@ PATTERN = {
 LOWER = {"word_bpe_49k.json"}
 
 
+# Plain words: pre-tokens that come back one by one when they are joined, by
+# nothing or by the given text.
+WORD = {
+    "byte_bpe_50k.json": (re.compile(f" [{_LETTER}]+").fullmatch, ""),
+    "word_bpe_49k.json": (re.compile(f"[{_LETTER}]+").fullmatch, " "),
+}
+# New plain words that go to the library as one text (a call a word costs more
+# than the word), and characters of texts that are looked up together.
+JOINED = 2_000
+TEXT_CHARS = 1 << 20
+
+
 class TokenEncoder:
     """ids(texts) -> little-endian unsigned 32-bit ids of each text, as bytes."""
 
@@ -37,14 +50,35 @@ class TokenEncoder:
         name = os.path.basename(path)
         self.find = PATTERN[name].findall if name in PATTERN else None
         self.lower = name in LOWER
+        self.is_word, self.joint = WORD.get(name, (lambda p: None, ""))
         self.known: dict[str, bytes] = {}
         self.memo = memo
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pre-tokens; plain words are joined and told apart by the
+        library's own word numbers."""
+        words = [p for p in pieces if self.is_word(p)]
+        alone = [p for p in pieces if not self.is_word(p)]
+        found = {}
+        for i in range(0, len(words), JOINED):
+            part = words[i:i + JOINED]
+            e = self.library.encode(self.joint.join(part), add_special_tokens=False)
+            ends = np.flatnonzero(np.diff(np.array(e.word_ids, dtype=np.int64))) + 1
+            if len(ends) + 1 == len(part):
+                raw, at = np.array(e.ids, dtype="<u4").tobytes(), [0, *(ends * 4).tolist(), 4 * len(e.ids)]
+                found.update(zip(part, (raw[x:y] for x, y in zip(at, at[1:]))))
+            else:
+                alone += part
+        found.update(zip(alone, self._whole(alone)))
+        return found
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        out: list[bytes] = []
+        out: list[bytes | None] = []
+        later: list[tuple[int, list[str]]] = []
+        new: set[str] = set()
         for text in texts:
             text = text or ""
             if self.find is None or "<|" in text or UNSAFE.search(text):
@@ -54,13 +88,31 @@ class TokenEncoder:
             try:
                 out.append(b"".join(map(self.known.__getitem__, parts)))
             except KeyError:
-                if len(self.known) > self.memo:
-                    self.known.clear()
-                new = [p for p in set(parts) if p not in self.known]
-                self.known.update(zip(new, self._whole(new)))
-                out.append(b"".join(map(self.known.__getitem__, parts)))
+                later.append((len(out), parts))
+                new.update(set(parts).difference(self.known))
+                out.append(None)
+        if new:
+            found = self._new(list(new))
+            held = self.known
+            if len(held) + len(found) > self.memo:
+                self.known = {}
+            for at, parts in later:
+                out[at] = b"".join([found[p] if p in found else held[p] for p in parts])
+            self.known.update(found)
         return out
 
+    def column(self, texts) -> Iterator[bytes]:
+        """Ids of each text of an Arrow column, looked up by runs of texts."""
+        run: list[str] = []
+        size = 0
+        for text in texts:
+            run.append(text.as_py() or "")
+            size += len(run[-1])
+            if size >= TEXT_CHARS:
+                yield from self.ids(run)
+                run, size = [], 0
+        yield from self.ids(run)
+
 
 _ENCODERS: dict[str, TokenEncoder] = {}
 

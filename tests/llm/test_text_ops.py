@@ -314,6 +314,26 @@ def test_packing_limits():
         assert b"".join(r[3] for r in sorted(back[i], key=lambda r: r[1])) == ids.tobytes()
 
 
+def test_packing_of_short_documents_pads_little():
+    # The limit on segments closes bins long before they are full.
+    rows = [(i, np.arange(1 + i % 9, dtype="<u4"), None) for i in range(4000)]
+    sequences = list(packing.pack_rows(iter(rows), packing.Limits(), 0))
+    used = [sum(p[2] for p in seq) for seq in sequences]
+    room = [n if n & (n - 1) == 0 else 2048 for n in used]
+    assert sum(used) == sum(len(r[1]) for r in rows) and all(len(seq) <= 128 for seq in sequences)
+    assert sum(room) < 1.02 * sum(used)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_joined_new_words_equal_single_ones(name, docs001):
+    enc = TokenEncoder(public_path(name))
+    texts = [r.text or "" for r in docs001.collect()][:60] + ["word Word's ſix naïve’s 12 a\tb", "", "ſ", "I'd é! 'S x's"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in enc.library.encode_batch(texts, add_special_tokens=False)]
+    assert enc.ids(texts) == want and enc.ids(texts) == want
+    small = TokenEncoder(public_path(name), memo=50)
+    assert [small.ids([t])[0] for t in texts] == want
+
+
 # ---- token counts ---------------------------------------------------------------
 def test_token_counts(docs001, odd_docs):
     scores = token_counts.unigram_scores(public_path(token_counts.VOCABULARY))
