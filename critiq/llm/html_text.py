@@ -14,7 +14,8 @@ articles; fitting takes a bounded, fixed set of them.
 
 Blocks keep page order and are joined by one newline; white space inside a block
 becomes one space; character references are decoded; script, style and head
-contents are no text.  Map-only: a page is one row, a lost task repeats alone.
+contents and elements that are not shown (``hidden``, ``display:none``,
+``visibility:hidden``) are no text.  Map-only: a page is one row, a lost task repeats alone.
 
 Edge cases: null and empty html give an empty text; text outside any element
 counts like a block of the body; unclosed and stray tags are mended as browsers
@@ -29,8 +30,10 @@ import html
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +53,8 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
 _NO_P = frozenset("""address article aside blockquote center details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header
     hgroup hr main menu nav ol p pre search section table ul""".split())
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|aria-label|itemprop|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s/=]|\Z)(?!\s*=\s*["']?until-found)|\bstyle\s*=\s*(?:"[^"]*|'[^']*|)(?:display\s*:\s*none|visibility\s*:\s*hidden)""", re.I)
+_ATTR = re.compile(r"""\b(class|id|role|aria-label|itemprop)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -70,6 +74,8 @@ def parse(page: str, labels: list[int] | None = None) -> list[Node]:
     # The root is the body, tagged or not.
     nodes = [Node("body", -1)]
     stack: list[tuple[str, int]] = [("body", 0)]  # open elements and their block
+    opened: Counter[str] = Counter(("body",))  # the same by tag, so that no tag walks the stack in vain
+    unseen: list[int] = []  # depths of open elements that are not shown
     marks = [0]
     run: list[str] = []
     linked, in_link, at, n = 0, 0, 0, len(page)
@@ -93,12 +99,15 @@ def parse(page: str, labels: list[int] | None = None) -> list[Node]:
         if any(t in BLOCK for t, _ in stack[to:]):
             flush()
         in_link -= sum(t == "a" for t, _ in stack[to:])
+        opened.subtract(t for t, _ in stack[to:])
         del stack[to:]
+        while unseen and unseen[-1] >= to:
+            unseen.pop()
 
     while at < n:
         m = _TOKEN.search(page, at)
         text = page[at:m.start() if m else n]
-        if text and not any(t == "template" for t, _ in stack):
+        if text and not unseen:
             run.append(text)
             if in_link > 0:
                 linked += len(text)
@@ -110,17 +119,18 @@ def parse(page: str, labels: list[int] | None = None) -> list[Node]:
             continue
         tag, attrs = tag.lower(), m[3] or m[6] or ""
         if m[1] or m[4]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
+            if opened[tag] > 0:
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k][0] == tag:
+                        close(k)
+                        break
             continue
         if tag in ("html", "body"):
             flush()
             if labels is not None and "data-content" in attrs:
                 marks[0] = int('data-content="1"' in attrs)
             continue
-        if attrs.endswith("/") and (tag in FOREIGN or any(t in FOREIGN for t, _ in stack)):
+        if attrs.endswith("/") and (tag in FOREIGN or any(opened[t] > 0 for t in FOREIGN)):
             run.append(" ")
             continue
         if tag in RAW:
@@ -133,14 +143,14 @@ def parse(page: str, labels: list[int] | None = None) -> list[Node]:
                 flush()
             run.append(" ")
             continue
-        if tag in _NO_P:
+        if tag in _NO_P and opened["p"] > 0:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == "p":
                     close(k)
                     break
                 if stack[k][0] in ("button", "td", "th", "div", "article", "section", "li"):
                     break
-        if tag in CLOSES:
+        if tag in CLOSES and any(opened[t] > 0 for t in CLOSES[tag][0]):
             same, bound = CLOSES[tag]
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] in same:
@@ -148,6 +158,9 @@ def parse(page: str, labels: list[int] | None = None) -> list[Node]:
                     break
                 if stack[k][0] in bound:
                     break
+        opened[tag] += 1
+        if tag == "template" or attrs and _HIDDEN.search(attrs):
+            unseen.append(len(stack))
         if tag in BLOCK:
             flush()
             names: list[str] = []
@@ -155,7 +168,7 @@ def parse(page: str, labels: list[int] | None = None) -> list[Node]:
             if attrs:
                 for a in _ATTR.finditer(attrs):
                     value = a[2] or a[3] or a[4] or ""
-                    names += [a[1].lower()] if a[1].lower() == "hidden" else [w.lower() for w in _NAME.findall(value)]
+                    names += [w.lower() for w in _NAME.findall(value)]
                 if labels is not None and "data-content" in attrs:
                     mark = int('data-content="1"' in attrs)
             parent = stack[-1][1]
@@ -283,7 +296,7 @@ _FOOT = [("footer", ""), ("footer", "site footer"), ("div", "footer"), ("div", "
 _HEAD = [("header", ""), ("header", "site header"), ("div", "header"), ("div", "masthead"), ("div", "logo")]
 
 
-def labelled_pages(count: int = 300, seed: int = 11) -> list[str]:
+def labelled_pages(count: int = 900, seed: int = 11) -> list[str]:
     """Pages whose parts carry ``data-content`` marks (1 main text, 0 not)."""
     rng = random.Random(seed)
     stems = ["ba", "cor", "den", "el", "fin", "gra", "hol", "in", "jor", "kal", "lum", "mor", "nes", "or", "pel", "qui", "ras", "sol", "tan", "ver"]
@@ -308,7 +321,7 @@ def labelled_pages(count: int = 300, seed: int = 11) -> list[str]:
         for _ in range(rng.randint(a, b)):
             r = rng.random()
             if r < 0.68:
-                out.append(f"<p>{words(1, 60)}</p>")
+                out.append(f"<p>{words(1, 60 if rng.random() < 0.75 else 5)}</p>")
             elif r < 0.76:
                 out.append(f"<h2>{words(1, 6, False)}</h2>")
             elif r < 0.83:
@@ -367,42 +380,71 @@ def labelled_pages(count: int = 300, seed: int = 11) -> list[str]:
 
 
 # Prior means of the weights of plain semantic boxes; those of the rest are 0.
-START = {"article outer": 3.0, "main outer": 3.0}
-
-
-def fit(pages: list[str], rounds: int = 120, rate: float = 1.0, decay: float = 0.0001) -> TreeModel:
+START = {"article outer": 3.0, "main outer": 3.0, "t:article": 2.0, "t:main": 2.0}
+
+
+class _Forest:
+    """The trees of all labelled pages as arrays, for message passing level by level."""
+
+    def __init__(self, pages: list[str]):
+        parents, kinds, marks, depth, names, owner = [], [], [], [], [], []
+        self.number: dict[str, int] = {}
+        for page in pages:
+            labels: list[int] = []
+            nodes, base = parse(page, labels), len(parents)
+            for i, (node, found) in enumerate(zip(nodes, features(nodes))):
+                parents.append(base + node.parent if i else -1)
+                depth.append(depth[base + node.parent] + 1 if i else 0)
+                kinds.append(kind(node))
+                for f in found:
+                    names.append(self.number.setdefault(f, len(self.number)))
+                    owner.append(base + i)
+            marks += labels
+        self.parent, self.kind, self.marks = np.array(parents), np.array(kinds), np.array(marks, dtype=float)
+        self.names, self.owner, self.pages = np.array(names), np.array(owner), len(pages)
+        depths = np.array(depth)
+        self.levels = [np.flatnonzero(depths == d) for d in range(1, int(depths.max()) + 1)]
+
+    def gradient(self, unary: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Observed minus expected features, by name and by (kind, potential)."""
+        n = len(self.parent)
+        up = np.bincount(self.owner, weights=unary[self.names], minlength=n)
+        gain, edge = np.zeros(n), np.zeros((n, 3))
+        for level in reversed(self.levels):
+            c01, c10, c11 = pair[self.kind[level]].T
+            gain[level] = np.logaddexp(c10, c11 + up[level]) - np.logaddexp(0.0, c01 + up[level])
+            np.add.at(up, self.parent[level], gain[level])
+        full = up.copy()
+        for level in self.levels:
+            c01, c10, c11 = pair[self.kind[level]].T
+            x, above = up[level], full[self.parent[level]] - gain[level]
+            full[level] = x + np.logaddexp(c01, above + c11) - np.logaddexp(0.0, above + c10)
+            w = np.stack([np.zeros(len(level)), c01 + x, above + c10, above + c11 + x])
+            w = np.exp(w - w.max(0))
+            edge[level] = (w[1:] / w.sum(0)).T
+        p = 0.5 * (1 + np.tanh(full / 2))
+        g_unary = np.bincount(self.names, weights=(self.marks - p)[self.owner], minlength=len(self.number))
+        g_pair = np.zeros((KINDS, 3))
+        inner = np.concatenate(self.levels)
+        a, b = self.marks[self.parent[inner]], self.marks[inner]
+        for k, (x, y) in enumerate(((0, 1), (1, 0), (1, 1))):
+            g_pair[:, k] = np.bincount(self.kind[inner], weights=((a == x) & (b == y)) - edge[inner, k], minlength=KINDS)
+        return g_unary, g_pair
+
+
+def fit(pages: list[str], rounds: int = 200, rate: float = 1.0, decay: float = 0.0001) -> TreeModel:
     """Weights by gradient ascent (Adagrad) on the mean log likelihood."""
-    data = []
-    for page in pages:
-        marks: list[int] = []
-        nodes = parse(page, marks)
-        data.append((nodes, features(nodes), marks))
-    unary = dict(START)
-    pair = [[-3.0, -3.0, 0.0] for _ in range(KINDS)]
-    seen: dict = {}
-
-    def step(key, value: float, grad: float) -> float:
-        seen[key] = seen.get(key, 1e-8) + grad * grad
-        return value + rate * grad / math.sqrt(seen[key])
-
+    data = _Forest(pages)
+    start = np.array([START.get(f, 0.0) for f in data.number])
+    unary, pair = start.copy(), np.tile([-3.0, -3.0, 0.0], (KINDS, 1))
+    seen_u, seen_p = np.full(unary.shape, 1e-8), np.full(pair.shape, 1e-8)
     for _ in range(rounds):
-        model = TreeModel(unary, pair)
-        gu: dict[str, float] = {}
-        gp = [[0.0, 0.0, 0.0] for _ in range(KINDS)]
-        for nodes, feats, marks in data:
-            p, edge = model.marginals(nodes, feats)
-            for i, fs in enumerate(feats):
-                for f in fs:
-                    gu[f] = gu.get(f, 0.0) + marks[i] - p[i]
-                if i:
-                    a, b = marks[nodes[i].parent], marks[i]
-                    g = gp[kind(nodes[i])]
-                    for k, (x, y) in enumerate(((0, 1), (1, 0), (1, 1))):
-                        g[k] += (a == x and b == y) - edge[i][k]
-        n = len(data)
-        unary = {f: step(f, unary.get(f, 0.0), g / n - decay * (unary.get(f, 0.0) - START.get(f, 0.0))) for f, g in gu.items()}
-        pair = [[step((k, j), pair[k][j], gp[k][j] / n) for j in range(3)] for k in range(KINDS)]
-    return TreeModel(unary, pair)
+        gu, gp = data.gradient(unary, pair)
+        gu, gp = gu / data.pages - decay * (unary - start), gp / data.pages
+        seen_u += gu * gu
+        seen_p += gp * gp
+        unary, pair = unary + rate * gu / np.sqrt(seen_u), pair + rate * gp / np.sqrt(seen_p)
+    return TreeModel({**START, **dict(zip(data.number, unary.tolist()))}, pair.tolist())
 
 
 @functools.lru_cache(maxsize=1)

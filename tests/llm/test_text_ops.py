@@ -182,8 +182,9 @@ def test_html_marginals_are_exact():
     assert np.allclose([v / z for v in one], p)
 
 
-def test_html_pages(spark):
-    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.1"])
+def test_html_pages(spark, scale):
+    pages = spark.read.parquet(f"/root/testdata/{scale}/pages.parquet")
     import html
 
     def truth(h):
@@ -219,6 +220,26 @@ def test_html_fallback_math_and_names():
     assert "n:sidebar" in html_text.features(nodes)[1]
 
 
+@pytest.mark.parametrize("page,text", [
+    ('<article class="post"><h1>T title</h1><p>Some paragraph here with words.</p><ul><li>one item</li><li>two item</li></ul><form><input><button>Send</button></form></article>',
+     "T title\nSome paragraph here with words.\none item\ntwo item"),
+    ("<article><p>A &amp; B<br>e f</p><p>x 2</p></article>", "A & B e f\nx 2"),
+    ("<article><p>one<br>two</p><p>&lt;tag&gt; &eacute;</p></article>", "one two\n<tag> é"),
+    ('<body><nav><a href=x>Home</a></nav><article class="post"><p>Alpha beta.</p><ul><li>k</li></ul><form class=search><input></form></article><footer>c</footer></body>', "Alpha beta.\nk"),
+    ('<article><h1>Title</h1><p>Shown <span hidden>not this</span> words here.</p><div hidden><p>secret one</p></div><p style="color:red; display: none">secret two</p><p style="visibility:hidden">three</p>'
+     '<div hidden="until-found"><p>Found by search.</p></div><p data-x="hidden">More shown.</p></article>', "Title\nShown words here.\nFound by search.\nMore shown."),
+])
+def test_html_whole_articles_without_hidden_parts(page, text):
+    assert html_text.default_model().text(page) == text
+
+
+@pytest.mark.parametrize("page", ["<div>" * 20_000 + "x" + "</div>" * 20_000, "<span>" * 20_000 + "</b>" * 20_000, "<div>" * 20_000 + "<li>" * 5_000, "<svg>" + "<g/>" * 20_000])
+def test_html_deep_pages_are_parsed_in_linear_time(page):
+    began = time.process_time()
+    html_text.parse(page)
+    assert time.process_time() - began < 5.0
+
+
 # ---- quality model -----------------------------------------------------------
 def test_quality_model_held_out(spark):
     d = "/root/testdata/sf0.01"
