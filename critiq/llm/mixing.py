@@ -21,7 +21,7 @@ functions only.
 Targets are shares of the documents' own token total; those of domains that no
 labelled row has count as 0, and the rest are scaled to sum to 1.  If a target
 cannot be reached (a domain without mass), the rates are the best
-fit found within ``STEPS`` steps.
+fit found within ``STEPS`` steps, and a warning gives the residual.
 
 Edge cases: null and empty texts have no tokens and the prior as posteriors;
 labels with a null id or a null class are not learned from, and of labels that
@@ -31,6 +31,8 @@ empty table gives an empty result; other columns are ignored or passed through.
 """
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +50,8 @@ STEPS = 20
 # little against the domain.
 UNSURE = 0.5
 TOLERANCE = 1e-4
+# A larger residual of some target's share is warned of.
+MISSED = 0.01
 # Most domains that a labels table may name.
 DOMAINS = 64
 #: Target share of each domain: mostly clean text, a little of the rest.
@@ -86,25 +90,33 @@ class Classifier:
     def __init__(self, names: list[str], prior: np.ndarray, weight: np.ndarray, each: np.ndarray):
         self.names, self.prior, self.weight, self.each = names, prior, weight, each
 
-    def logits(self, feats: Column) -> Column:
-        """Array of the domains' log odds, in the order of names."""
+    def logits(self, feats: Column, size: Column) -> Column:
+        """Array of the domains' log odds, in the order of names, from the used
+        features of a text and the number of all its features."""
         if not self.names:
             return F.array().cast("array<double>")
 
         def one(k: int) -> Column:
             w = _array(self.weight[k])
-            return F.aggregate(feats, F.lit(float(self.prior[k])), lambda s, b: s + F.get(w, b)) - F.size(feats) * F.lit(float(self.each[k]))
+            return F.aggregate(feats, F.lit(float(self.prior[k])), lambda s, b: s + F.get(w, b)) - size * F.lit(float(self.each[k]))
 
         return F.array(*[one(k) for k in range(len(self.names))])
 
+    def used(self, feats: Column) -> Column:
+        """The features that have a weight in some domain."""
+        marks = F.expr("cast(split('" + ",".join("1" if u else "0" for u in (self.weight != 0).any(0)) + "', ',') as array<boolean>)")
+        return F.filter(feats, lambda b: F.get(marks, b))
+
 
 def fit_classifier(docs: DataFrame, labelled: DataFrame, most: int = LABELLED) -> Classifier:
     """Counts of hashed features by domain over at most ``most`` labelled rows."""
     one = labelled.groupBy("doc_id").agg(F.min("domain").alias("domain"))
     sample = written(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "labelled")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
-    feats = rows.select("domain", features(F.col("text")).alias("f"))
-    shares = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().limit(DOMAINS + 1).collect()}
+    # Written once: what follows reads bucket numbers, and no filter that Spark
+    # infers from a generator computes features anew, for all documents at that.
+    feats = written(rows.select("domain", features(F.col("text")).alias("f")), "labelled-features")
+    shares = {r["domain"]: r["count"] for r in feats.groupBy("domain").count().limit(DOMAINS + 1).collect()}
     names = sorted(shares)
     if len(names) > DOMAINS:
         raise ValueError(f"labels name more than {DOMAINS} domains")
@@ -130,10 +142,12 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, most: int = LABELLED) -
 
 def with_posteriors(docs: DataFrame, model: Classifier, tokens: str, post: str) -> DataFrame:
     """``docs`` with the number of words and the domains' posteriors."""
-    f = fresh(docs, "mix_features")[0]
-    out = docs.withColumn(tokens, F.size(words(F.col("text"))).cast("long")).withColumn(f, features(F.col("text")))
-    # Staged columns: each logit is computed once, then scaled to sum to 1.
-    out = out.withColumn(post, model.logits(F.col(f))).drop(f)
+    f, u = fresh(docs, "mix_features", "mix_used")
+    # Each word is one feature by itself and one by its shape.
+    out = docs.withColumn(f, features(F.col("text"))).withColumn(tokens, (F.size(F.col(f)) / 2).cast("long"))
+    # Staged columns: each logit is computed once, over the few features that
+    # have a weight, then scaled to sum to 1.
+    out = out.withColumn(u, model.used(F.col(f))).withColumn(post, model.logits(F.col(u), F.size(F.col(f)))).drop(f, u)
     out = out.withColumn(post, F.transform(F.col(post), lambda x: F.exp(x - F.array_max(F.col(post)))))
     total = F.aggregate(F.col(post), F.lit(0.0), lambda s, x: s + x)
     return out.withColumn(post, F.transform(F.col(post), lambda x: x / total))
@@ -178,6 +192,8 @@ def fit_rates(rows: DataFrame, names: list[str], targets: dict[str, float], toke
         for i, j in pairs:
             moment[i, j] = moment[j, i] = now[f"c{i}_{j}"] / now["t"]
         shift = shift + size * np.linalg.solve(moment + 1e-6 * np.eye(n), off)
+    if least > MISSED:
+        warnings.warn(f"the rates miss a target by a share of {least:.3f}: some domain has too little mass", stacklevel=2)
     return best.tolist()
 
 

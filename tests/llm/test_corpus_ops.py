@@ -179,6 +179,13 @@ def test_mixing_rates_match_direct_solution(spark):
     assert np.abs((got * w) @ post - aim).max() < direct + 0.02
 
 
+def test_mixing_warns_of_targets_out_of_reach(spark):
+    rows = [(100, [0.9, 0.1]), (50, [0.8, 0.2])]
+    df = spark.createDataFrame(rows, "t long, p array<double>")
+    with pytest.warns(UserWarning, match="miss a target"):
+        mixing.fit_rates(df, ["a", "b"], {"a": 0.1, "b": 0.9}, "t", "p")
+
+
 def test_mixing_odd_rows(odd_docs, labels001):
     out = mixing.mix_table(odd_docs, labels001).collect()
     assert len(out) == odd_docs.count() and all(r.rate >= 0 for r in out)
