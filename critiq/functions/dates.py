@@ -1,10 +1,17 @@
 """Date parsing and week bucketing.
 
-``unwrap`` leaves the written date of a value; ``parse_unwrapped`` tries an explicit, ordered list of formats (``constants.DATE_FORMATS``)
-with ``try_to_timestamp``, which yields null instead of failing under ANSI mode.
-Each format sits behind a cheap shape test so that a row only pays for the
-parsers whose shape it has; the shape tests are necessary conditions, so the
-result is the same as trying every format.
+``unwrap`` leaves the written date of a value; ``parse_unwrapped`` cuts it into
+three tokens (numbers or month names, whatever stands between them) with one
+regular expression and resolves their roles by a small rule table:
+
+* a month name in the middle: day month year, or year month day if the first
+  token has four digits;
+* a month name first: month day year;
+* numbers only: year month day if the first has four digits, else month first,
+  unless it cannot be one, or day first where the tokens are parted by dots.
+
+Eight digits in a row are year, month and day.  Anything else, and any date that
+does not exist, is null; so are partial dates.
 """
 from __future__ import annotations
 
@@ -14,44 +21,11 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from .text import py_strip
 
-# Exact text shape of each format: a parse is only attempted when the value
-# has that shape, so failing attempts (which cost an exception each inside the
-# parser) are rare.  Each shape is a necessary condition for its format.
-_M = r"(0?[1-9]|1[0-2])"
-_D = r"(0?[1-9]|[12][0-9]|3[01])"
-_SHAPES = {
-    "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$",
-    "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$",
-    "yyyy.M.d": r"^\d{4}\.\d{1,2}\.\d{1,2}$",
-    "yyyyMMdd": r"^\d{8}$",
-    "yyyy-MMM-d": r"^\d{4}-\p{L}{3}-\d{1,2}$",
-    "d-MMM-yy": r"^\d{1,2}-\p{L}{3}-\d{2}$",
-    "d-MMM-yyyy": r"^\d{1,2}-\p{L}{3}-\d{4}$",
-    "d-MMMM-yyyy": r"^\d{1,2}-\p{L}{4,}-\d{4}$",
-    "MMM-d-yyyy": r"^\p{L}{3}-\d{1,2}-\d{4}$",
-    "d/MMM/yyyy": r"^\d{1,2}/\p{L}{3}/\d{4}$",
-    "M-d-yy": rf"^{_M}-{_D}-\d{{2}}$",
-    "d-M-yy": rf"^{_D}-{_M}-\d{{2}}$",
-    "M-d-yyyy": rf"^{_M}-{_D}-\d{{4}}$",
-    "d-M-yyyy": rf"^{_D}-{_M}-\d{{4}}$",
-    "M/d/yyyy": rf"^{_M}/{_D}/\d{{4}}$",
-    "d/M/yyyy": rf"^{_D}/{_M}/\d{{4}}$",
-    "M/d/yy": rf"^{_M}/{_D}/\d{{2}}$",
-    "d/M/yy": rf"^{_D}/{_M}/\d{{2}}$",
-    "d.M.yyyy": rf"^{_D}\.{_M}\.\d{{4}}$",
-    "MMMM d, yyyy": r"^\p{L}{3,} \d{1,2}, \d{4}$",
-    "MMM d, yyyy": r"^\p{L}{3} \d{1,2}, \d{4}$",
-    "MMMM d yyyy": r"^\p{L}{4,} \d{1,2} \d{4}$",
-    "MMM d yyyy": r"^\p{L}{3} \d{1,2} \d{4}$",
-    "d MMMM yyyy": r"^\d{1,2} \p{L}{3,} \d{4}$",
-    "d MMM yyyy": r"^\d{1,2} \p{L}{3} \d{4}$",
-    "d MMMM, yyyy": r"^\d{1,2} \p{L}{3,}, \d{4}$",
-    "d MMM, yyyy": r"^\d{1,2} \p{L}{3}, \d{4}$",
-}
-
-
-def _shape(fmt: str) -> str:
-    return _SHAPES[fmt]
+# What may part two tokens: anything but letters and digits, or the change from
+# the one to the other.
+_GAP = r"(?:[^\p{L}\p{N}]+|(?<=\d)(?=\p{L})|(?<=\p{L})(?=\d))"
+_TOKENS = rf"^(?:(\d{{4}})(\d{{2}})(\d{{2}})|(\d{{1,4}}|\p{{L}}{{3,9}}){_GAP}(\d{{1,2}}|\p{{L}}{{3,9}}){_GAP}(\d{{1,2}}|\d{{4}}))$"
+_MONTH_NAMES = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
 
 
 def unwrap(c: Column) -> Column:
@@ -64,45 +38,50 @@ def unwrap(c: Column) -> Column:
     return s
 
 
-def _try(v: Column, fmt: str) -> Column:
-    return F.when(v.rlike(_shape(fmt)), F.to_date(F.try_to_timestamp(v, F.lit(fmt))))
-
-
 def parse_date(c: Column, two_digit_pivot: int | None = None) -> Column:
-    """Parse a free-form date string to a DATE, or null when no format fits.
+    """Parse a free-form date string to a DATE, or null when no rule fits.
 
     ``two_digit_pivot``: two-digit years at or above it are read as 19xx
-    (Spark's own rule reads every two-digit year as 20xx).  The input is
-    referenced by every candidate format: on large frames stage
-    ``unwrap(c)`` as a column first and call ``parse_unwrapped`` on it."""
+    (otherwise every two-digit year is 20xx)."""
     return parse_unwrapped(unwrap(c), two_digit_pivot)
 
 
-def _parse_sql(name: str) -> str:
-    """SQL text of the candidate chain for a named, already unwrapped column."""
-    from .keywords import sql_ref, sql_string
-    v = sql_ref(name)
+def _month(token: Column) -> Column:
+    """Number of a month name or its abbreviation, else null."""
+    number = {n: i + 1 for i, name in enumerate(_MONTH_NAMES) for n in (name, name[:3])} | {"sept": 9}
+    return F.try_element_at(F.create_map(*[x for k, v in number.items() for x in (F.lit(k), F.lit(v))]), F.lower(token))
+
+
+def _resolve(p: Column, dotted: Column, pivot: int | None) -> Column:
+    """The date of three tokens.  Every intermediate is bound once by a lambda."""
+    def bound(value: Column, then) -> Column:
+        return F.transform(F.array(value), then)[0]
+
+    def date(x: Column) -> Column:
+        a, b, c = (x.getField(k) for k in "abc")
+        first, named = F.length(p[0]) == 4, x.getField("mb").isNotNull()
+        day_first = F.when(dotted, b <= 12).otherwise(a > 12)
+        month = F.when(x.getField("ma").isNotNull(), x.getField("ma")).when(named, x.getField("mb")).when(first, b).when(day_first, b).otherwise(a)
+        day = F.when(x.getField("ma").isNotNull(), b).when(first, c).when(named | day_first, a).otherwise(b)
+        short = (F.length(p[2]) == 2) & ~first
+        century = F.lit(2000) if pivot is None else F.when(c >= pivot, F.lit(1900)).otherwise(F.lit(2000))
+        year = F.when(first, a).when(short, century + c).otherwise(c)
+        # A year is written with four digits, or with two at the end; days and months with two at most.
+        fits = F.when(first, F.length(p[2]) <= 2).otherwise((F.length(p[2]).isin(2, 4)) & (a.isNull() | (F.length(p[0]) <= 2)))
+        text = F.concat(F.lpad(year.cast("string"), 4, "0"), F.lit("-"), month.cast("string"), F.lit("-"), day.cast("string"))
+        return F.when(fits, text.try_cast("date"))
 
-    def attempt(x: str, fmt: str) -> str:
-        return (f"CASE WHEN {x} RLIKE {sql_string(_shape(fmt))} THEN "
-                f"to_date(try_to_timestamp({x}, {sql_string(fmt)})) END")
-    cands = [attempt(v, f) for f in K.DATE_FORMATS]
-    return f"CASE WHEN {v} != '' THEN coalesce({', '.join(cands)}) END"
+    number = lambda i: p[i].try_cast("int")
+    return F.when(F.size(p) == 3, bound(F.struct(number(0).alias("a"), number(1).alias("b"), number(2).alias("c"), _month(p[0]).alias("ma"), _month(p[1]).alias("mb")), date))
 
 
 def parse_unwrapped(v: Column | str, two_digit_pivot: int | None = None) -> Column:
-    """``parse_date`` for a value that is already stripped of white space and
-    quotes.  Given a column name the chain is written as SQL text (one call
-    into the JVM instead of one per node)."""
-    if isinstance(v, str) and two_digit_pivot is None:
-        return F.expr(_parse_sql(v))
-    if isinstance(v, str):
-        v = F.col(v)
-    d = F.coalesce(*[_try(v, f) for f in K.DATE_FORMATS])
-    if two_digit_pivot is not None:
-        yy = v.rlike(r"(^|[^0-9])[0-9]{2}$") & ~v.rlike(r"[0-9]{4}")
-        d = F.when(yy & (F.year(d) >= 2000 + two_digit_pivot), F.add_months(d, -1200)).otherwise(d)
-    return F.when(v != "", d)
+    """``parse_date`` for a value (or a column name) that ``unwrap`` has left."""
+    v = F.col(v) if isinstance(v, str) else v
+    # A value that is no date is left as it is by the replacement, and is then no
+    # three tokens of the right kind.
+    tokens = F.split(F.regexp_replace(v, _TOKENS, "$1$4 $2$5 $3$6"), " ")
+    return F.transform(F.array(tokens), lambda p: _resolve(p, F.contains(v, F.lit(".")), two_digit_pivot))[0]
 
 
 def iso_date(c: Column | str, two_digit_pivot: int | None = None, unwrapped: bool = False) -> Column:

@@ -1,11 +1,13 @@
 """Digest-keyed groups with forced collisions, plans without row sorts, skew
 splitting of both pattern joins, and the one-pass cube."""
+import datetime as dt
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from critiq import analyse
+from critiq.functions.dates import parse_date, parse_unwrapped, unwrap
 from critiq.operators import audit, clean, insight_cube, pattern_table
 from critiq.operators.audit import audit_by_columns
 from critiq.operators.digest import KEY, duplicate_counts, groups, keyed, repeats
@@ -119,3 +121,28 @@ def test_kpis_read_the_rows_once(raw):
     plan = final_plan(an.exec_kpis)
     # Only one-row tables and the cube are read.
     assert "feedback_text" not in plan and "normalized_text" not in plan
+
+
+DATES = {
+    "2024-03-05": ["2024_03_05", "5 – March – 2024", "March-5,2024", "05Mar2024", "Mar. 5, 2024", "2024 Mar 5", "5/mar/24", "MARCH 5 2024", "3|5|2024", "05.03.2024", "2024-3-5"],
+    "2024-12-31": ["31~12~2024", "12\\31\\2024", "31.12.24", "12.31.2024", "31dec24"],
+    None: ["March 2024", "5 March", "2024-03", "123", "1234567", "123456789", "2024-02-30", "31/04/2024", "5 Marchember 2024", "1 2 3", "1 2 345", "123 4 2024", "2024 5 2024", "a b c",
+           "13.13.2024", "2024-Mar-2024", "5 Mar 5", "one two 2024", "", " "],
+}
+
+
+def test_dates_by_tokens(spark):
+    rows = [(want, text) for want, texts in DATES.items() for text in texts]
+    df = spark.createDataFrame(rows, "want string, text string").withColumn("v", unwrap(F.col("text")))
+    got = df.select("text", "want", parse_unwrapped("v").cast("string").alias("got")).collect()
+    assert [(r.text, r.want, r.got) for r in got if r.got != r.want] == []
+    old = spark.createDataFrame([("5-Mar-85",), ("5-Mar-24",), ("2085-03-05",)], "v string").select(parse_unwrapped("v", 70).cast("string").alias("d")).collect()
+    assert [r.d for r in old] == ["1985-03-05", "2024-03-05", "2085-03-05"]
+
+
+def test_every_written_form_of_every_day(spark):
+    """All days of two years in the forms that name their parts unmistakably."""
+    forms = ["%Y-%m-%d", "%d %B %Y", "%b %d, %Y", "%Y%m%d", "%d.%m.%Y", "%m/%d/%Y", "%Y/%b/%d", "%d-%b-%y"]
+    days = [dt.date(2023, 1, 1) + dt.timedelta(days=i) for i in range(731)]
+    df = spark.createDataFrame([(d, d.strftime(f)) for d in days for f in forms], "d date, text string")
+    assert df.filter(~F.col("d").eqNullSafe(parse_date(F.col("text")))).count() == 0
