@@ -56,6 +56,8 @@ K, K_MOST = 12, 48
 TREES, BITS, CHUNK = 6, 24, 96
 ROUNDS, CHANGED = 6, 0.002
 AUDIT, AUDIT_MOST, LINKED, RECALL = 200, 20_000, 100, 0.98
+# Most bytes of vectors that an audit draws, whatever their dimension.
+AUDIT_BYTES = 16 << 20
 PASSES = 6
 BLOCK = 512
 # Half precision moves a cosine by less than this.
@@ -305,6 +307,8 @@ def audit(nodes: DataFrame, comp: DataFrame, threshold: float, total: int, queri
     is 1).  The query set is bounded; the classes stream by it."""
     rooted = nodes.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "label", "dim", "v64", F.coalesce("root", "cls").alias("root"))
     space = 1 << 40
+    widest = nodes.agg(F.max("dim")).first()[0] or 1
+    most = max(1, min(most, AUDIT_BYTES // (8 * widest)))
     while True:
         share = min(1.0, queries / max(total, 1))
         asked = rooted.where(F.pmod(F.xxhash64("cls", F.lit("audit")), F.lit(space)) < int(share * space)).collect()
@@ -356,7 +360,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, k: int = K
     rows, nodes = classes_of(vectors)
     total = nodes.count()
     over = F.col("sim") >= threshold - SLACK
-    at, lists, edges, step, seed, passes, joined = nodes.withColumn("root", F.col("cls")), None, None, 0, 0, 0, -1
+    at, lists, comp, step, seed, passes, joined = nodes.withColumn("root", F.col("cls")), None, None, 0, 0, 0, -1
     while True:
         start = written(first_lists(at, trees, chunk, k, threshold, seed), "found")
         every = start.withColumn("old", F.lit(0)).select("src", "dst", "sim", "other", "old")
@@ -368,6 +372,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, k: int = K
             new.append(found)
             if lists.where(F.col("old") == 0).count() <= CHANGED * k * total:
                 break
+        # The components so far stand for all edges found before: plans do not
+        # grow with the passes.
+        edges = None if comp is None else comp.toDF("src", "dst")
         for t in new:
             pairs = t.where(over).select("src", "dst")
             edges = pairs if edges is None else edges.unionAll(pairs)

@@ -39,9 +39,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
                     .select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct(), "edges")
     if not maps:
         return edges.sparkSession.createDataFrame([], f"node {kind.simpleString()}, root {kind.simpleString()}")
-    out = maps[0].toDF("node", "root")
-    for m in maps[1:]:
-        out = out.join(m.toDF("root", "next"), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    # From the last map, which is the smallest, back to the first.
+    out = maps[-1].toDF("node", "root")
+    for i, m in enumerate(reversed(maps[:-1])):
+        later = out.toDF("at", "next")
+        out = m.toDF("node", "at").join(later, "at", "left").select("node", F.coalesce("next", "at").alias("root"))
+        if i % 3 == 2:
+            out = written(out, "map")
     return written(out, "components")
 
 
