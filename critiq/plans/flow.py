@@ -15,9 +15,11 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..operators import (audit, audit_actions, category_distribution, clean, conflict_sample,
+from ..operators import (audit, audit_actions, category_distribution, classifier_answers,
+                         classifier_batches, clean, conflict_sample,
                          conflict_summary, crosstab, enrich, exec_kpis, insight_cube, insight_kpis,
                          recommendations, report_payload, report_sections, review_queue, spotlight,
                          trend_status, unique_patterns, validate, value_distribution, weekly_trend)
@@ -34,6 +36,8 @@ class Analysis:
     materialize: str = "none"
     keep_validated: bool = True
     chunk: int | None = DEFAULT_CHUNK
+    malformed: DataFrame | None = None
+    observation: object = None
 
     def _keep(self, df: DataFrame) -> DataFrame:
         return df if self.materialize == "none" else materialize(df, self.materialize)
@@ -50,11 +54,30 @@ class Analysis:
 
     @cached_property
     def cleaning_log(self) -> DataFrame:
-        return self._keep(self.cleaned.log)
+        """The counts of the cleaning; with a frame of malformed records (see
+        ``sources.read_csv_checked``) also their number."""
+        log = self.cleaned.log
+        if self.malformed is not None:
+            log = log.withColumn("malformed_records", self.malformed.agg(F.count(F.lit(1))).scalar())
+        return self._keep(log)
+
+    @cached_property
+    def answers(self) -> DataFrame | None:
+        """What a plug-in classifier answered, written once (None without one)."""
+        if self.classifier is None:
+            return None
+        return materialize(classifier_answers(self.cleaned.patterns, self.classifier, self.observation), "table")
+
+    @property
+    def classifier_batches(self) -> DataFrame:
+        """(batch_id, asked, answered, status, error) of a plug-in's batches."""
+        if self.answers is None:
+            raise ValueError("the flow has no plug-in classifier")
+        return classifier_batches(self.answers)
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return enrich(self.cleaned, self.classifier)
+        return enrich(self.cleaned, answers=self.answers)
 
     @cached_property
     def _validated(self):
@@ -165,13 +188,16 @@ class Analysis:
 
 
 def analyse(raw: DataFrame, classifier=None, materialize: str = "none",
-            chunk: int | None = DEFAULT_CHUNK, keep_validated: bool = True) -> Analysis:
-    """Plan the full analysis of a raw feedback frame (must carry ``seq``)."""
+            chunk: int | None = DEFAULT_CHUNK, keep_validated: bool = True,
+            malformed: DataFrame | None = None, observation: object = None) -> Analysis:
+    """Plan the full analysis of a raw feedback frame (must carry ``seq``).
+    ``malformed``: records that the reader set aside, counted in the cleaning log;
+    ``observation``: collects the progress of a plug-in classifier."""
     if "seq" not in raw.columns:
         raise ValueError("raw feedback needs a file-order column 'seq' "
                          "(use critiq.sources.read_feedback)")
     return Analysis(raw=raw, classifier=classifier, materialize=materialize, chunk=chunk,
-                    keep_validated=keep_validated)
+                    keep_validated=keep_validated, malformed=malformed, observation=observation)
 
 
 def strip_seq(df: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from ..operators.digest import duplicate_counts
 from ..operators.classify import (best_category, category_scores, classify_frame,
                                   lowered, sentiment_scores)
 from ..operators.insights import category_examples
-from ..sources import dense_rank_by, null_tokens, read_feedback, write_sections, write_table
+from ..sources import dense_rank_by, null_tokens, read_csv_checked, read_feedback, write_sections, write_table
 from ..session import scratch_path
 from . import fixtures as fx
 from . import oracle as O
@@ -147,6 +147,30 @@ def q_scan_csv(spark, sf):
     return back.select("seq", "timestamp", "source", "rating", "feedback_text")
 
 
+_CSV_FIELDS = ["id", "timestamp", "source", "rating", "feedback_text"]
+
+
+@register("scan_csv_checked", FB + ", r as (select id, feedback_text, case id % 40 when 0 then 'short' when 1 then 'long' when 2 then 'quoted' "
+          "when 3 then 'quoted' end as kind from fb) select cast(id as varchar) as id, kind, case when kind is null and feedback_text not in ("
+          + ", ".join(O.q(t) for t in K.NA_TOKENS) + ") then feedback_text end as feedback_text from r")
+def q_scan_csv_checked(spark, sf):
+    """The fixture as CSV lines, some cut short, too long or badly quoted, in four
+    files; the good records and those set aside."""
+    path = scratch_path(spark, f"scan_checked/{uuid.uuid4().hex}")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    kind, fields = F.col("id") % 40, [quoted(c) for c in _CSV_FIELDS]
+    line = (F.when(kind == 0, F.concat_ws(",", *fields[:-1])).when(kind == 1, F.concat_ws(",", *fields, F.lit("more")))
+             .when(kind == 2, F.concat_ws(",", *fields[:-1], F.lit('"open'))).when(kind == 3, F.concat_ws(",", *fields[:-1], F.concat(fields[-1], F.lit(" tail"))))
+             .otherwise(F.concat_ws(",", *fields)))
+    lines = _fb(spark, sf).select((F.col("id") % 4).alias("part"), F.col("seq").alias("o"), line.alias("value"))
+    heads = spark.range(4).select(F.col("id").alias("part"), F.lit(-1).cast("long").alias("o"), F.lit(",".join(_CSV_FIELDS)).alias("value"))
+    lines.unionAll(heads).repartition("part").sortWithinPartitions("part", "o").select("part", "value").write.partitionBy("part").text(path)
+    rows, malformed = read_csv_checked(spark, os.path.join(path, "*"))
+    # The id is the first field of every line here.
+    bad = malformed.select(F.regexp_extract("record", r'^"(\d+)"', 1).alias("id"), "kind", F.lit(None).cast("string").alias("feedback_text"))
+    return rows.select("id", F.lit(None).cast("string").alias("kind"), "feedback_text").unionAll(bad)
+
+
 @register("export_enriched", PIPE + " select * exclude (seq) from validated")
 def q_export_enriched(spark, sf):
     """Write the validated table as CSV and read it back."""
@@ -157,7 +181,19 @@ def q_export_enriched(spark, sf):
     return spark.read.option("header", True).option("escape", '"').schema(_drop_seq(rows).schema).csv(path)
 
 
-@register("stream_intake", None)
+_CHANNELS = ["app_store", "google_play", "web", "support", "unknown"]
+
+
+def _stream_sql() -> str:
+    keep = lambda c: f"case when {c} in ({', '.join(O.q(t) for t in K.NA_TOKENS)}) then null else {c} end as {c}"
+    ctes = f", fbn as (select seq, id, {', '.join(keep(c) for c in _CSV_FIELDS[1:])}, coalesce(source, 'unknown') as channel from fb)"
+    for ch in _CHANNELS:
+        ctes += f", fb_{ch} as (select * from fbn where channel = {O.q(ch)})" + O.audit_ctes(f"fb_{ch}", f"aud_{ch}")
+    return O.with_(O.fb_cte(), ctes) + " union all ".join(
+        f" select {O.q(ch)} as channel, * from aud_{ch} where exists (select 1 from fb_{ch})" for ch in _CHANNELS)
+
+
+@register("stream_intake", _stream_sql())
 def q_stream_intake(spark, sf):
     """The fixture written as one CSV file per source channel (every row lands in
     exactly one file), streamed through the intake: one audit row per file."""
@@ -166,10 +202,12 @@ def q_stream_intake(spark, sf):
     src, sink = os.path.join(run, "in"), os.path.join(run, "out")
     raw = _fb(spark, sf).withColumn("_ch", F.coalesce("source", F.lit("unknown")))
     (raw.repartition("_ch").sortWithinPartitions("seq").drop("seq")
-        .write.partitionBy("_ch").option("header", True).option("escape", '"').csv(src))
+        .write.partitionBy("_ch").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(src))
     q = start_intake(spark, os.path.join(src, "*"), sink, outputs=["audit"])
     q.awaitTermination()
-    return spark.read.parquet(os.path.join(sink, "audit"))
+    audits = spark.read.parquet(os.path.join(sink, "audit")).drop("batch_id")
+    return audits.withColumn("channel", F.regexp_extract("source_file", "_ch=([^/]+)/", 1)).drop("source_file")
 
 
 @register("report_payload", None)
@@ -418,6 +456,23 @@ def q_plugin_classify(spark, sf):
     return p.select("normalized_text", "ai_sentiment", "ai_category", "ai_summary", "ai_confidence")
 
 
+def _flaky_batches(frames):
+    """As ``_echo_batches``, but every third batch raises."""
+    for f in frames:
+        if f["batch_id"].iloc[0] % 3 == 1:
+            raise RuntimeError("no answer")
+        yield from _echo_batches([f])
+
+
+@register("plugin_accounting", PIPE + ", pos as (select row_number() over (order by first_seq) - 1 as p from patterns) "
+          "select cast(p // 20 as bigint) as batch_id, cast(count(*) as bigint) as asked, "
+          "cast(case when p // 20 % 3 = 1 then 0 else count(*) filter (where p % 20 % 5 <> 4) end as bigint) as answered, "
+          "case when p // 20 % 3 = 1 then 'failed' else 'answered' end as status, "
+          "case when p // 20 % 3 = 1 then 'RuntimeError: no answer' end as error from pos group by p // 20")
+def q_plugin_accounting(spark, sf):
+    return analyse(fx.feedback_raw(spark, sf), classifier=_flaky_batches, materialize="table").classifier_batches
+
+
 @register("enrich_rows", PIPE + " select * exclude (seq) from enriched")
 def q_enrich_rows(spark, sf):
     return _drop_seq(_an(spark, sf).enriched)

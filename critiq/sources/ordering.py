@@ -37,6 +37,20 @@ def with_file_order(df: DataFrame, seq: str = "seq", file_col: str | None = None
     return out.drop(*drop)
 
 
+def with_row_index(df: DataFrame, seq: str = "seq") -> DataFrame:
+    """Dense 0-based ``seq`` in file order for a frame read from Parquet files, as
+    a lazy plan: the reader's row index says where a row lies in its file, and
+    the rows of the files before it are added.  Nothing is written, and no split
+    layout changes the result.  The rows of each file are counted by a scan of no
+    data column (the file footers hold them)."""
+    index = df.select(F.col("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_i"))
+    sizes = index.groupBy("_f").agg((F.max("_i") + 1).alias("_n"))
+    w = Window.orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)   # one row a file
+    offsets = sizes.select("_f", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    x = df.withColumn("_f", F.col("_metadata.file_path")).withColumn("_i", F.col("_metadata.row_index"))
+    return x.join(offsets, "_f").withColumn(seq, F.col("_off") + F.col("_i")).drop("_f", "_i", "_off")
+
+
 def with_arrival_order(df: DataFrame, seq: str = "seq") -> DataFrame:
     """Sparse but monotone ``seq`` for sources without files (tables, streams):
     partition order, then row order inside the partition."""

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
-from .ordering import with_arrival_order, with_file_order
+from .ordering import with_arrival_order, with_file_order, with_row_index
 
 REQUIRED = ["timestamp", "source", "rating", "feedback_text"]
 _FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json", ".jsonl": "json"}
@@ -68,4 +68,45 @@ def read_feedback(spark: SparkSession, path: str, fmt: str | None = None, *,
     require_columns(df)
     if not with_seq or "seq" in df.columns:
         return df
-    return with_arrival_order(df) if fmt == "table" else with_file_order(df)
+    if fmt == "table":
+        return with_arrival_order(df)
+    return with_row_index(df) if fmt == "parquet" else with_file_order(df)
+
+
+# A quoted field with its inner quotes doubled, and marks beside one that leave
+# no comma between it and the next field.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
+_FIELD = "\u0001"
+
+
+def read_csv_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, malformed) of CSV files with one record a line.
+
+    ``rows`` are the records with as many fields as the header names, as
+    ``read_feedback`` gives them.  ``malformed`` holds every other line with its
+    ``seq``, file, text (``record``) and ``kind``: ``short`` or ``long`` (too few or
+    too many fields), or ``quoted`` (a quote that is not closed or stands inside a
+    field).  Both carry the line order ``seq``, so nothing is lost between them.
+    The lines are written once when this is called."""
+    names = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False).csv(path).columns
+    lines = spark.read.text(path).withColumn("file", F.col("_metadata.file_path")).filter(F.trim("value") != "")
+    lines = with_file_order(lines, "_line")
+    # The first line of each file is its header (one row a file).
+    heads = lines.groupBy("file").agg(F.min("_line").alias("_head"))
+    heads = heads.withColumn("_files", F.row_number().over(Window.orderBy("_head")))
+    x = lines.join(heads, "file")
+    fields = ", ".join(f"`{n}` string" for n in names)
+    record = lambda c: F.from_csv(c, F.lit(fields), {"escape": '"'})
+    first = x.filter("_line = _head").select("file", record(F.col("value")).alias("r")).select("file", F.array("r.*").alias("h"))
+    other = first.filter(F.col("h") != F.array(*[F.lit(n) for n in names])).select("file").first()
+    if other is not None:
+        raise ValueError(f"the header of {other['file']} differs from {names}")
+    x = x.filter("_line > _head").withColumn("seq", F.col("_line") - F.col("_files"))
+    bare = F.regexp_replace("value", _QUOTED, _FIELD)
+    x = x.withColumn("_bare", bare)
+    commas = F.length("_bare") - F.length(F.replace("_bare", F.lit(","), F.lit("")))
+    x = x.withColumn("kind", F.when(F.col("_bare").rlike(f'"|[^,]{_FIELD}|{_FIELD}[^,]'), "quoted")
+                     .when(commas < len(names) - 1, "short").when(commas > len(names) - 1, "long"))
+    rows = x.filter(F.col("kind").isNull()).select(record(F.col("value")).alias("r"), "seq").select("r.*", "seq")
+    malformed = x.filter(F.col("kind").isNotNull()).select("seq", "file", "kind", F.col("value").alias("record"))
+    return require_columns(null_tokens(rows)), malformed
