@@ -239,3 +239,12 @@ def test_best_positions_stop_before_the_end():
     floor = -want[4][0]
     docs, scores, less = lexical_rank.best_positions(lists, ids, k, floor)
     assert list(zip((-scores).tolist(), ids[docs].tolist()))[:5] == want[:5] and less <= read
+
+
+def test_written_tables_are_dropped_with_the_scratch(spark, monkeypatch, tmp_path):
+    from critiq.llm.common import written
+    from critiq.session import drop_scratch
+    monkeypatch.setattr("critiq.session.ensure_checkpoint_dir", lambda session: str(tmp_path))
+    assert written(spark.range(5), "x").count() == 5 and [f for f in tmp_path.rglob("*.parquet")]
+    drop_scratch(spark)
+    assert not [f for f in tmp_path.rglob("*") if f.is_file()]
