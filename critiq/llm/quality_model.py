@@ -32,7 +32,7 @@ from .quality_rules import _repeats, text_stats
 
 FOLDS = 5
 CUT = 0.3
-STEPS = 8
+STEPS = 10
 DECAY = 1e-3
 PRIOR_START = 0.7
 BINS = 200
@@ -124,36 +124,45 @@ def _sums(rows: DataFrame, of, size: int) -> np.ndarray:
 
 def pu_fit(rows: DataFrame, model: Model, prior: float, steps: int = STEPS) -> Model:
     """Damped Newton steps on the non-negative risk over ``rows`` (x, positive;
-    every row is unlabelled text, the positive ones are trusted as well)."""
+    every row is unlabelled text, the positive ones are trusted as well).  A step
+    that does not lower the risk is halved from the best weights so far."""
     d = len(model.weight)
 
-    def one_pass(weight: np.ndarray) -> tuple[np.ndarray, ...]:
+    def one_pass(weight: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """The risk, its gradient and the curvature."""
         def of(x: np.ndarray, pos: np.ndarray) -> np.ndarray:
             a = model.design(x)
             z = a @ weight
             p = sigmoid(z)
             curve = (a * (p * (1 - p))[:, None]).T @ a
-            # Losses l(-z) = log(1 + e^z) and gradients of l(z) and l(-z).
+            # Losses l(-z) = log(1 + e^z) and l(z), and the gradients of l(-z) and l(z).
             neg = np.logaddexp(0, z)
-            return np.concatenate([[len(x), pos.sum(), neg.sum(), neg[pos].sum()], a.T @ p, a[pos].T @ p[pos], a[pos].T @ (p[pos] - 1), curve.ravel()])
+            return np.concatenate([[len(x), pos.sum(), neg.sum(), neg[pos].sum(), (neg - z)[pos].sum()], a.T @ p, a[pos].T @ p[pos], a[pos].T @ (p[pos] - 1), curve.ravel()])
 
-        v = _sums(rows, of, 4 + 3 * d + d * d)
+        v = _sums(rows, of, 5 + 3 * d + d * d)
         n_u, n_p = max(v[0], 1), max(v[1], 1)
-        return v[2] / n_u, v[3] / n_p, v[4:4 + d] / n_u, v[4 + d:4 + 2 * d] / n_p, v[4 + 2 * d:4 + 3 * d] / n_p, v[4 + 3 * d:].reshape(d, d) / n_u
-
-    weight = model.weight
+        g_u, g_p, g_pos = v[5:5 + d] / n_u, v[5 + d:5 + 2 * d] / n_p, v[5 + 2 * d:5 + 3 * d] / n_p
+        negative = v[2] / n_u - prior * v[3] / n_p
+        grad = prior * g_pos + DECAY * weight
+        # Below zero the negative part of the risk is fitted noise and counts as 0.
+        if negative > 0:
+            grad = grad + g_u - prior * g_p
+        return prior * v[4] / n_p + max(0.0, negative) + DECAY / 2 * weight @ weight, grad, v[5 + 3 * d:].reshape(d, d) / n_u
+
+    weight = best = model.weight
+    least, move, share = np.inf, np.zeros(d), 1.0
     for _ in range(steps):
-        neg_u, neg_p, g_u, g_p, g_pos, curve = one_pass(weight)
-        g_neg = g_u - prior * g_p
-        # Below zero the negative part of the risk is fitted noise: go back up.
-        sign = 1.0 if neg_u - prior * neg_p >= 0 else -1.0
-        grad = prior * g_pos + sign * g_neg + DECAY * weight
-        move = np.linalg.solve(curve + (DECAY + 1e-6) * np.eye(d), grad)
-        size = np.sqrt(move @ move)
-        weight = weight - move * min(1.0, 3.0 / max(size, 1e-12))
-        if size < 1e-3:
+        risk, grad, curve = one_pass(weight)
+        if risk < least:
+            move = np.linalg.solve(curve + (DECAY + 1e-6) * np.eye(d), grad)
+            move = move * min(1.0, 3.0 / max(np.sqrt(move @ move), 1e-12))
+            best, least, share = weight, risk, min(1.0, 2 * share)
+        else:
+            share /= 2
+        if share * np.sqrt(move @ move) < 1e-3:
             break
-    return Model(model.mean, model.scale, weight)
+        weight = best - share * move
+    return Model(model.mean, model.scale, best)
 
 
 def estimate_prior(rows: DataFrame, model: Model) -> float:

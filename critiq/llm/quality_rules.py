@@ -46,8 +46,9 @@ STEPS = 6
 # Cut-off: the chi-square quantile of DIM degrees of freedom at this tail,
 # far out because the tails of text statistics are heavier than normal.
 TAIL = 1e-6
-# Least standard deviation of each transformed statistic: spreads below it are
-# of no interest, and constant statistics must not make every change an outlier.
+# Standard deviation of each transformed statistic that is of no interest: its
+# square is added to every variance (a ridge on the covariance), so constant
+# statistics do not make every change an outlier.
 FLOOR = [0.5, 0.06, 0.08, 0.06, 0.10]
 # Width of a distance bin in log2(1 + d^2).
 BINS_PER_OCTAVE = 16

@@ -260,6 +260,34 @@ def test_quality_model_odd_rows(spark, odd_docs, labels001):
     assert quality_model.score_table(odd_docs.where("false"), labels001).count() == 0
 
 
+def test_pu_risk_is_minimal_and_prior_found(spark):
+    """The Newton steps against the risk itself, on text statistics of two kinds."""
+    rng = np.random.default_rng(4)
+    n, share = 4000, 0.4
+    good = rng.random(n) < share
+    x = rng.normal(0, 1, (n, quality_model.N_STATS))
+    x[:, :4] += np.where(good, 1.0, -1.0)[:, None]
+    trusted = good & (rng.random(n) < 0.5)
+    rows = spark.createDataFrame([(r.tolist(), bool(t)) for r, t in zip(x, trusted)], "x array<double>, positive boolean").repartition(4)
+    start = quality_model.Model(x.mean(0), x.std(0) + 0.02)
+    model = quality_model.pu_fit(rows, start, share, steps=12)
+    a = model.design(x)
+
+    def risk(w):
+        z = a @ w
+        negative = np.logaddexp(0, z).mean() - share * np.logaddexp(0, z[trusted]).mean()
+        return share * np.logaddexp(0, -z[trusted]).mean() + max(0.0, negative) + quality_model.DECAY / 2 * w @ w
+
+    least = risk(model.weight)
+    for size in (0.02, 0.2):
+        for _ in range(60):
+            d = rng.normal(size=len(model.weight))
+            assert risk(model.weight + size * d / np.sqrt(d @ d)) > least - 1e-3
+    assert risk(start.weight) > least + 0.1
+    assert ((model.scores(x) >= 0.5) == good).mean() > 0.93
+    assert 0.25 < quality_model.estimate_prior(rows, model) < 0.46
+
+
 # ---- tokens, files, packing ----------------------------------------------------
 def test_encoder_equals_library(docs001):
     texts = [r.text for r in docs001.collect()][:60] + ["it's  we'll\n\n x²½ don’t –€ É ẞ x", "\t\t a  ", "", "a b́ İ ſ K", "<|endoftext|> x ١٢", "Ĳ Œ ﬁ 你好 \x0b \x85"]
