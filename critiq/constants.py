@@ -59,20 +59,21 @@ IMPUTE_NEGATIVE_RATING = 1.0
 IMPUTE_POSITIVE_RATING = 5.0
 IMPUTE_NEUTRAL_RATING = 3.0
 
-# Ordinal words accepted by the "this is the N-th time" boilerplate.
-REPEAT_ORDINALS = ["first", "second", "third", "fourth", "fifth", "last"]
-
-# Date formats tried in this order (Spark datetime pattern letters).  The
-# month-first form precedes the day-first form so that an ambiguous 05/01/2024
-# reads as May 1; an impossible month (28/02/2024) falls through to day-first.
-DATE_FORMATS = [
-    "yyyy-M-d", "yyyy/M/d", "yyyy.M.d", "yyyyMMdd", "yyyy-MMM-d",
-    "d-MMM-yy", "d-MMM-yyyy", "d-MMMM-yyyy", "MMM-d-yyyy", "d/MMM/yyyy",
-    "M-d-yy", "d-M-yy", "M-d-yyyy", "d-M-yyyy",
-    "M/d/yy", "d/M/yy", "M/d/yyyy", "d/M/yyyy", "d.M.yyyy",
-    "MMMM d, yyyy", "MMM d, yyyy", "MMMM d yyyy", "MMM d yyyy",
-    "d MMMM yyyy", "d MMM yyyy", "d MMMM, yyyy", "d MMM, yyyy",
+# FIXED VALUES: what is taken out of a lower-cased, stripped text for its pattern
+# key, in this order; ``\s`` is Python's white space, ``\w`` and ``\d`` are Unicode.
+NORMALISE_PATTERNS = [
+    (r"\bagent\s+\w+\s+was\s+handling\s+it[\s.!]*", ""),
+    (r"thank\s+you\s+to\s+the\s+agent\s+\w+\s+who\s+handled\s+my\s+complaint\s+so\s+well[\s()#\d]*", ""),
+    (r"\(\s*order\s*#\s*\d+\s*\)", ""),
+    (r"\border\s*#\s*\d+\b", ""),
+    (r"-\s*my\s+[\w\s]+\s+order\s+in\s+\w+", ""),
+    (r"\bthis\s+is\s+the\s+(first|second|third|fourth|fifth|last)\s+time[\s.!]*", ""),
+    (r"!+", "!"),
+    (r"\.+", "."),
+    (r"\?+", "?"),
+    (r"\s+", " "),
 ]
+
 # Rewrites that leave the written (local) date of a value: weekday, ordinal
 # suffix, a time in the middle (C style), a time with or without zone at the end.
 DATE_REWRITES = [

@@ -64,30 +64,14 @@ def _sub(p: str) -> str:
     return "(?iU)" + "".join(out)
 
 
-# Boilerplate removed from a lower-cased, stripped text, in this order.
-_NORMALISE_STEPS = [
-    (_sub(r"\bagent\s+\w+\s+was\s+handling\s+it[\s.!]*"), ""),
-    (_sub(r"thank\s+you\s+to\s+the\s+agent\s+\w+\s+who\s+handled\s+my\s+complaint"
-          r"\s+so\s+well[\s()#\d]*"), ""),
-    (_sub(r"\(\s*order\s*#\s*\d+\s*\)"), ""),
-    (_sub(r"\border\s*#\s*\d+\b"), ""),
-    (_sub(r"-\s*my\s+[\w\s]+\s+order\s+in\s+\w+"), ""),
-    (_sub(r"\bthis\s+is\s+the\s+(" + "|".join(K.REPEAT_ORDINALS) + r")\s+time[\s.!]*"), ""),
-    ("!+", "!"),
-    (r"\.+", "."),
-    (r"\?+", "?"),
-    (WS + "+", " "),
-]
-
-
 def normalize_text(c: Column) -> Column:
     """Pattern key: boilerplate (agent, order number, city, repeat tags) and
     repeated punctuation removed.  Falls back to lower(strip(text)) when that
     leaves nothing; null becomes ''."""
     base = py_strip(F.lower(c))
     out = base
-    for pattern, repl in _NORMALISE_STEPS:
-        out = F.regexp_replace(out, pattern, repl)
+    for pattern, repl in K.NORMALISE_PATTERNS:
+        out = F.regexp_replace(out, _sub(pattern), repl)
     out = py_strip(out)
     # nullif + coalesce keeps a single copy of the chain in the expression tree
     return F.coalesce(F.nullif(out, F.lit("")), base, F.lit(""))

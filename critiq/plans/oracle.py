@@ -58,23 +58,11 @@ def _re(p: str) -> str:
     return "".join(out)
 
 
-NORMALISE = [
-    (_re(r"\bagent\s+\w+\s+was\s+handling\s+it[\s.!]*"), ""),
-    (_re(r"thank\s+you\s+to\s+the\s+agent\s+\w+\s+who\s+handled\s+my\s+complaint\s+so\s+well"
-         r"[\s()#\d]*"), ""),
-    (_re(r"\(\s*order\s*#\s*\d+\s*\)"), ""),
-    (_re(r"\border\s*#\s*\d+\b"), ""),
-    (_re(r"-\s*my\s+[\w\s]+\s+order\s+in\s+\w+"), ""),
-    (_re(r"\bthis\s+is\s+the\s+(first|second|third|fourth|fifth|last)\s+time[\s.!]*"), ""),
-    ("!+", "!"), (r"\.+", "."), (r"\?+", "?"), (WS + "+", " "),
-]
-
-
 def normalize(x: str) -> str:
     base = strip(f"lower({x})")
     out = base
-    for pat, rep in NORMALISE:
-        out = f"regexp_replace({out}, {q(pat)}, {q(rep)}, 'gi')"
+    for pat, rep in K.NORMALISE_PATTERNS:
+        out = f"regexp_replace({out}, {q(_re(pat))}, {q(rep)}, 'gi')"
     out = strip(out)
     return f"coalesce(nullif({out}, ''), {base}, '')"
 
@@ -104,7 +92,7 @@ def unwrap(x: str) -> str:
 def iso_date(x: str) -> str:
     v = unwrap(x)
     # %Y also takes two digits here, so the two-digit years are tried first.
-    order = sorted(K.DATE_FORMATS, key=lambda f: "yyyy" in f)
+    order = sorted(STRPTIME, key=lambda f: "yyyy" in f)
     fmts = "[" + ", ".join(q(STRPTIME[f]) for f in order) + "]"
     return (f"(case when {v} = '' then null else strftime(cast(try_strptime({v}, {fmts}) as date), "
             f"'%Y-%m-%d') end)")
