@@ -91,27 +91,12 @@ def classify_patterns(patterns: DataFrame, classifier: Classifier | None = None,
         pick = lambda f: F.coalesce(F.col(f), F.col("_h").getField(f))
     else:
         pick = lambda f: F.col("_h").getField(f)
-    out = base.select(
+    return base.select(
         *patterns.columns,
         pick("sentiment").alias("ai_sentiment"),
         pick("category").alias("ai_category"),
         pick("summary").alias("ai_summary"),
         pick("confidence").cast("double").alias("ai_confidence"))
-    return _label_barrier(out)
-
-
-def _label_barrier(labels: DataFrame) -> DataFrame:
-    """Re-group the classified pattern table by its key.
-
-    Filters on the labels (review queue, conflicts) would otherwise be pushed
-    down through the classifier projections, inlining ~165 keyword tests into
-    the predicate (and again for every reference).  Predicates on aggregate
-    results stop at an aggregate.  The table is already hash-partitioned by
-    ``normalized_text`` after the pattern aggregation, so this adds no
-    shuffle, and each group holds exactly one row."""
-    rest = [c for c in labels.columns if c != "normalized_text"]
-    return (labels.groupBy("normalized_text").agg(F.max(F.struct(*rest)).alias("_r"))
-                  .select("normalized_text", *[F.col("_r")[c].alias(c) for c in rest]))
 
 
 def enrich(cleaned: Cleaned | DataFrame, classifier: Classifier | None = None, answers: DataFrame | None = None) -> DataFrame:
@@ -121,8 +106,9 @@ def enrich(cleaned: Cleaned | DataFrame, classifier: Classifier | None = None, a
     else:
         rows = cleaned.drop("complaint_count")
         patterns = pattern_table(rows)
-    # Written once: a join of two tables has a shuffle right under each sort, so
-    # AQE can split a hot pattern, and no reader classifies anew.
+    # Written once: a join of two tables has a shuffle right under each side, so
+    # AQE can split a hot pattern, no reader classifies anew, and no filter on a
+    # label is pushed down into ~165 keyword tests.
     labels = materialize(classify_patterns(patterns, classifier, answers).select(
         "normalized_text", "complaint_count", "ai_sentiment", "ai_category", "ai_summary",
         "ai_confidence"), "table")

@@ -1,8 +1,10 @@
 """Session helpers: a local session for tests/benchmarks and the shared checkpoint folder."""
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,10 +68,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SCOPE = threading.local()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables
     of this application."""
-    return os.path.join(_scratch(spark), name)
+    return os.path.join(_scratch(spark), getattr(_SCOPE, "name", ""), name)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession, name: str):
+    """Intermediate tables written by this thread inside the block lie in a folder
+    of their own, which is removed at its end (for work whose results are
+    written elsewhere, such as a stream's batches)."""
+    _SCOPE.name = os.path.join("scopes", name)
+    path = scratch_path(spark, "")
+    try:
+        yield
+    finally:
+        _SCOPE.name = ""
+        _remove(spark, path)
 
 
 def _scratch(spark: SparkSession) -> str:
@@ -79,7 +98,11 @@ def _scratch(spark: SparkSession) -> str:
 def drop_scratch(spark: SparkSession) -> None:
     """Remove the intermediate tables that this application wrote (call it when
     no frame that reads them is needed any more)."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    _remove(spark, _scratch(spark))
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.flow import analyse
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_scope
 from ..sources.ordering import with_file_order
 from ..sources.readers import REQUIRED, null_tokens
 
@@ -30,19 +30,21 @@ def feedback_schema(extra=("id",)) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in [*extra, *REQUIRED]])
 
 
-def _analyse_file(batch: DataFrame, batch_id: int, sink: str, outputs) -> None:
+def _analyse_file(batch: DataFrame, batch_id: int, sink: str, key: str, outputs) -> None:
     if batch.isEmpty():
         return
-    # File order: split offset, then position inside the split.
-    ranked = with_file_order(batch, "seq", file_col="_file", block_col="_b")
-    src = batch.select(F.min("_file")).scalar()
-    an = analyse(null_tokens(ranked.drop(*[c for c in ranked.columns if c.startswith("_")])),
-                 materialize="checkpoint")
-    for name in outputs:
-        out = getattr(an, name).withColumn("source_file", src)
-        # A folder a batch, overwritten: a batch that is retried replaces what
-        # its first attempt wrote.
-        out.write.mode("overwrite").parquet(os.path.join(sink, name, f"batch_id={batch_id}"))
+    # The batch's intermediate tables go when its results are written.
+    with scratch_scope(batch.sparkSession, f"intake-{key}-{batch_id}"):
+        # File order: split offset, then position inside the split.
+        ranked = with_file_order(batch, "seq", file_col="_file", block_col="_b")
+        src = batch.select(F.min("_file")).scalar()
+        an = analyse(null_tokens(ranked.drop(*[c for c in ranked.columns if c.startswith("_")])),
+                     materialize="table")
+        for name in outputs:
+            out = getattr(an, name).withColumn("source_file", src)
+            # A folder a batch, overwritten: a batch that is retried replaces what
+            # its first attempt wrote.
+            out.write.mode("overwrite").parquet(os.path.join(sink, name, f"batch_id={batch_id}"))
 
 
 def start_intake(spark: SparkSession, source_dir: str, sink_dir: str, *,
@@ -58,7 +60,7 @@ def start_intake(spark: SparkSession, source_dir: str, sink_dir: str, *,
               .withColumn("_file", F.col("_metadata.file_path"))
               .withColumn("_b", F.col("_metadata.file_block_start")))
     w = (stream.writeStream
-         .foreachBatch(lambda df, bid: _analyse_file(df, bid, sink_dir, outputs))
+         .foreachBatch(lambda df, bid: _analyse_file(df, bid, sink_dir, key, outputs))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()

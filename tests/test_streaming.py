@@ -17,6 +17,8 @@ def test_intake_one_batch_per_file(spark, raw):
     q = start_intake(spark, os.path.join(src, "*"), sink, outputs=["audit", "cleaning_log"])
     q.awaitTermination()
     audit = spark.read.parquet(os.path.join(sink, "audit"))
+    # No intermediate table of a batch is left.
+    assert not os.path.exists(scratch_path(spark, "scopes")) or not os.listdir(scratch_path(spark, "scopes"))
     assert audit.count() == 5
     assert audit.agg(F.sum("total_records")).collect()[0][0] == raw.count()
     assert audit.select("source_file").distinct().count() == 5
