@@ -108,18 +108,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _sums(rows: DataFrame, of, size: int) -> np.ndarray:
-    """The sum over all rows of the vectors that ``of(x, positive)`` gives."""
+    """The sum over all rows of the vectors that ``of(x, positive)`` gives; a task
+    sends one row an entry, which Spark adds up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for b in batches:
             if b.num_rows:
                 total += of(_matrix(b.column(0)), b.column(1).to_numpy(zero_copy_only=False).astype(bool))
-        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["v"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["at", "v"])
 
-    out = rows.select("x", "positive").mapInArrow(run, "v array<double>").agg(
-        F.array(*[F.sum(F.col("v")[i]) for i in range(size)])).first()[0]
-    return np.array([v or 0.0 for v in out])
+    out = np.zeros(size)
+    for r in rows.select("x", "positive").mapInArrow(run, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).collect():  # ``size`` rows
+        out[r["at"]] = r["v"]
+    return out
 
 
 def pu_fit(rows: DataFrame, model: Model, prior: float, steps: int = STEPS) -> Model:
