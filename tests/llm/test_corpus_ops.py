@@ -249,7 +249,7 @@ def test_oracles(spark):
     d = "/root/testdata/sf0.001"
     for name, sql in registry.ORACLES.items():
         con = duckdb.connect()
-        for t in ("documents", "embeddings"):
+        for t in ("documents", "embeddings", "benchmark"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet'")
         cur = con.execute(sql)
         cols = [c[0] for c in cur.description]
