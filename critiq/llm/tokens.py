@@ -3,10 +3,12 @@ pre-tokens.
 
 Both tokenizers cut a text into pre-tokens by a pattern and encode each alone,
 so the ids of a text are those of its pre-tokens in order.  A worker encodes a
-distinct pre-token once with the tokenizers library (new plain words of a run
-of texts in one call) and keeps its ids, up to ``MEMO`` entries.  The pattern is applied here only to texts whose characters
-all lie in blocks where its classes are beyond doubt; any other text, and any
-text that might hold an added token, goes to the library whole.
+new pre-token with the tokenizers library (new plain words of a run of texts in
+one call) and keeps its ids; after ``MEMO`` entries it forgets those not met
+again while as many others came, so twice ``MEMO`` and a run's are held at most.
+The pattern is applied here only to texts whose characters all lie in blocks
+where its classes are beyond doubt; any other text, and any text that might hold
+an added token, goes to the library whole.
 """
 from __future__ import annotations
 
@@ -16,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-MEMO = 400_000
+MEMO = 300_000
 _LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
 _NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
 UNSAFE = re.compile("[^\t\n\r\x20-\x7e\xa1-įı-ſ‐-‧€]")
@@ -51,55 +53,62 @@ class TokenEncoder:
         self.find = PATTERN[name].findall if name in PATTERN else None
         self.lower = name in LOWER
         self.is_word, self.joint = WORD.get(name, (lambda p: None, ""))
+        vocabulary = self.library.get_vocab()
+        # Bytes that each token stands for: a character of a byte-level token is one.
+        self.n_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():
+            self.n_bytes[i] = len(token.removesuffix("</w>"))
+        # Pre-tokens met since the memo was last full, and those met before.
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.memo = memo
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _new(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pre-tokens; plain words are joined and told apart by the
-        library's own word numbers."""
-        words = [p for p in pieces if self.is_word(p)]
-        alone = [p for p in pieces if not self.is_word(p)]
-        found = {}
-        for i in range(0, len(words), JOINED):
-            part = words[i:i + JOINED]
-            e = self.library.encode(self.joint.join(part), add_special_tokens=False)
-            ends = np.flatnonzero(np.diff(np.array(e.word_ids, dtype=np.int64))) + 1
-            if len(ends) + 1 == len(part):
-                raw, at = np.array(e.ids, dtype="<u4").tobytes(), [0, *(ends * 4).tolist(), 4 * len(e.ids)]
-                found.update(zip(part, (raw[x:y] for x, y in zip(at, at[1:]))))
+        """Ids of pre-tokens; plain words are joined and told apart by the bytes
+        that their tokens stand for."""
+        words, alone, found = [], [], {}
+        for p in pieces:
+            (words if self.is_word(p) else alone).append(p)
+        runs = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        for part, raw in zip(runs, self._whole([self.joint.join(part) for part in runs])):
+            sizes = np.fromiter(map(len, map(str.encode, part)), np.int64, len(part))
+            stop = np.cumsum(sizes)
+            ends = np.cumsum(self.n_bytes[np.frombuffer(raw, "<u4")])
+            last = np.searchsorted(ends, stop)
+            if len(ends) and ends[-1] == stop[-1] and (ends[last] == stop).all():
+                at = [0, *((last + 1) * 4).tolist()]
+                found.update(zip(part, [raw[x:y] for x, y in zip(at, at[1:])]))
             else:
                 alone += part
         found.update(zip(alone, self._whole(alone)))
         return found
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        out: list[bytes | None] = []
-        later: list[tuple[int, list[str]]] = []
-        new: set[str] = set()
-        for text in texts:
+        whole: dict[int, bytes] = {}
+        parts: list[str] = []
+        stops = []
+        for k, text in enumerate(texts):
             text = text or ""
             if self.find is None or "<|" in text or UNSAFE.search(text):
-                out += self._whole([text])
-                continue
-            parts = self.find(text.lower() if self.lower else text)
-            try:
-                out.append(b"".join(map(self.known.__getitem__, parts)))
-            except KeyError:
-                later.append((len(out), parts))
-                new.update(set(parts).difference(self.known))
-                out.append(None)
-        if new:
-            found = self._new(list(new))
-            held = self.known
-            if len(held) + len(found) > self.memo:
-                self.known = {}
-            for at, parts in later:
-                out[at] = b"".join([found[p] if p in found else held[p] for p in parts])
-            self.known.update(found)
-        return out
+                whole[k] = self._whole([text])[0]
+            else:
+                parts += self.find(text.lower() if self.lower else text)
+            stops.append(len(parts))
+        got = list(map(self.known.get, parts))
+        missing = [i for i, raw in enumerate(got) if raw is None]
+        if missing:
+            new = {parts[i] for i in missing}
+            again = new & self.old.keys()
+            self.known.update(self._new(list(new - again)))
+            self.known.update(zip(again, map(self.old.__getitem__, again)))
+            for i in missing:
+                got[i] = self.known[parts[i]]
+        if len(self.known) > self.memo:
+            self.old, self.known = self.known, {}
+        return [whole[k] if k in whole else b"".join(got[x:y]) for k, (x, y) in enumerate(zip([0, *stops], stops))]
 
     def column(self, texts) -> Iterator[bytes]:
         """Ids of each text of an Arrow column, looked up by runs of texts."""

@@ -383,6 +383,19 @@ def test_joined_new_words_equal_single_ones(name, docs001):
     assert [small.ids([t])[0] for t in texts] == want
 
 
+def test_full_memo_keeps_common_words(monkeypatch):
+    asked = []
+    new = TokenEncoder._new
+    monkeypatch.setattr(TokenEncoder, "_new", lambda self, pieces: asked.extend(pieces) or new(self, pieces))
+    enc = TokenEncoder(public_path("word_bpe_49k.json"), memo=40)
+    common = ["alpha", "beta", "gamma", "delta"]
+    texts = [" ".join([*common, "x" + "abcdefghij"[k // 10] + "abcdefghij"[k % 10]]) for k in range(100)]
+    got = [enc.ids([t])[0] for t in texts]
+    assert got == [np.array(e.ids, "<u4").tobytes() for e in enc.library.encode_batch(texts, add_special_tokens=False)]
+    # The memo was full several times; only the words met once came anew.
+    assert len(asked) == 104 and len(enc.known) + len(enc.old) <= 2 * 41
+
+
 # ---- token counts ---------------------------------------------------------------
 def test_token_counts(docs001, odd_docs):
     scores = token_counts.unigram_scores(public_path(token_counts.VOCABULARY))
