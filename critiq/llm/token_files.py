@@ -5,7 +5,8 @@ block decodes alone.  A block's ids are cut into up to ``LANES`` equal runs that
 are coded side by side, one id of each run a step, all sharing three adaptive
 predictors that learn after every step:
 
-* order 0: counts of all ids, as cumulative frequencies;
+* order 0: counts of all ids, as cumulative frequencies that are added up anew
+  once the ids counted have grown by a sixteenth;
 * order 1: the id that last proved right after the previous id;
 * order 2: the same after the two previous ids (hashed).
 
@@ -48,8 +49,8 @@ from .tokens import encoder, public_path
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 VOCABULARY = 50_257
-BLOCK_IDS = 1 << 19
-LANES = 4096
+BLOCK_IDS = 1 << 20
+LANES = 8192
 RUN = 128
 _MAGIC = b"CMR1"
 _HEAD = struct.Struct("<4sIIIIII")
@@ -58,6 +59,8 @@ _TOTAL = 1 << _TOTAL_BITS
 _STEP = 15  # weight of one occurrence in the order-0 counts
 _SLOTS = 1 << 18
 U = np.uint64
+# Change of a candidate's confidence, if it was wrong and if it was right.
+_STEPS = np.array([(k >> 1) - k for k in range(16)] + [min(k + 1, 15) - k for k in range(16)], dtype=np.int32)
 
 
 class Mixer:
@@ -65,8 +68,11 @@ class Mixer:
     table holds 16 * candidate + confidence; -16 is no candidate."""
 
     def __init__(self, vocabulary: int, lanes: int):
-        self.counts = np.zeros(vocabulary, dtype=np.int64)
-        self.cum = np.arange(vocabulary + 1, dtype=np.int32)
+        self.weight = np.ones(vocabulary, dtype=np.int64)
+        self.cum = np.arange(vocabulary + 1, dtype=np.int64)
+        # Halving steps of a search in ``cum``, the longest first.
+        self.halves = [1 << k for k in range(max(1, vocabulary).bit_length() - 1, -1, -1)]
+        self.top = np.full((1 << max(1, vocabulary).bit_length()) + 1, 1 << 62, dtype=np.int64)
         self.table1 = np.full(vocabulary + 1, -16, dtype=np.int32)
         self.table2 = np.full(_SLOTS, -16, dtype=np.int32)
         # Right and tried candidates by confidence (order 2: and by agreement).
@@ -75,51 +81,77 @@ class Mixer:
         self.c1 = np.full(lanes, vocabulary, dtype=np.int64)
         self.c2 = np.zeros(lanes, dtype=np.int64)
         self.limit = max(1, ((1 << 22) - vocabulary) // _STEP)
-        self.seen = 0
+        self.seen = self.fresh = 0
+        self.refresh()
+
+    def refresh(self) -> None:
+        np.cumsum(self.weight, out=self.cum[1:])
+        self.top[:len(self.cum)] = self.cum
+        self.total = int(self.cum[-1])
+        self.fresh = self.seen
 
     def predict(self) -> None:
-        v2, v1 = self.table2[self.c2], self.table1[self.c1]
-        self.a, self.b = v2 >> 4, v1 >> 4
-        agree = self.a == self.b
-        self.k1, self.k2 = v1 & 15, (v2 & 15) + 16 * agree
+        self.v2, self.v1 = self.table2[self.c2], self.table1[self.c1]
+        self.a, self.b = self.v2 >> 4, self.v1 >> 4
+        agree = (self.a == self.b) * np.int32(16)
+        self.k1, self.k2 = (self.v1 & 15) + agree, (self.v2 & 15) + agree
+        # Confidence 0 is no candidate; order 1 has no share where both agree.
         share = (0.7 * _TOTAL * np.minimum(1.0, self.right2 / self.tried2)).astype(np.int64)
-        self.share2 = share[self.k2] * (self.a >= 0)
-        share = 0.95 * self.right1 / self.tried1
-        self.share1 = ((0.75 * _TOTAL - self.share2) * share[self.k1]).astype(np.int64) * ((self.b >= 0) & ~agree)
+        share[::16] = 0
+        self.share2 = share[self.k2]
+        share = np.zeros(32)
+        share[1:16] = (0.95 * self.right1 / self.tried1)[1:]
+        self.share1 = ((0.75 * _TOTAL - self.share2) * share[self.k1]).astype(np.int64)
         self.base = self.share2 + self.share1
         self.rest = _TOTAL - self.base
-        self.total = int(self.cum[-1])
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of each id in the mixture."""
         lo = self.cum[ids] * self.rest // self.total
         width = self.cum[ids + 1] * self.rest // self.total - lo
         lo += self.base
-        hit2 = (ids == self.a) & (self.share2 > 0)
-        hit1 = (ids == self.b) & (self.share1 > 0) & ~hit2
-        lo = np.where(hit2, 0, np.where(hit1, self.share2, lo))
-        return lo, np.where(hit2, self.share2, np.where(hit1, self.share1, width))
+        short = ids.astype(np.int32)
+        hit1 = (short == self.b) & (self.share1 > 0)
+        hit2 = (short == self.a) & (self.share2 > 0)
+        for hit, start, share in ((hit1, self.share2, self.share1), (hit2, 0, self.share2)):
+            np.copyto(lo, start, where=hit)
+            np.copyto(width, share, where=hit)
+        return lo, width
 
     def find(self, at: np.ndarray) -> np.ndarray:
         """The id whose interval holds each point."""
-        point = (np.maximum(at - self.base, 0) + 1) * self.total - 1
-        point //= self.rest
-        ids = np.searchsorted(self.cum, point.astype(np.int32), "right") - 1
-        return np.where(at < self.share2, self.a, np.where(at < self.base, self.b, ids))
+        ids = np.where(at < self.share2, self.a, self.b).astype(np.int64)
+        left = np.flatnonzero(at >= self.base)
+        point = ((at[left] - self.base[left] + 1) * self.total - 1) // self.rest[left]
+        # All points go down the halves together, which no branch holds up.
+        found = np.zeros(len(left), dtype=np.int64)
+        for half in self.halves:
+            found += (self.top[found + half] <= point) * half
+        ids[left] = found
+        return ids
 
     def learn(self, ids: np.ndarray) -> None:
-        same2, same1 = ids == self.a, ids == self.b
-        self.right2 += np.bincount(self.k2[same2], minlength=32)
-        self.tried2 += np.bincount(self.k2[self.a >= 0], minlength=32)
-        self.right1 += np.bincount(self.k1[same1 & ~same2], minlength=16)
-        self.tried1 += np.bincount(self.k1[(self.b >= 0) & ~same2], minlength=16)
-        for table, ctx, now, k, same in ((self.table2, self.c2, self.a, self.k2 & 15, same2), (self.table1, self.c1, self.b, self.k1, same1)):
+        short = ids.astype(np.int32)
+        same2, same1 = short == self.a, short == self.b
+        n = np.bincount(self.k2 + same2 * np.int32(32), minlength=64)
+        self.right2 += n[32:]
+        self.tried2 += n[:32] + n[32:]
+        n = np.bincount((self.k1 & 15) + same1 * np.int32(16) + same2 * np.int32(32), minlength=64)
+        self.right1 += n[16:32]
+        self.tried1 += n[:16] + n[16:32]
+        short *= 16
+        short += 1
+        for table, ctx, old, same in ((self.table2, self.c2, self.v2, same2), (self.table1, self.c1, self.v1, same1)):
             # Right: surer.  Wrong: half as sure, or replaced.
-            table[ctx] = np.where(same, 16 * now + np.minimum(k + 1, 15), np.where(k > 1, 16 * now + (k >> 1), 16 * ids + 1))
+            k = old & 15
+            now = old + _STEPS[k + same * np.int32(16)]
+            np.copyto(now, short, where=(k < 2) & ~same)
+            table[ctx] = now
         if self.seen < self.limit:
-            self.counts += np.bincount(ids, minlength=len(self.counts))
-            np.cumsum(self.counts * _STEP + 1, out=self.cum[1:])
+            np.add.at(self.weight, ids, _STEP)
             self.seen += len(ids)
+            if self.seen - self.fresh >= self.fresh >> 4:
+                self.refresh()
         self.c2 = ((self.c1 * 0x9E3779B1 + ids * 0x85EBCA6B) >> 7) & (_SLOTS - 1)
         self.c1 = ids
 
@@ -129,6 +161,26 @@ def _lanes(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes) if n else 0
 
 
+def _shifts(low: np.ndarray, rng: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shifts settled words out of the lanes until none is left: yields the lanes
+    that shift and the words they give, and updates both arrays."""
+    go, x, y = None, low, rng
+    while True:
+        settled = ((x ^ (x + y)) >> U(48)) == 0
+        small = (y < U(2**32)) & ~settled
+        some = np.flatnonzero(settled | small)
+        if not len(some):
+            return
+        go = some if go is None else go[some]
+        x, y, tight = x[some], y[some], small[some]
+        if tight.any():
+            y[tight] = (~x[tight] + U(1)) & U(2**32 - 1)
+        words = (x >> U(48)).astype(np.uint16)
+        x, y = x << U(16), y << U(16)
+        low[go], rng[go] = x, y
+        yield go, words
+
+
 def compress_ids(ids: np.ndarray, vocabulary: int) -> tuple[int, np.ndarray, np.ndarray]:
     """(lanes, words in each lane, all words) of the ids of a block."""
     lanes, steps = _lanes(len(ids))
@@ -138,26 +190,18 @@ def compress_ids(ids: np.ndarray, vocabulary: int) -> tuple[int, np.ndarray, np.
     model = Mixer(vocabulary, lanes)
     low, rng = np.zeros(lanes, dtype=U), np.full(lanes, 2**64 - 1, dtype=U)
     out = np.zeros((lanes, 3 * steps + 8), dtype="<u2")
-    pos = np.zeros(lanes, dtype=np.int64)
+    cells, pos = out.reshape(-1), np.arange(lanes) * out.shape[1]
     for t in range(steps):
         model.predict()
         lo, width = model.interval(grid[t])
         unit = rng >> U(_TOTAL_BITS)
-        low += unit * lo.astype(U)
-        rng = unit * width.astype(U)
-        while True:
-            settled = ((low ^ (low + rng)) >> U(48)) == 0
-            small = ~settled & (rng < U(2**32))
-            if small.any():
-                rng[small] = (~low[small] + U(1)) & U(2**32 - 1)
-            go = np.flatnonzero(settled | small)
-            if not len(go):
-                break
-            out[go, pos[go]] = (low[go] >> U(48)).astype(np.uint16)
+        low += unit * lo.view(U)
+        rng = unit * width.view(U)
+        for go, first in _shifts(low, rng):
+            cells[pos[go]] = first
             pos[go] += 1
-            low[go] <<= U(16)
-            rng[go] <<= U(16)
         model.learn(grid[t])
+    pos -= np.arange(lanes) * out.shape[1]
     if steps:
         # Two more words name a point inside every final interval.
         end = (low + U(2**32 - 1)) >> U(32)
@@ -192,20 +236,11 @@ def expand_ids(n: int, lanes: int, counts: np.ndarray, words: np.ndarray, vocabu
         at = np.minimum((code - low) // unit, U(_TOTAL - 1)).astype(np.int64)
         ids = model.find(at)
         lo, width = model.interval(ids)
-        low += unit * lo.astype(U)
-        rng = unit * width.astype(U)
-        while True:
-            settled = ((low ^ (low + rng)) >> U(48)) == 0
-            small = ~settled & (rng < U(2**32))
-            if small.any():
-                rng[small] = (~low[small] + U(1)) & U(2**32 - 1)
-            go = np.flatnonzero(settled | small)
-            if not len(go):
-                break
+        low += unit * lo.view(U)
+        rng = unit * width.view(U)
+        for go, _ in _shifts(low, rng):
             code[go] = (code[go] << U(16)) | word(go, pos[go])
             pos[go] += 1
-            low[go] <<= U(16)
-            rng[go] <<= U(16)
         grid[t] = ids
         model.learn(ids)
     return grid.T.reshape(-1)[:n]

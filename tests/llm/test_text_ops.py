@@ -309,6 +309,18 @@ def test_block_round_trip_and_damage():
             token_files.read_block(bytes(bad))
 
 
+def test_coder_adds_up_its_counts_seldom(monkeypatch):
+    # Adding up the counts of all ids takes as long as some thousand ids do.
+    added = []
+    refresh = token_files.Mixer.refresh
+    monkeypatch.setattr(token_files.Mixer, "refresh", lambda self: added.append(self.seen) or refresh(self))
+    ids = np.random.default_rng(4).zipf(1.2, 60_000).clip(0, 50_256).astype(np.int64)
+    lanes, counts, words = token_files.compress_ids(ids, 50_257)
+    n = len(added)
+    assert (token_files.expand_ids(len(ids), lanes, counts, words, 50_257) == ids).all()
+    assert len(added) == 2 * n and n <= 64 < token_files.RUN
+
+
 def brute_tokens(docs, name, end):
     e = TokenEncoder(public_path(name))
     return [(r.doc_id, e._whole([r.text or ""])[0] + np.array([end], "<u4").tobytes()) for r in docs.select("doc_id", "text").collect()]
