@@ -15,7 +15,7 @@ does not exist, is null; so are partial dates.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -52,36 +52,57 @@ def _month(token: Column) -> Column:
     return F.try_element_at(F.create_map(*[x for k, v in number.items() for x in (F.lit(k), F.lit(v))]), F.lower(token))
 
 
+def _parts(p: Column) -> dict[str, Column]:
+    """What the rules ask of three tokens: their numbers, and the months that the
+    first two name."""
+    number = lambda i: p[i].try_cast("int")
+    return {"a": number(0), "b": number(1), "c": number(2), "ma": _month(p[0]), "mb": _month(p[1])}
+
+
+def _date(p: list[Column], a: Column, b: Column, c: Column, ma: Column, mb: Column, dotted: Column, pivot: int | None) -> Column:
+    """The date of three tokens ``p`` by their parts."""
+    first, named = F.length(p[0]) == 4, mb.isNotNull()
+    day_first = F.when(dotted, b <= 12).otherwise(a > 12)
+    month = F.when(ma.isNotNull(), ma).when(named, mb).when(first, b).when(day_first, b).otherwise(a)
+    day = F.when(ma.isNotNull(), b).when(first, c).when(named | day_first, a).otherwise(b)
+    short = (F.length(p[2]) == 2) & ~first
+    century = F.lit(2000) if pivot is None else F.when(c >= pivot, F.lit(1900)).otherwise(F.lit(2000))
+    year = F.when(first, a).when(short, century + c).otherwise(c)
+    # A year is written with four digits, or with two at the end; days and months with two at most.
+    fits = F.when(first, F.length(p[2]) <= 2).otherwise((F.length(p[2]).isin(2, 4)) & (a.isNull() | (F.length(p[0]) <= 2)))
+    text = F.concat(F.lpad(year.cast("string"), 4, "0"), F.lit("-"), month.cast("string"), F.lit("-"), day.cast("string"))
+    return F.when(fits, text.try_cast("date"))
+
+
+def _tokens(v: Column) -> Column:
+    # A value that is no date is left as it is by the replacement, and is then no
+    # three tokens of the right kind.
+    return F.split(F.regexp_replace(v, _TOKENS, "$1$4 $2$5 $3$6"), " ")
+
+
 def _resolve(p: Column, dotted: Column, pivot: int | None) -> Column:
     """The date of three tokens.  Every intermediate is bound once by a lambda."""
-    def bound(value: Column, then) -> Column:
-        return F.transform(F.array(value), then)[0]
-
-    def date(x: Column) -> Column:
-        a, b, c = (x.getField(k) for k in "abc")
-        first, named = F.length(p[0]) == 4, x.getField("mb").isNotNull()
-        day_first = F.when(dotted, b <= 12).otherwise(a > 12)
-        month = F.when(x.getField("ma").isNotNull(), x.getField("ma")).when(named, x.getField("mb")).when(first, b).when(day_first, b).otherwise(a)
-        day = F.when(x.getField("ma").isNotNull(), b).when(first, c).when(named | day_first, a).otherwise(b)
-        short = (F.length(p[2]) == 2) & ~first
-        century = F.lit(2000) if pivot is None else F.when(c >= pivot, F.lit(1900)).otherwise(F.lit(2000))
-        year = F.when(first, a).when(short, century + c).otherwise(c)
-        # A year is written with four digits, or with two at the end; days and months with two at most.
-        fits = F.when(first, F.length(p[2]) <= 2).otherwise((F.length(p[2]).isin(2, 4)) & (a.isNull() | (F.length(p[0]) <= 2)))
-        text = F.concat(F.lpad(year.cast("string"), 4, "0"), F.lit("-"), month.cast("string"), F.lit("-"), day.cast("string"))
-        return F.when(fits, text.try_cast("date"))
+    parts = F.struct(*[v.alias(k) for k, v in _parts(p).items()])
+    found = F.transform(F.array(parts), lambda x: _date([p[0], p[1], p[2]], *[x.getField(k) for k in ("a", "b", "c", "ma", "mb")], dotted, pivot))[0]
+    return F.when(F.size(p) == 3, found)
 
-    number = lambda i: p[i].try_cast("int")
-    return F.when(F.size(p) == 3, bound(F.struct(number(0).alias("a"), number(1).alias("b"), number(2).alias("c"), _month(p[0]).alias("ma"), _month(p[1]).alias("mb")), date))
+
+def with_date(df: DataFrame, unwrapped: str, out: str, two_digit_pivot: int | None = None) -> DataFrame:
+    """``df`` with ``parse_unwrapped`` of a column as column ``out``.  Tokens and
+    parts are staged as columns, so the rules are compiled: lambdas are not."""
+    x = df.withColumn("_dp", _tokens(F.col(unwrapped)))
+    x = x.withColumn("_dp", F.when(F.size("_dp") == 3, F.col("_dp")))
+    parts = _parts(F.col("_dp"))
+    x = x.withColumns({f"_d_{k}": v for k, v in parts.items()})
+    p = [F.col("_dp")[i] for i in range(3)]
+    found = _date(p, *[F.col(f"_d_{k}") for k in parts], F.contains(F.col(unwrapped), F.lit(".")), two_digit_pivot)
+    return x.withColumn(out, found).drop("_dp", *[f"_d_{k}" for k in parts])
 
 
 def parse_unwrapped(v: Column | str, two_digit_pivot: int | None = None) -> Column:
     """``parse_date`` for a value (or a column name) that ``unwrap`` has left."""
     v = F.col(v) if isinstance(v, str) else v
-    # A value that is no date is left as it is by the replacement, and is then no
-    # three tokens of the right kind.
-    tokens = F.split(F.regexp_replace(v, _TOKENS, "$1$4 $2$5 $3$6"), " ")
-    return F.transform(F.array(tokens), lambda p: _resolve(p, F.contains(v, F.lit(".")), two_digit_pivot))[0]
+    return F.transform(F.array(_tokens(v)), lambda p: _resolve(p, F.contains(v, F.lit(".")), two_digit_pivot))[0]
 
 
 def iso_date(c: Column | str, two_digit_pivot: int | None = None, unwrapped: bool = False) -> Column:

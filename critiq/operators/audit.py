@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions import (contradicts, is_invalid_timestamp, is_meaningless, is_missing_timestamp,
+from ..functions import (contradicts, is_meaningless, is_missing_timestamp,
                          is_multilingual, mentions_agent, mentions_order_number, parse_rating,
                          py_strip)
-from ..functions.dates import unwrap
+from ..functions.dates import unwrap, with_date
 from ..session import materialize
 from .digest import check, digest, groups
 
@@ -49,19 +49,28 @@ def health(total: Column, counts: dict) -> tuple[Column, Column]:
 def _flags(raw: DataFrame, text: str, ts: str, rating: str) -> DataFrame:
     """``raw`` with one boolean column per row test (named as its count)."""
     t = F.col(text)
-    x = (raw.withColumn("_tsv", unwrap(F.col(ts))).withColumn("_low", F.lower(t))
+    x = (with_date(raw.withColumn("_tsv", unwrap(F.col(ts))), "_tsv", "_date").withColumn("_low", F.lower(t))
             .withColumn("_r", parse_rating(F.col(rating))).withColumn("_s", py_strip(t)))
     return x.withColumns({
         "missing_timestamp_count": is_missing_timestamp(F.col(ts)),
         "missing_rating_count": F.col(rating).isNull(),
         "empty_feedback_count": is_meaningless(t, F.col("_s")),
-        "invalid_timestamp_count": is_invalid_timestamp(F.col(ts), "_tsv"),
+        "invalid_timestamp_count": ~is_missing_timestamp(F.col(ts)) & F.col("_date").isNull(),
         "contradiction_count": contradicts(F.col(rating), t, "_low", F.col("_r")),
         "agent_mentions_count": mentions_agent(t),
         "order_number_count": mentions_order_number(t),
         "multilingual_count": is_multilingual(t, "_low")}).drop("_tsv", "_low", "_r", "_s")
 
 
+def tested_rows(raw: DataFrame, mode: str) -> DataFrame | None:
+    """``raw`` with the row tests of the audit and ``_date``, the parsed timestamp,
+    written once for the audit and the cleaning (None where nothing is written, or
+    a column has such a name already)."""
+    if mode == "none" or {"_date", *FLAGS} & {c.lower() for c in raw.columns}:
+        return None
+    return materialize(_flags(raw, "feedback_text", "timestamp", "rating"), mode)
+
+
 FLAGS = ["missing_timestamp_count", "missing_rating_count", "empty_feedback_count", "invalid_timestamp_count",
          "contradiction_count", "agent_mentions_count", "order_number_count", "multilingual_count"]
 
@@ -79,11 +88,12 @@ def _scored(agg: DataFrame, *more: str) -> DataFrame:
 
 
 def audit(raw: DataFrame, text: str = "feedback_text", ts: str = "timestamp",
-          rating: str = "rating", hashes=digest) -> DataFrame:
+          rating: str = "rating", hashes=digest, tested: DataFrame | None = None) -> DataFrame:
     """One-row audit frame: the twelve audit counts plus unclamped ``deductions``.
-    The row is computed and written when this is called."""
+    The row is computed and written when this is called.  ``tested``: the rows as
+    ``tested_rows`` gave them."""
     cols = [c for c in raw.columns if c != "seq"]
-    x = _flags(raw, text, ts, rating)
+    x = _flags(raw, text, ts, rating) if tested is None else tested
     t1, t2 = hashes([text])
     x = x.select(*FLAGS, *hashes(cols), check(x, cols).alias("_chk"), t1.alias("_t1"), t2.alias("_t2"), check(x, [text]).alias("_tchk"))
     records = groups(x, F.first("_t1").alias("_t1"), F.first("_t2").alias("_t2"),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (clean_text, impute_rating, is_meaningless, iso_date, normalize_text,
                          py_strip)
-from ..functions.dates import unwrap
+from ..functions.dates import unwrap, with_date
 from .digest import repeats
 from .fill import DEFAULT_CHUNK, fill_in_order
 
@@ -62,17 +62,24 @@ def with_surrogate_id(raw: DataFrame) -> DataFrame:
     return raw.withColumn("id", F.col("seq") + 1)
 
 
-def prepare_rows(raw: DataFrame) -> DataFrame:
+def prepare_rows(raw: DataFrame, tested: DataFrame | None = None) -> DataFrame:
     """Kept rows with tidy text and the standardised (not yet filled) date;
-    ``_parsed`` marks rows whose own date parsed."""
+    ``_parsed`` marks rows whose own date parsed.  ``tested``: the rows as
+    ``audit.tested_rows`` gave them."""
     text = F.col("feedback_text")
+    if tested is not None:
+        x = with_surrogate_id(tested.filter(~F.col("empty_feedback_count")))
+        return (x.withColumn("feedback_text", clean_text(text)).withColumn("timestamp", F.date_format("_date", "yyyy-MM-dd"))
+                 .withColumn("_parsed", F.col("timestamp").isNotNull())
+                 .select(*with_surrogate_id(raw).columns, "_parsed"))
     x = with_surrogate_id(raw).withColumn("_s", py_strip(text))
     x = x.filter(~is_meaningless(text, F.col("_s")))
     return (x.withColumn("feedback_text", clean_text(text, F.col("_s")))
              .withColumn("_tsv", unwrap(F.col("timestamp")))
-             .withColumn("timestamp", iso_date("_tsv", unwrapped=True))
+             .transform(with_date, "_tsv", "_date")
+             .withColumn("timestamp", F.date_format("_date", "yyyy-MM-dd"))
              .withColumn("_parsed", F.col("timestamp").isNotNull())
-             .drop("_s", "_tsv"))
+             .drop("_s", "_tsv", "_date"))
 
 
 def fill_and_impute(prepared: DataFrame, chunk: int | None = DEFAULT_CHUNK) -> DataFrame:
@@ -151,17 +158,19 @@ def cleaning_log(raw: DataFrame, patterns: DataFrame,
     )
 
 
-def clean(raw: DataFrame, chunk: int | None = DEFAULT_CHUNK, materialize: str = "none") -> Cleaned:
+def clean(raw: DataFrame, chunk: int | None = DEFAULT_CHUNK, materialize: str = "none", tested: DataFrame | None = None) -> Cleaned:
     """Plan the cleaning.  With ``materialize`` (``table`` / ``checkpoint``) the
     prepared rows, the staged rows and the pattern table are written once: each
     feeds two branches (fill summary + rows; repeats + pattern table + rows;
-    classifier + counts) that would otherwise recompute everything before them."""
+    classifier + counts) that would otherwise recompute everything before them.
+    ``tested``: written rows of ``audit.tested_rows``, which stand in for both the
+    raw and the prepared rows."""
     from ..session import materialize as mat
-    prepared = mat(prepare_rows(raw), materialize)
+    prepared = mat(prepare_rows(raw), materialize) if tested is None else prepare_rows(raw, tested)
     staged = fill_and_impute(prepared, chunk).drop("_parsed")
     staged = mat(staged.withColumn("normalized_text", normalize_text(F.col("feedback_text"))), materialize)
     # The pattern key is a function of the text: it takes no part in the comparison.
     rows = drop_exact_duplicates(staged, mode=materialize, ignore=("normalized_text",))
     patterns = mat(pattern_table(rows), materialize)
-    return Cleaned(rows=rows, patterns=patterns, raw=raw,
+    return Cleaned(rows=rows, patterns=patterns, raw=raw if tested is None else tested,
                    prepared=prepared if materialize != "none" else None)

@@ -23,6 +23,7 @@ from ..operators import (audit, audit_actions, category_distribution, classifier
                          conflict_summary, crosstab, enrich, exec_kpis, insight_cube, insight_kpis,
                          recommendations, report_payload, report_sections, review_queue, spotlight,
                          trend_status, unique_patterns, validate, value_distribution, weekly_trend)
+from ..operators.audit import tested_rows
 from ..operators.clean import Cleaned
 from ..operators.insights import category_counts
 from ..operators.fill import DEFAULT_CHUNK
@@ -46,11 +47,17 @@ class Analysis:
     def audit(self) -> DataFrame:
         """One row, written once (it feeds the health score, the KPI row, the action
         table and the payload)."""
-        return audit(self.raw)
+        return audit(self.raw, tested=self._tested)
+
+    @cached_property
+    def _tested(self) -> DataFrame | None:
+        """Rows with their tests and parsed date, written once where both audit and
+        cleaning are asked for (they would read and parse all rows each)."""
+        return tested_rows(self.raw, self.materialize) if self.keep_validated else None
 
     @cached_property
     def cleaned(self) -> Cleaned:
-        return clean(self.raw, self.chunk, self.materialize)
+        return clean(self.raw, self.chunk, self.materialize, self._tested)
 
     @cached_property
     def cleaning_log(self) -> DataFrame:

@@ -21,6 +21,9 @@ ENGINE_CONF = {
     # A join whose one side is small in every partition hashes that side instead
     # of sorting both (AQE knows the sizes; larger sides are sorted and may spill).
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # The JVM never compiles a method of more than 8,000 bytes: a long row of
+    # tests goes to Spark's split projections instead of one such method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
