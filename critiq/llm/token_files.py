@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import small_batches
-from .tokens import encoder, public_path
+from .tokens import TEXT_BYTES, encoder, gathered, public_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -305,7 +305,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, end_id: int = END
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([start], pa.int64()), pa.array([size], pa.int64()),
                                                pa.array([write_block(held)], pa.binary())], names=["part", "block", "start", "n_ids", "payload"])
 
-        for b in batches:
+        for b in gathered(batches, TEXT_BYTES // 2):
             for d, ids in zip(b.column(0).to_pylist(), encoder(path).column(b.column(1))):
                 ids += end
                 held.append((d, ids))

@@ -7,10 +7,11 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from critiq.llm import html_text, packing, quality_model, quality_rules, secrets, token_counts, token_files
-from critiq.llm.tokens import PATTERN, TokenEncoder, public_path
+from critiq.llm.tokens import KEPT_BYTES, PATTERN, UNSAFE, TokenEncoder, cut_bytes, gathered, public_path
 
 from .conftest import prose
 
@@ -408,6 +409,47 @@ def test_full_memo_keeps_common_words(monkeypatch):
     assert len(asked) == 104 and len(enc.known) + len(enc.old) <= 2 * 41
 
 
+def test_byte_cut_equals_pattern():
+    rng = random.Random(3)
+    parts = [*"  \n\t\r'stmdrevlx aAé²½3€–ßŒ.!<|İ你\x0b\xa0😀ſªº‧ʼ", "'ll", "'re", " '", "'s", "'ve", "'"]
+    for _ in range(3000):
+        texts = ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(rng.randint(1, 5))] + ["x"]
+        raw = [t.encode() for t in texts]
+        offs = np.cumsum([0, *map(len, raw)])
+        doubt = [k for k, t in enumerate(texts) if "<|" in t or UNSAFE.search(t)]
+        starts = []
+        for k, (t, at) in enumerate(zip(texts, offs.tolist())):
+            for p in [t] if k in doubt else PATTERN["byte_bpe_50k.json"].findall(t):
+                starts.append(at)
+                at += len(p.encode())
+        got = cut_bytes(np.frombuffer(b"".join(raw), np.uint8), offs)
+        assert (got[0].tolist(), got[1].tolist()) == (starts, doubt)
+
+
+def test_byte_memo_takes_distinct_pieces_and_stays_small(monkeypatch):
+    asked = []
+    new = TokenEncoder._new_pieces
+    monkeypatch.setattr(TokenEncoder, "_new_pieces", lambda self, pieces: asked.extend(pieces.to_pylist()) or new(self, pieces))
+    enc = TokenEncoder(public_path("byte_bpe_50k.json"), memo=8)
+    long = "y" * (KEPT_BYTES + 1)
+    texts = [f"one two three {'abcdefghij'[k // 10]}{'abcdefghij'[k % 10]}q one two " + long for k in range(100)]
+    column = pa.array([*texts, None, "", "x 你 one"])
+    want = [np.array(e.ids, "<u4").tobytes() for e in enc.library.encode_batch([t or "" for t in column.to_pylist()], add_special_tokens=False)]
+    # One run of texts: each distinct piece is asked for once.
+    assert list(enc.column(column)) == want and len(asked) == len(set(asked)) == 106
+    asked.clear()
+    assert [b for k in range(len(column)) for b in enc.column(column.slice(k, 1))] == want
+    assert len(enc.keys) <= 16 and max(map(len, enc.keys.to_pylist())) <= KEPT_BYTES
+    # The common words stayed while the memo was full several times.
+    assert max(asked.count(p) for p in ("one", " two", " three")) <= 1 and asked.count(" " + long) == 100
+
+
+def test_gathered_batches():
+    batches = [pa.RecordBatch.from_arrays([pa.array(["abc"] * n, pa.string())], names=["t"]) for n in (3, 0, 5, 1)]
+    got = list(gathered(iter(batches), 2 * batches[0].nbytes))
+    assert [b.num_rows for b in got] == [8, 1] and not list(gathered(iter([]), 5))
+
+
 # ---- token counts ---------------------------------------------------------------
 def test_token_counts(docs001, odd_docs):
     scores = token_counts.unigram_scores(public_path(token_counts.VOCABULARY))
