@@ -286,11 +286,13 @@ def encoder(path: str) -> TokenEncoder:
 def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """The rows in batches of at least ``size`` bytes, but for the last."""
     held: list[pa.RecordBatch] = []
+    room = size
     for b in batches:
         held.append(b)
-        if sum(x.nbytes for x in held) >= size:
+        room -= b.nbytes
+        if room <= 0:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-            held = []
+            held, room = [], size
     if held:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
